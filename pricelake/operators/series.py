@@ -55,10 +55,12 @@ def with_group_stats(df: DataFrame, keys: Sequence[str], **aggregates: Column) -
     Partial aggregation plus a join instead of an unordered window: the group is
     never gathered in one task, and AQE picks broadcast or a split skew join.
     """
-    stats = df.groupBy(*keys).agg(*[value.alias(name) for name, value in aggregates.items()])
     if not keys:
-        # one row by construction, so the broadcast is bounded
-        return df.join(F.broadcast(stats), F.lit(True), "left")
+        one = df.agg(F.struct(*[value.alias(name) for name, value in aggregates.items()])).scalar()
+        return df.withColumn("__stats", one).select(
+            *df.columns, *[F.col("__stats")[name].alias(name) for name in aggregates]
+        )
+    stats = df.groupBy(*keys).agg(*[value.alias(name) for name, value in aggregates.items()])
     return join_null_safe(df, stats, keys)
 
 

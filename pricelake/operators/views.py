@@ -50,14 +50,12 @@ def correlation(facts: DataFrame, *, price: str = "close_price") -> DataFrame:
     self-join, so repeated rows never multiply; prices are shifted by the overall mean
     to keep the sums well conditioned.
     """
-    shifted = facts.select("date", "market", "commodity", F.col(price).alias("p")).join(
-        # one row by construction, so the broadcast is bounded
-        F.broadcast(facts.agg(F.avg(price).alias("centre"))), F.lit(True), "left"
-    )
-    x = F.col("p") - F.col("centre")
+    centre = facts.agg(F.avg(price)).scalar()
+    shifted = facts.select("date", "market", "commodity", (F.col(price) - centre).alias("x"))
+    x = F.col("x")
     cells = shifted.groupBy("date", "market", "commodity").agg(
         F.count(F.lit(1)).alias("rows"),
-        F.count("p").alias("n"),
+        F.count("x").alias("n"),
         F.coalesce(F.sum(x), F.lit(0.0)).alias("s"),
         F.coalesce(F.sum(x * x), F.lit(0.0)).alias("q"),
     )
