@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pricelake.plans import analytics_queries, silver_queries  # noqa: F401
+from pricelake.plans import analytics_queries, bronze_queries, silver_queries  # noqa: F401
 from pricelake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
