@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pricelake.plans import analytics_queries, bronze_queries, silver_queries  # noqa: F401
+from pricelake.plans import (  # noqa: F401
+    analytics_queries, bronze_queries, gold_queries, operations_queries, silver_queries,
+)
 from pricelake.plans.registry import ORACLES, QUERIES
 
 __all__ = ["ORACLES", "QUERIES"]
