@@ -84,28 +84,28 @@ def with_position(
 ) -> DataFrame:
     """Exact 0-based row position inside each series, without one task per series.
 
-    Range partitioning splits a hot series over many blocks.  The block id depends on
-    sampled boundaries, so the ranged rows are checkpointed before both uses.
+    Range partitioning splits a hot series over many blocks; sorted blocks number their
+    own rows, and the row counts of earlier blocks are added.  Block ids depend on
+    sampled boundaries, so the numbered rows are checkpointed before both uses.
     """
     spark = df.sparkSession
     blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = checkpointed(
-        df.repartitionByRange(blocks, *keys, *order_by).withColumn("__block", F.spark_partition_id())
+        df.repartitionByRange(blocks, *keys, *order_by)
+        .sortWithinPartitions(*keys, *order_by)
+        .withColumns({"__block": F.spark_partition_id(), "__row": F.monotonically_increasing_id()})
     )
     scope = [*keys, "__block"]
     before = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = (
+    shifts = (
         ranged.groupBy(*scope)
-        .agg(F.count(F.lit(1)).alias("__n"))
-        .select(*scope, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
-    )
-    local = ranged.withColumn(
-        "__local", F.row_number().over(Window.partitionBy(*scope).orderBy(*order_by)).cast("long")
+        .agg(F.count(F.lit(1)).alias("__n"), F.min("__row").alias("__first"))
+        .select(*scope, (F.coalesce(F.sum("__n").over(before), F.lit(0)) - F.col("__first")).alias("__shift"))
     )
     return (
-        join_null_safe(local, starts, scope)
-        .withColumn(name, F.col("__start") + F.col("__local") - 1)
-        .drop("__block", "__start", "__local")
+        join_null_safe(ranged, shifts, scope)
+        .withColumn(name, F.col("__row") + F.col("__shift"))
+        .drop("__block", "__row", "__shift")
     )
 
 
@@ -183,13 +183,15 @@ def carry_last(
         ]
     )
     earlier = Window.partitionBy(*keys).orderBy(_CHUNK).rowsBetween(Window.unboundedPreceding, -1)
-    carried = ends.select(
+    # the value carried into a chunk joins it as a row in front of its first row
+    seeds = ends.select(
         *scope,
-        *[F.last(f"__end_{out}", ignorenulls=True).over(earlier).alias(f"__in_{out}") for out in columns],
+        *[F.last(f"__end_{out}", ignorenulls=True).over(earlier).alias(src) for out, src in columns.items()],
+        F.lit(-1).cast("long").alias(_POS),
     )
-    inside = join_null_safe(
-        placed.withColumns(latest(Window.partitionBy(*scope).orderBy(_POS))), carried, scope
+    inside = placed.unionByName(seeds, allowMissingColumns=True)
+    return (
+        inside.withColumns(latest(Window.partitionBy(*scope).orderBy(_POS)))
+        .filter(F.col(_POS) >= 0)
+        .drop(_POS, _CHUNK)
     )
-    return inside.withColumns(
-        {out: F.coalesce(F.col(out), F.col(f"__in_{out}")) for out in columns}
-    ).drop(_POS, _CHUNK, *[f"__in_{out}" for out in columns])

@@ -16,17 +16,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price facts: line items with their part (commodity) and supplier region (market)."""
-    places = (
-        table(spark, sf_dir, "supplier")
-        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
-        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
-        .select("s_suppkey", "r_regionkey", "r_name")
-    )
-    parts = table(spark, sf_dir, "part").select("p_partkey", "p_type", "p_size")
+    # one dimension at a time, so that each table's own size decides how it is joined
     lines = (
         table(spark, sf_dir, "lineitem")
-        .join(parts, F.col("l_partkey") == F.col("p_partkey"))
-        .join(places, F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
+        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
+        .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
+        .join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
     )
     region = F.col("r_regionkey") % 3
     size = F.col("p_size") % 5
