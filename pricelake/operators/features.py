@@ -77,29 +77,47 @@ def rsi_feature(
     return over_series(changed, keys, order_by, strength, before=rows - 1, **limits).drop("__change")
 
 
-def _ema(prices: Column, span: int) -> Column:
-    """Weighted mean of an oldest-first price array with weights (1 - 2/(span+1))^age."""
-    keep = 1 - 2 / (span + 1)
-    total = F.aggregate(
-        prices,
-        F.struct(F.lit(0.0).alias("v"), F.lit(0.0).alias("w")),
-        lambda acc, p: F.struct((acc["v"] * keep + p).alias("v"), (acc["w"] * keep + 1).alias("w")),
-    )
-    return total["v"] / total["w"]
+EMA_CYCLE = 1024
 
 
 def macd_feature(
     df: DataFrame, *, keys: Sequence[str], order_by: Sequence[str], price: str = "close_price",
     fast: int = 12, slow: int = 26, **limits,
 ) -> DataFrame:
-    """Difference of two exponential means over the last 130 prices of the series."""
-    def build(window):
-        return {"__tail": F.collect_list(F.col(price).cast("double")).over(window.rowsBetween(-(EMA_TAIL - 1), 0))}
+    """Difference of two exponential means over the last 130 rows of the series.
+
+    A weight keep^age is written as keep^(-place), with the common factor cancelled
+    between weighted sum and weight sum.  Places restart every 1024 rows to stay in
+    range; a frame touches at most two such cycles, which are summed apart by parity.
+    """
+    place = F.col("__place") % EMA_CYCLE
+    odd = F.floor(F.col("__place") / EMA_CYCLE) % 2 == 1
+    value = F.col(price).cast("double")
+    keeps = {"fast": 1 - 2 / (fast + 1), "slow": 1 - 2 / (slow + 1)}
 
-    tailed = over_series(df, keys, order_by, build, before=EMA_TAIL - 1, **limits)
-    tail = F.col("__tail")
-    value = F.when(F.size(tail) > 0, _ema(tail, fast) - _ema(tail, slow))
-    return tailed.withColumn("momentum_macd", value).drop("__tail")
+    def build(window):
+        frame = window.rowsBetween(-(EMA_TAIL - 1), 0)
+        sums = {}
+        for name, keep in keeps.items():
+            weight = F.when(value.isNotNull(), F.pow(F.lit(1 / keep), place))
+            for cycle, chosen in (("odd", odd), ("even", ~odd)):
+                sums[f"__{name}_{cycle}_v"] = F.sum(F.when(chosen, value * weight).otherwise(0.0)).over(frame)
+                sums[f"__{name}_{cycle}_w"] = F.sum(F.when(chosen, weight).otherwise(0.0)).over(frame)
+        return sums
+
+    def mean(name: str) -> Column:
+        fade = keeps[name] ** EMA_CYCLE
+
+        def total(part: str) -> Column:
+            in_odd, in_even = F.col(f"__{name}_odd_{part}"), F.col(f"__{name}_even_{part}")
+            return F.when(odd, in_odd + in_even * fade).otherwise(in_even + in_odd * fade)
+
+        return F.try_divide(total("v"), total("w"))
+
+    summed = over_series(
+        df, keys, order_by, build, before=EMA_TAIL - 1, position="__place", **limits
+    )
+    return summed.select(*df.columns, (mean("fast") - mean("slow")).alias("momentum_macd"))
 
 
 def seasonal_features(df: DataFrame, *, date: str = "date", harvest: Sequence[int] = (9, 10, 11)) -> DataFrame:

@@ -121,14 +121,23 @@ def over_series(
     single_series: bool = False,
     plain_limit: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    position: str | None = None,
 ) -> DataFrame:
-    """Add window columns whose frames reach at most ``before``/``after`` rows away."""
+    """Add window columns whose frames reach at most ``before``/``after`` rows away.
+
+    ``position`` names a column with the row's 0-based place in its series for ``build`` to use.
+    """
     require_order(keys, order_by, single_series)
     if fits_plain_window(df, keys, series_rows, plain_limit):
-        return df.withColumns(build(Window.partitionBy(*keys).orderBy(*order_by)))
+        window = Window.partitionBy(*keys).orderBy(*order_by)
+        if position:
+            df = df.withColumn(position, F.row_number().over(window).cast("long") - 1)
+        return df.withColumns(build(window))
 
     chunk_rows = max(chunk_rows, before, after, 1)
     placed = with_position(df, keys, order_by, _POS)
+    if position:
+        placed = placed.withColumn(position, F.col(_POS))
     own = F.floor(F.col(_POS) / chunk_rows)
     offset = F.col(_POS) % chunk_rows
     nothing = F.lit(None).cast("long")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.operators import aggregates, features, views
+from pricelake.operators import aggregates, features, reports, views
 from pricelake.plans.registry import (
     ORDER_SQL, TIE_SQL, WITH_DAILY, WITH_PRICES, register, sql_stable, stabled,
 )
@@ -313,3 +313,37 @@ def f6_market_structure(spark, sf_dir):
         "market_typical_price", "market_price_range", "market_close_position",
     )
     return stabled(out, "market_typical_price", "market_price_range", "market_close_position")
+
+
+@register(
+    "a4_aggregation_report",
+    WITH_DAILY + """, counts as (
+      select (select count(*) from prices) as p, (select count(*) from daily) as d,
+        (select count(*) from (select distinct year(date), weekofyear(date), commodity from daily) t) as w)
+    select 0 as step, 'build_daily_summary' as operation, p as rows_in, d as rows_out, p - d as rows_removed from counts
+    union all select 1, 'build_weekly_summary', d, w, d - w from counts""",
+)
+def a4_aggregation_report(spark, sf_dir):
+    rows, days = prices(spark, sf_dir), daily(spark, sf_dir)
+    return reports.operation_report(
+        [
+            ("build_daily_summary", rows, days),
+            ("build_weekly_summary", days, aggregates.weekly_summary(days)),
+        ]
+    )
+
+
+@register(
+    "f7_feature_report",
+    WITH_DAILY + """select 0 as step, 'create_lag_features' as operation, count(*) as rows_in, count(*) as rows_out,
+      cast(0 as bigint) as rows_removed from daily""",
+)
+def f7_feature_report(spark, sf_dir):
+    rows = feature_input(spark, sf_dir)
+    lagged = features.lag_features(rows, keys=SERIES, order_by=["date"], series_rows=CALENDAR_ROWS)
+    return reports.operation_report([("create_lag_features", rows, lagged)])
+
+
+@register("v4_correlation_by_rows", CORRELATION_SQL)
+def v4_correlation_by_rows(spark, sf_dir):
+    return stabled(views.correlation_by_rows(prices(spark, sf_dir)), "price_correlation", digits=6)

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pricelake import reference_values as ref
 from pricelake.functions.scalars import price_text, safe_number
 from pricelake.plans.registry import WITH_PRICES, register, sql_stable, stabled
-from pricelake.session import scratch_path
+from pricelake.session import scratch_path, spread
 from pricelake.sources import landing, payloads, web_tables
 from pricelake.sources.canonical import prices, table
 
@@ -50,6 +50,21 @@ def b2_parquet_landing(spark, sf_dir):
     return landed_orders(spark, sf_dir, "parquet")
 
 
+@register(
+    "b3_raw_scan",
+    "select 'orders_20240201_063015.json' as batch, count(*) as row_count, sum(o_custkey)::bigint as customers from orders",
+)
+def b3_raw_scan(spark, sf_dir):
+    base = scratch_path(spark, "bronze")
+    landing.save_results(
+        spark, table(spark, sf_dir, "orders").select(*ORDER_COLUMNS), base, source="orders", extraction_time=BATCH_TIME
+    )
+    rows = landing.scan_landed(spark, base, STAGED_SCHEMA)
+    return rows.groupBy(F.regexp_extract("_file", "([^/]+)/[^/]+$", 1).alias("batch")).agg(
+        F.count(F.lit(1)).alias("row_count"), F.sum("o_custkey").alias("customers")
+    )
+
+
 @register("b4_staging_metadata", STAGED_SQL.replace("'orders' as _source", "o_orderpriority as _source")
           .replace("o_totalprice,", "o_totalprice, ", 1))
 def b4_staging_metadata(spark, sf_dir):
@@ -237,9 +252,9 @@ NBU_SQL = fx_sql(0, "o_orderstatus", "'UAH'", "o_totalprice", "null", "null", "o
                  "strftime(o_orderdate, '%d.%m.%Y')", "true")
 PRIVAT_SQL = (
     fx_sql(1, "o_orderstatus", "'UAH'", "(o_totalprice + o_totalprice * 2) / 2", "o_totalprice", "o_totalprice * 2",
-           "cash_market", "null", "true")
+           "cash_market", "cast(null as varchar)", "true")
     + " union all "
-    + fx_sql(1, "'EUR'", "'UAH'", "null", "null", "o_totalprice", "cash_market", "null", "true")
+    + fx_sql(1, "'EUR'", "'UAH'", "null", "null", "o_totalprice", "cash_market", "cast(null as varchar)", "true")
 )
 MAP_BASE = "case when o_orderstatus <> 'F' then 'EUR' else 'USD' end"
 MAP_SQL = (
@@ -398,7 +413,7 @@ union all select source_url, page, null, null, null, null, null, null, null, nul
 
 @register("n8_offer_rows", OFFERS_SQL.replace("{details}", "''"))
 def n8_offer_rows(spark, sf_dir):
-    return web_tables.offer_rows(offer_pages(spark, sf_dir))
+    return web_tables.offer_rows(spread(offer_pages(spark, sf_dir)))
 
 
 @register(
@@ -412,7 +427,7 @@ def n10_offer_details(spark, sf_dir):
             "<p>no</p><div class='addInfoTextView'><p>First</p><p> </p><div><p>Second <i>line</i></p></div></div><p>no</p>"
         ).alias("html"),
     )
-    return web_tables.offer_rows(offer_pages(spark, sf_dir), web_tables.detail_texts(pages))
+    return web_tables.offer_rows(spread(offer_pages(spark, sf_dir)), web_tables.detail_texts(pages))
 
 
 @register(
@@ -424,7 +439,7 @@ def n8_landed_pages(spark, sf_dir):
     rows = table(spark, sf_dir, "pages").select(
         F.col("page_id").alias("page"), "html", F.col("url").alias("extracted_at")
     )
-    return web_tables.offer_rows(rows).select("source_url", "page", "note", "extracted_at")
+    return web_tables.offer_rows(spread(rows)).select("source_url", "page", "note", "extracted_at")
 
 
 @register(
@@ -483,7 +498,7 @@ union all select company_slug, c_name, 'Порт', '', '', 'Соя', 'Soybeans',
 
 @register("n11_price_matrix", MATRIX_SQL)
 def n11_price_matrix(spark, sf_dir):
-    return web_tables.elevator_rows(company_pages(spark, sf_dir))
+    return web_tables.elevator_rows(spread(company_pages(spark, sf_dir)))
 
 
 @register(
@@ -504,7 +519,7 @@ def n12_crop_names(spark, sf_dir):
 )
 def n13_expected_companies(spark, sf_dir):
     rows = web_tables.with_expected(
-        web_tables.elevator_rows(company_pages(spark, sf_dir)), web_tables.expected_companies(spark),
+        web_tables.elevator_rows(spread(company_pages(spark, sf_dir))), web_tables.expected_companies(spark),
         keys=["company_slug"], note=ref.NOTE_COMPANY_EMPTY,
     )
     return rows.groupBy("company_slug", "note").agg(F.count(F.lit(1)).alias("row_count"))

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from pricelake.operators import warehouse
+from pricelake.operators import oplog, warehouse
 from pricelake.plans.registry import ORDER_SQL, WITH_PRICES, register
+from pricelake.schemas import create_tables
 from pricelake.session import scratch_path
 from pricelake.sources.canonical import PRICE_ORDER, TIE_BREAK, prices, table
 
@@ -294,3 +295,40 @@ def w5_snapshot_roundtrip(spark, sf_dir):
     )
     warehouse.write_snapshot(merged, base)
     return warehouse.read_snapshot(spark, base)
+
+
+@register(
+    "w1_table_definitions",
+    """select r_regionkey as market_key, r_name as market_name, cast(null as varchar) as exchange, true as is_active
+       from region""",
+)
+def w1_table_definitions(spark, sf_dir):
+    """Creates every gold table and loads one of them."""
+    base = scratch_path(spark, "warehouse")
+    database = "gold_" + base.rsplit("-", 1)[-1]
+    spark.sql(f"CREATE DATABASE {database} LOCATION '{base}'")
+    create_tables(spark, database)
+    rows = table(spark, sf_dir, "region").select(
+        F.col("r_regionkey").alias("market_key"), F.col("r_name").alias("market_name"), F.lit(True).alias("is_active")
+    )
+    target = spark.table(f"{database}.dim_market")
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in target.schema.fields if f.name not in rows.columns}
+    rows.withColumns(missing).select(*target.columns).write.insertInto(f"{database}.dim_market")
+    return spark.table(f"{database}.dim_market").select("market_key", "market_name", "exchange", "is_active")
+
+
+@register(
+    "w12_load_report",
+    """select ts as timestamp, 'warehouse_load_' || event_type as operation, cast(user_id as varchar) as inserted
+       from events order by ts desc limit 100""",
+)
+def w12_load_report(spark, sf_dir):
+    loads = table(spark, sf_dir, "events").select(
+        F.col("ts").cast("timestamp").alias("timestamp"), F.col("event_type").alias("table"),
+        F.col("user_id").alias("records_inserted"), F.lit(0).alias("records_updated"),
+        F.col("value").alias("duration_seconds"), F.lit("completed").alias("status"),
+    )
+    return oplog.load_report(oplog.load_log(loads)).select(
+        F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "operation",
+        F.try_element_at("details", F.lit("records_inserted")).alias("inserted"),
+    )

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.operators import cleaning, enrich, normalize, quality
+from pricelake.operators import cleaning, enrich, normalize, quality, reports
 from pricelake.plans.analytics_queries import CALENDAR_ROWS, SERIES, daily
 from pricelake.plans.registry import (
     ORDER_SQL, WITH_DAILY, WITH_PRICES, register, sql_stable, stabled,
@@ -158,17 +158,32 @@ def c8_zscore_outliers(spark, sf_dir):
 
 @register(
     "c9_cleaning_report",
-    GAPPY_SQL + """, deduped as (
-      select * from (select *, row_number() over (partition by order_id, line_no) as rn from gappy) t where rn = 1),
-    counts as (
-      select (select count(*) from gappy) as a, (select count(*) from deduped) as b)
-    select 0 as step, 'input' as operation, a as rows_remaining, cast(0 as bigint) as rows_removed from counts
-    union all select 1, 'remove_duplicates', b, a - b from counts""",
+    GAPPY_SQL + """, counts as (
+      select (select count(*) from gappy) as a,
+        (select count(distinct row(order_id, line_no)) from gappy) as b,
+        (select count(*) from gappy where close_price is not null) as c)
+    select 0 as step, 'remove_duplicates' as operation, a as rows_in, b as rows_out, a - b as rows_removed from counts
+    union all select 1, 'drop_missing', a, c, a - c from counts""",
 )
 def c9_cleaning_report(spark, sf_dir):
     rows = gappy(spark, sf_dir)
     deduped = cleaning.drop_duplicates(rows, keys=["order_id", "line_no"], order_by=PRICE_ORDER)
-    return cleaning.step_report([("input", rows), ("remove_duplicates", deduped)])
+    present = cleaning.drop_missing(rows, ["close_price"])
+    return reports.operation_report([("remove_duplicates", rows, deduped), ("drop_missing", rows, present)])
+
+
+@register(
+    "e5_enrichment_report",
+    """select 0 as step, 'add_date_dimensions' as operation, count(*) as rows_in, count(*) as rows_out,
+         cast(0 as bigint) as rows_removed from orders
+       union all select 1, 'add_trading_flags', count(*), count(*), 0 from orders""",
+)
+def e5_enrichment_report(spark, sf_dir):
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", F.col("o_orderdate").cast("date").alias("date"))
+    dated = enrich.add_date_dimensions(rows)
+    return reports.operation_report(
+        [("add_date_dimensions", rows, dated), ("add_trading_flags", dated, enrich.add_trading_flags(dated))]
+    )
 
 
 CONVERT_SQL = "case currency when 'USD' then 1.0 when 'EUR' then 1.10 when 'UAH' then 0.027 else 1.0 end"

@@ -6,7 +6,8 @@ reading prices and adding placeholders are column expressions on the result.
 
 from __future__ import annotations
 
-from html.parser import HTMLParser
+import re
+from html import unescape
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,137 +27,128 @@ _TABLE = T.StructType(
 )
 
 
-class _TableReader(HTMLParser):
-    """Collects tables as rows of cells; text belongs to every open cell around it."""
-
-    def __init__(self) -> None:
-        super().__init__(convert_charrefs=True)
-        self.tables: list[dict] = []
-        self._open: list[dict] = []
-
-    def handle_starttag(self, tag, attrs):
-        values = dict(attrs)
-        if tag == "table":
-            table = {"classes": (values.get("class") or "").split(), "cells": []}
-            self.tables.append(table)
-            self._open.append({"table": table, "cell": None})
-            return
-        if not self._open:
-            return
-        state = self._open[-1]
-        if tag == "tr":
-            state["cell"] = None
-            state["table"]["cells"].append([])
-        elif tag in ("td", "th"):
-            if not state["table"]["cells"]:
-                state["table"]["cells"].append([])
-            cell = {"tag": tag, "parts": [], "anchor": False, "href": None, "inside": None, "bold": None, "para": None}
-            state["table"]["cells"][-1].append(cell)
-            state["cell"] = cell
-        elif state["cell"] is not None:
-            cell = state["cell"]
-            if tag == "a" and not cell["anchor"]:
-                cell["anchor"], cell["href"] = True, values.get("href") or None
-            for mark, field in (("b", "bold"), ("p", "para")):
-                if tag == mark and cell[field] is None:
-                    cell[field], cell["inside"] = [], field
-
-    def handle_endtag(self, tag):
-        if not self._open:
-            return
-        state = self._open[-1]
-        if tag == "table":
-            self._open.pop()
-        elif tag in ("td", "th", "tr"):
-            state["cell"] = None
-        elif tag in ("b", "p") and state["cell"] is not None:
-            state["cell"]["inside"] = None
-
-    def handle_data(self, data):
-        for state in self._open:
-            cell = state["cell"]
-            if cell is not None:
-                cell["parts"].append(data)
-                if cell["inside"]:
-                    cell[cell["inside"]].append(data)
+# comment | script or style with its content | tag (close, name, attributes) | text
+_TOKEN = re.compile(
+    r"<!--.*?(?:-->|\Z)|<(?P<skip>script|style)\b.*?</(?P=skip)\s*>"
+    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
+    re.DOTALL | re.IGNORECASE,
+)
+_ATTRIBUTE = re.compile(r"""([\w:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
-def _page_tables(html: str | None) -> list[dict]:
-    if not html:
-        return []
-    reader = _TableReader()
-    reader.feed(html)
-    reader.close()
+def _attribute(attrs: str, wanted: str) -> str:
+    for name, *values in _ATTRIBUTE.findall(attrs):
+        if name.lower() == wanted:
+            return unescape("".join(values))
+    return ""
+
+
+def _cell(tag: str) -> dict:
+    return {"tag": tag, "parts": [], "anchor": False, "href": None, "inside": None, "bold": None, "para": None}
 
+
+def _finished(cell: dict) -> dict:
     def joined(parts):
         return None if parts is None else "".join(parts).strip()
 
+    return {
+        "tag": cell["tag"],
+        "text": " ".join(p.strip() for p in cell["parts"] if p.strip()),
+        "raw": joined(cell["parts"]),
+        "href": cell["href"],
+        "bold": joined(cell["bold"]),
+        "para": joined(cell["para"]),
+    }
+
+
+def _page_tables(html: str | None) -> list[dict]:
+    """Tables of a page as rows of cells; text belongs to every open cell around it."""
+    if not html or "<table" not in html.lower():
+        return []
+    tables: list[dict] = []
+    open_tables: list[list] = []  # [table, current cell]
+    for token in _TOKEN.finditer(html):
+        text, tag = token["text"], token["tag"]
+        if text is not None:
+            if open_tables:
+                text = unescape(text) if "&" in text else text
+                for _, cell in open_tables:
+                    if cell is not None:
+                        cell["parts"].append(text)
+                        if cell["inside"]:
+                            cell[cell["inside"]].append(text)
+            continue
+        if tag is None:
+            continue
+        tag = tag.lower()
+        if tag == "table" and not token["close"]:
+            table = {"classes": _attribute(token["attrs"], "class").split(), "cells": []}
+            tables.append(table)
+            open_tables.append([table, None])
+        elif open_tables:
+            state = open_tables[-1]
+            if tag == "table":
+                open_tables.pop()
+            elif tag == "tr":
+                state[1] = None
+                if not token["close"]:
+                    state[0]["cells"].append([])
+            elif tag in ("td", "th"):
+                state[1] = None
+                if not token["close"]:
+                    if not state[0]["cells"]:
+                        state[0]["cells"].append([])
+                    state[1] = _cell(tag)
+                    state[0]["cells"][-1].append(state[1])
+            elif state[1] is not None:
+                _inline_tag(state[1], tag, token)
     return [
-        {
-            "classes": table["classes"],
-            "cells": [
-                [
-                    {
-                        "tag": cell["tag"],
-                        "text": " ".join(p.strip() for p in cell["parts"] if p.strip()),
-                        "raw": joined(cell["parts"]),
-                        "href": cell["href"],
-                        "bold": joined(cell["bold"]),
-                        "para": joined(cell["para"]),
-                    }
-                    for cell in row
-                ]
-                for row in table["cells"]
-            ],
-        }
-        for table in reader.tables
+        {"classes": t["classes"], "cells": [[_finished(c) for c in row] for row in t["cells"]]} for t in tables
     ]
 
 
+def _inline_tag(cell: dict, tag: str, token: re.Match) -> None:
+    """First link, first bold and first paragraph of a cell."""
+    if tag == "a" and not token["close"] and not cell["anchor"]:
+        cell["anchor"], cell["href"] = True, _attribute(token["attrs"], "href") or None
+    field = {"b": "bold", "p": "para"}.get(tag)
+    if field and token["close"]:
+        cell["inside"] = None
+    elif field and cell[field] is None:
+        cell[field], cell["inside"] = [], field
+
+
 @F.pandas_udf(T.ArrayType(_TABLE))
 def tables_of(html: pd.Series) -> pd.Series:
     """Every table of a page, in page order."""
     return html.map(_page_tables)
 
 
-class _ParagraphReader(HTMLParser):
+def _paragraphs(html: str | None, wanted: str = "addInfoTextView") -> list[str]:
     """Paragraph texts inside the first ``div`` of one class."""
-
-    def __init__(self, wanted: str) -> None:
-        super().__init__(convert_charrefs=True)
-        self.wanted, self.depth, self.done = wanted, 0, False
-        self.paragraphs: list[list[str]] = []
-        self.inside = False
-
-    def handle_starttag(self, tag, attrs):
-        if tag == "div" and not self.done:
-            if self.depth or self.wanted in (dict(attrs).get("class") or "").split():
-                self.depth += 1
-        elif tag == "p" and self.depth:
-            self.paragraphs.append([])
-            self.inside = True
-
-    def handle_endtag(self, tag):
-        if tag == "div" and self.depth:
-            self.depth -= 1
-            self.done = self.depth == 0
-        elif tag == "p":
-            self.inside = False
-
-    def handle_data(self, data):
-        if self.depth and self.inside and data.strip():
-            self.paragraphs[-1].append(data.strip())
+    depth, inside, found = 0, False, []
+    for token in _TOKEN.finditer(html or ""):
+        text, tag = token["text"], (token["tag"] or "").lower()
+        if text is not None:
+            if depth and inside and text.strip():
+                found[-1].append(unescape(text).strip())
+        elif tag == "div":
+            if token["close"] and depth:
+                depth -= 1
+                if depth == 0:
+                    break
+            elif not token["close"] and (depth or wanted in _attribute(token["attrs"], "class").split()):
+                depth += 1
+        elif tag == "p" and depth:
+            inside = not token["close"]
+            if inside:
+                found.append([])
+    return [" ".join(parts) for parts in found]
 
 
 @F.pandas_udf(T.ArrayType(_TEXT))
 def detail_paragraphs(html: pd.Series) -> pd.Series:
-    def read(page):
-        reader = _ParagraphReader("addInfoTextView")
-        reader.feed(page or "")
-        reader.close()
-        return [" ".join(parts) for parts in reader.paragraphs]
-
-    return html.map(read)
+    return html.map(_paragraphs)
 
 
 def table_cells(pages: DataFrame, *, key: str, html: str = "html") -> DataFrame:

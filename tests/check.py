@@ -10,7 +10,7 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 from pricelake.plans.catalog import ORACLES, QUERIES
 from pricelake.session import local_session
-from tests.oracle import connect, duck_rows, spark_rows
+from tests.oracle import connect, duck_rows, spark_rows, type_mismatches
 
 
 def main() -> int:
@@ -25,7 +25,8 @@ def main() -> int:
     for name in names:
         begin = time.time()
         try:
-            columns, rows = spark_rows(QUERIES[name](spark, sf_dir))
+            frame = QUERIES[name](spark, sf_dir)
+            columns, rows = spark_rows(frame)
             spent = time.time() - begin
             if name not in ORACLES:
                 print(f"rows {name}: {sum(rows.values())} rows {spent:.2f}s")
@@ -40,6 +41,9 @@ def main() -> int:
                     f"{sum(extra.values())}/{sum(missing.values())}\n  {columns}"
                     f"\n  spark {sorted(extra, key=repr)[:2]}\n  duck  {sorted(missing, key=repr)[:2]}"
                 )
+            mixed = type_mismatches(frame, duck, ORACLES[name])
+            if mixed:
+                print(f"  types {name}: {mixed}")
             print(f"ok   {name}: {sum(rows.values())} rows {spent:.2f}s")
         except Exception as error:  # noqa: BLE001
             bad.append(name)

@@ -46,3 +46,21 @@ def duck_rows(connection, sql: str) -> tuple[list[str], Counter]:
     order = sorted(range(len(names)), key=lambda i: names[i])
     rows = Counter(tuple(plain(row[i]) for i in order) for row in cursor.fetchall())
     return [names[i] for i in order], rows
+
+
+KINDS = {
+    "int": "INTEGER", "bigint": "BIGINT", "double": "DOUBLE", "string": "VARCHAR", "date": "DATE",
+    "boolean": "BOOLEAN", "timestamp_ntz": "TIMESTAMP",
+}
+
+
+def type_mismatches(df, connection, sql: str) -> list[str]:
+    """Columns whose Spark type is not the DuckDB type of the oracle."""
+    described = connection.execute(f"describe {sql}").fetchall()
+    duck = {row[0]: row[1] for row in described}
+    out = []
+    for name, kind in df.dtypes:
+        wanted = KINDS.get(kind, kind.upper().replace("DECIMAL(", "DECIMAL("))
+        if wanted.replace(" ", "") != duck.get(name, "").replace(" ", ""):
+            out.append(f"{name}: {kind} vs {duck.get(name)}")
+    return out
