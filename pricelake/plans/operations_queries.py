@@ -308,7 +308,7 @@ def t2_stream_dedup(spark, sf_dir):
     "t3_stream_daily",
     """select cast(ts as date) as date, event_type, arg_min(value, row(ts, event_id)) as open_price,
          max(value) as high_price, min(value) as low_price, arg_max(value, row(ts, event_id)) as close_price,
-         round(sum(user_id) + 1e-9, 4) as volume, count(*) as record_count
+         sum(user_id)::double as volume, count(*) as record_count
        from events group by 1, 2""",
 )
 def t3_stream_daily(spark, sf_dir):

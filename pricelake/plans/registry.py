@@ -23,13 +23,13 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
-NUDGE = 1e-9
-
-
 def stable(value: Column | str, digits: int = 4) -> Column:
-    """Round for comparison; the nudge keeps exact ties from depending on summation order."""
+    """Round for comparison with the same three operations in both engines.
+
+    The hair above one half keeps exact ties from depending on summation order.
+    """
     column = F.col(value) if isinstance(value, str) else value
-    return F.round(column + NUDGE, digits)
+    return F.floor(column * 10.0**digits + 0.50001) / 10.0**digits
 
 
 def stabled(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
@@ -37,7 +37,7 @@ def stabled(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
 
 
 def sql_stable(expression: str, digits: int = 4) -> str:
-    return f"round(cast({expression} as double) + 1e-9, {digits})"
+    return f"floor(cast({expression} as double) * 1e{digits} + 0.50001) / 1e{digits}"
 
 
 # Price facts as SQL, column for column what pricelake.sources.canonical.prices builds.
@@ -47,10 +47,10 @@ prices as (
     case r_regionkey % 3 when 0 then 'USD' when 1 then 'EUR' else 'UAH' end as currency,
     case p_size % 5 when 0 then 'ton' when 1 then 'TONNE' when 2 then 'bushel' when 3 then 'kg'
       else 'sack' end as unit,
-    floor(round(l_extendedprice * 100) / l_quantity) / 100 as close_price,
-    floor(round(l_extendedprice * 100) / l_quantity) / 100 * (1 + l_tax) as high_price,
-    floor(round(l_extendedprice * 100) / l_quantity) / 100 * (1 - l_discount) as low_price,
-    floor(round(l_extendedprice * 100) / l_quantity) / 100 * (1 + l_tax / 2) as open_price,
+    floor(floor(l_extendedprice * 100 + 0.5) / l_quantity) / 100 as close_price,
+    floor(floor(l_extendedprice * 100 + 0.5) / l_quantity) / 100 * (1 + l_tax) as high_price,
+    floor(floor(l_extendedprice * 100 + 0.5) / l_quantity) / 100 * (1 - l_discount) as low_price,
+    floor(floor(l_extendedprice * 100 + 0.5) / l_quantity) / 100 * (1 + l_tax / 2) as open_price,
     l_quantity as volume, l_orderkey as order_id, l_partkey as part_id, l_suppkey as supplier_id,
     l_linenumber as line_no, l_extendedprice as amount
   from lineitem join part on l_partkey = p_partkey join supplier on l_suppkey = s_suppkey

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pricelake.session import spread
+
 # Total order of price rows inside a day: the date plus every identifying column.
 PRICE_ORDER = ["date", "order_id", "part_id", "supplier_id", "line_no", "volume", "amount"]
 TIE_BREAK = PRICE_ORDER[1:]
@@ -18,7 +20,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price facts: line items with their part (commodity) and supplier region (market)."""
     # one dimension at a time, so that each table's own size decides how it is joined
     lines = (
-        table(spark, sf_dir, "lineitem")
+        spread(table(spark, sf_dir, "lineitem"))
         .join(table(spark, sf_dir, "part"), F.col("l_partkey") == F.col("p_partkey"))
         .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
         .join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
@@ -26,7 +28,7 @@ def prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     region = F.col("r_regionkey") % 3
     size = F.col("p_size") % 5
-    close = F.floor(F.round(F.col("l_extendedprice") * 100) / F.col("l_quantity")) / 100
+    close = F.floor(F.floor(F.col("l_extendedprice") * 100 + 0.5) / F.col("l_quantity")) / 100
     return lines.select(
         F.col("l_shipdate").cast("date").alias("date"),
         F.col("p_type").alias("commodity"),
