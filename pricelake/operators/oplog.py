@@ -30,6 +30,17 @@ def _columns(*names: str) -> dict[str, Column]:
     return {n: F.col(n) for n in names}
 
 
+def operation_log(df: DataFrame) -> DataFrame:
+    """From ``(timestamp, operation, status)`` and, where present, ``details`` and ``level``."""
+    details = F.col("details") if "details" in df.columns else F.create_map().cast("map<string,string>")
+    level = F.col("level") if "level" in df.columns else F.lit("INFO")
+    return df.select(
+        F.col("timestamp").cast("timestamp").alias("timestamp"), "operation", "status",
+        F.coalesce(details, F.create_map().cast("map<string,string>")).alias("details"),
+        F.coalesce(level, F.lit("INFO")).alias("level"),
+    )
+
+
 def extraction_log(df: DataFrame) -> DataFrame:
     """From ``(timestamp, source, record_count, duration_seconds, status)``."""
     return _log(

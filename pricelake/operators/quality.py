@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -297,10 +298,23 @@ def daily_quality_report(checks: Sequence[DataFrame]) -> DataFrame:
 
 
 def run_integrity_checks(spark: SparkSession, checks: Sequence[Mapping]) -> DataFrame:
-    """Runs ``{name, query, expected}`` entries over temp views; each query yields one value."""
+    """Runs ``{name, query, expected}`` entries over temp views; each query yields one value.
+
+    A query that cannot be analysed counts as failed.
+    """
     results = []
     for check in checks:
-        answer = spark.sql(check["query"])
+        try:
+            answer = spark.sql(check["query"])
+        except AnalysisException:
+            answer = spark.range(0).select(F.lit(None).cast("string").alias("no_answer"))
+            results.append(
+                answer.agg(F.first("no_answer").alias("actual")).select(
+                    F.lit(check["name"]).alias("check_name"), "actual",
+                    F.lit(str(check["expected"])).alias("expected"), F.lit(False).alias("passed"),
+                )
+            )
+            continue
         value = F.col(answer.columns[0])
         results.append(
             answer.agg(F.first(value).alias("v")).select(

@@ -141,6 +141,22 @@ def volume_analysis(
     return averaged.withColumn("volume_ratio_to_avg", F.try_divide("volume", "volume_30d_avg"))
 
 
+# display order of each view: (column, descending)
+VIEW_ORDER = {
+    "price_trends": [("commodity", False), ("date", True)],
+    "volatility": [("commodity", False), ("year", True), ("month", True)],
+    "source_comparison": [("date", True), ("commodity", False), ("source", False)],
+    "correlation": [("commodity_1", False), ("commodity_2", False)],
+    "yoy_comparison": [("commodity", False), ("current_year", True)],
+    "volume_analysis": [("commodity", False), ("date", True)],
+}
+
+
+def in_view_order(name: str, frame: DataFrame) -> DataFrame:
+    """Sort a view for display; the views themselves stay unsorted so that further queries need no sort."""
+    return frame.orderBy(*[F.col(c).desc() if descending else F.col(c) for c, descending in VIEW_ORDER[name]])
+
+
 def views(facts: DataFrame, *, order_by: Sequence[str]) -> dict[str, DataFrame]:
     """Every view over one denormalised fact frame, by name."""
     return {

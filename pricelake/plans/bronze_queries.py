@@ -191,7 +191,7 @@ PROVIDER_SQL = "case o_orderkey % 5 when 0 then 'NBU' when 1 then 'PrivatBank' w
 
 def fx_payloads(spark, sf_dir):
     """One payload per order: three list items or a rate map, some empty, some missing."""
-    orders = table(spark, sf_dir, "orders")
+    orders = spread(table(spark, sf_dir, "orders"))
     kind = F.col("o_orderkey") % 5
     price, status = F.col("o_totalprice"), F.col("o_orderstatus")
     day = F.date_format("o_orderdate", "dd.MM.yyyy")

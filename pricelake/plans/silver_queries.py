@@ -10,6 +10,7 @@ from pricelake.plans.analytics_queries import CALENDAR_ROWS, SERIES, daily
 from pricelake.plans.registry import (
     ORDER_SQL, WITH_DAILY, WITH_PRICES, register, sql_stable, stabled,
 )
+from pricelake.session import spread
 from pricelake.sources.canonical import PRICE_ORDER, prices, table
 
 ID = ["order_id", "part_id", "supplier_id", "line_no"]
@@ -246,7 +247,7 @@ def dated_text(spark, sf_dir):
         .when(kind == 3, F.date_format(ship, "dd.MM.yyyy"))
         .otherwise(F.concat(F.lit("on "), F.date_format(ship, "yyyy-MM-dd")))
     )
-    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", text.alias("date"))
+    return spread(table(spark, sf_dir, "lineitem")).select("l_orderkey", "l_linenumber", text.alias("date"))
 
 
 @register(
@@ -624,7 +625,8 @@ def q15_daily_report(spark, sf_dir):
     "q16_integrity_checks",
     """select 'no_orphan_parts' as check_name, cast(n as varchar) as actual, '0' as expected, n = 0 as passed
        from (select count(*) as n from lineitem where l_partkey not in (select p_partkey from part)) t
-       union all select 'regions', cast(n as varchar), '4', n = 4 from (select count(*) as n from region) r""",
+       union all select 'regions', cast(n as varchar), '4', n = 4 from (select count(*) as n from region) r
+       union all select 'broken', null, '0', false""",
 )
 def q16_integrity_checks(spark, sf_dir):
     for name in ("lineitem", "part", "region"):
@@ -638,6 +640,7 @@ def q16_integrity_checks(spark, sf_dir):
                 "expected": 0,
             },
             {"name": "regions", "query": "SELECT count(*) FROM region", "expected": 4},
+            {"name": "broken", "query": "SELECT count(*) FROM nowhere", "expected": 0},
         ],
     )
 

@@ -79,6 +79,14 @@ def scan_landed(
     )
 
 
+def file_volumes(landed: DataFrame, *, name: str) -> DataFrame:
+    """Rows and bytes per landed file and day, as volume growth wants them."""
+    return landed.groupBy("_file").agg(
+        F.count(F.lit(1)).alias("row_count"), F.max("_file_size").alias("byte_count"),
+        F.to_date(F.max("_file_time")).alias("day"),
+    ).select(F.lit(name).alias("table"), "day", "row_count", "byte_count")
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -177,6 +177,12 @@ def test_correlation_with_missing_and_repeated_prices(spark):
     assert fast["price_correlation"] == pytest.approx(slow["price_correlation"])
 
 
+def test_view_order(spark):
+    df = spark.createDataFrame([("b", 2024, 1), ("a", 2023, 1), ("a", 2024, 1), ("a", 2024, 2)], "commodity string, year int, month int")
+    rows = views.in_view_order("volatility", df).collect()
+    assert [tuple(r) for r in rows] == [("a", 2024, 2), ("a", 2024, 1), ("a", 2023, 1), ("b", 2024, 1)]
+
+
 def test_price_order_is_total(spark, sf_dir):
     facts = prices(spark, sf_dir)
     assert facts.count() == facts.select(*PRICE_ORDER).distinct().count()

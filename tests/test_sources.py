@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from pricelake import reference_values as ref
 from pricelake.functions.scalars import price_text, safe_number
+from pricelake.operators import oplog
 from pricelake.sources import landing, payloads, web_tables
 
 AT = datetime(2026, 4, 7, 7, 51, 20, 901077, tzinfo=timezone.utc)
@@ -208,6 +209,9 @@ def test_status_and_consolidation(spark, tmp_path):
     assert first["none"] == {"status": "no_data", "source": "none", "record_count": 0, "storage_type": "minio", "staged_path": None}
     total = landing.consolidation_summary(landing.consolidate(results, status)).first()
     assert (total["status"], total["active_staged_sources"], total["source_count"]) == ("staged", 1, 3)
+    volumes = landing.file_volumes(landing.scan_landed(spark, base, "id int", source="fx"), name="fx")
+    grown = oplog.volume_growth(volumes).first()
+    assert grown["row_count"] == 3 and grown["total_bytes"] == grown["byte_count"] > 0
     nothing = landing.staging_status(spark, base, ["none"])
     assert nothing.first()["latest_file"] is None
 
