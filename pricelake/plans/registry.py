@@ -23,13 +23,17 @@ def register(name: str, sql: str | None = None) -> Callable[[Query], Query]:
     return keep
 
 
+def half(digits: int) -> float:
+    return 0.5 + 1e-9 * 10.0**digits
+
+
 def stable(value: Column | str, digits: int = 4) -> Column:
     """Round for comparison with the same three operations in both engines.
 
     The hair above one half keeps exact ties from depending on summation order.
     """
     column = F.col(value) if isinstance(value, str) else value
-    return F.floor(column * 10.0**digits + 0.50001) / 10.0**digits
+    return F.floor(column * 10.0**digits + half(digits)) / 10.0**digits
 
 
 def stabled(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
@@ -37,7 +41,7 @@ def stabled(df: DataFrame, *names: str, digits: int = 4) -> DataFrame:
 
 
 def sql_stable(expression: str, digits: int = 4) -> str:
-    return f"floor(cast({expression} as double) * 1e{digits} + 0.50001) / 1e{digits}"
+    return f"floor(cast({expression} as double) * 1e{digits} + {half(digits)!r}) / 1e{digits}"
 
 
 # Price facts as SQL, column for column what pricelake.sources.canonical.prices builds.
