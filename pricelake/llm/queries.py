@@ -2,4 +2,4 @@
 
 from __future__ import annotations
 
-from pricelake.llm import jaccard_join  # noqa: F401
+from pricelake.llm import jaccard_join, quality_resampling  # noqa: F401

@@ -93,3 +93,26 @@ def shingles(raws: list[bytes], size: int) -> list[np.ndarray]:
         own = np.sort(own)
         out.append(own[np.append(True, own[1:] != own[:-1])] if len(own) else own)
     return out
+
+
+def bucket_grams(raws: list[bytes], bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, row) of all hashed n-grams of the texts, in three tables of 2**bits buckets each.
+
+    The tables hold lower-cased words, pairs of neighbouring words (by the difference of their hashes, so that
+    an immediate repetition is one bucket whatever the word) and runs of three bytes inside a text.
+    """
+    shift, size = np.uint64(64 - bits), 1 << bits
+    low, starts, ends, rows = word_spans(raws, lower=True)
+    words = word_hashes(low, starts, ends)
+    pairs = mix((words[1:] - words[:-1]))[rows[1:] == rows[:-1]] if len(words) else words
+    data = np.frombuffer(b"\n".join(raws) + b"\n", np.uint8).astype(np.uint32)
+    triples = ((data[:-2] * np.uint32(0x9E3779B1)) ^ (data[1:-1] * np.uint32(0x85EBCA77)) ^ (data[2:] * np.uint32(0xC2B2AE3D)))
+    owners = np.repeat(np.arange(len(raws)), [len(r) + 1 for r in raws])[:len(triples)]
+    same = rows[1:] == rows[:-1]
+    return (
+        np.concatenate([
+            (words >> shift).astype(np.int64), (pairs >> shift).astype(np.int64) + size,
+            (triples >> np.uint32(32 - bits)).astype(np.int64) + 2 * size,
+        ]),
+        np.concatenate([rows, rows[1:][same], owners]),
+    )
