@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-import pickle
 import sys
-from collections.abc import Callable
 
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -12,9 +10,11 @@ from pyspark.sql import functions as F
 
 from pricelake.session import checkpoint_dir, checkpointed, scratch_path
 
-__all__ = ["WORD", "SPACE", "checkpointed", "checkpoint_dir", "scratch_path", "saved", "sha_hex", "shipped", "table"]
+__all__ = ["BROADCAST_ROWS", "WORD", "SPACE", "checkpointed", "checkpoint_dir", "scratch_path", "saved", "sha_hex", "shipped", "sized", "table"]
 
 WORD = r"[^\x20\x09-\x0D]+"
+#: Most rows of one or two numbers that are sent to every executor (some 32 MB).
+BROADCAST_ROWS = 1_000_000
 SPACE = r"[\x20\x09-\x0D]+"
 
 
@@ -36,9 +36,10 @@ def saved(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def sha_hex(value: Column) -> Column:
-    return F.sha2(value.cast("binary"), 256)
+def sized(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """A written side of a join with the fitting hint: broadcast up to so many rows, shuffled beyond."""
+    return side.hint("broadcast" if side.count() <= most else "merge")
 
 
-def by_value(fn: Callable) -> Callable:
-    return pickle.loads(cloudpickle.dumps(fn))
+def sha_hex(value: Column) -> Column:
+    return F.sha2(value.cast("binary"), 256)

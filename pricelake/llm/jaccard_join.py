@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import saved, shipped, table
+from pricelake.llm.common import saved, shipped, sized, table
 from pricelake.llm.textops import chunks, shingles
 from pricelake.plans.registry import register
 
@@ -41,7 +41,7 @@ FREQUENT = 4096
 #: Rounds of few partners per text before the rest is compared pair by pair.
 ROUNDS = 3
 
-_SKETCH_BITS = 20
+_SKETCH_BITS = 18
 _LOW = (1 << 48) - 1
 
 
@@ -92,7 +92,9 @@ def _prefixes(size: int, percent: int, frequent: dict[int, int]) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
+        met: set[int] = set()
         for batch in batches:
+            batch = _unmet(batch, met)
             nodes = batch.column(0).to_numpy(zero_copy_only=False)
             for first, raws in chunks(batch.column(1)):
                 tokens, owners = [], []
@@ -114,29 +116,37 @@ def _prefixes(size: int, percent: int, frequent: dict[int, int]) -> Callable:
 
 
 def _fragments(size: int, fragments: int, frequent: dict[int, int]) -> Callable:
-    """Rows (node, fragment, shingles): the global order cut into ranges, the frequent shingles being the last."""
+    """Rows (node, shingles by fragment): the global order cut into ranges, the frequent shingles being the last."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
+        met: set[int] = set()
         for batch in batches:
-            nodes = batch.column(0).to_numpy(zero_copy_only=False)
+            batch = _unmet(batch, met)
             for first, raws in chunks(batch.column(1)):
-                keys, cuts, values = [], [], []
-                for i, own in enumerate(shingles(raws, size)):
-                    low = own & np.uint64(_LOW)
-                    place = (low >> np.uint64(40)).astype(np.int64) * (fragments - 1) >> 8
+                cuts, values = [0], []
+                for own in shingles(raws, size):
+                    place = ((own & np.uint64(_LOW)) >> np.uint64(40)).astype(np.int64) * (fragments - 1) >> 8
                     place[_parts(own, frequent) > 0] = fragments - 1
-                    for f in np.unique(place):
-                        keys.append(nodes[first + i])
-                        cuts.append(f)
-                        values.append(own[place == f].astype(np.int64))
-                offsets = np.cumsum([0, *map(len, values)]).astype(np.int32)
-                flat = pa.array(np.concatenate(values) if values else np.empty(0, np.int64))
-                yield pa.record_batch([pa.array(np.array(keys, np.int64)), pa.array(np.array(cuts, np.int32)), pa.ListArray.from_arrays(offsets, flat)], names=["node", "fragment", "grams"])
+                    order = np.argsort(place, kind="stable")
+                    values.append(own[order].astype(np.int64))
+                    cuts.extend(cuts[-1] + np.cumsum(np.bincount(place, minlength=fragments)))
+                inner = pa.ListArray.from_arrays(np.array(cuts, np.int32), pa.array(np.concatenate(values)))
+                outer = pa.ListArray.from_arrays(np.arange(len(raws) + 1, dtype=np.int32) * fragments, inner)
+                yield pa.record_batch([batch.column(0).slice(first, len(raws)), outer], names=["node", "grams"])
 
     return run
 
 
+def _unmet(batch: pa.RecordBatch, met: set[int]) -> pa.RecordBatch:
+    """The rows whose text this task has not had; other tasks' copies are dropped after the shuffle."""
+    fresh = []
+    for node in batch.column(0).to_pylist():
+        fresh.append(node not in met)
+        met.add(node)
+    return batch.filter(pa.array(fresh))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, component) of every node of the edges (a, b): the smallest node that they reach.
 
@@ -173,46 +183,54 @@ def _compatible(a: str, b: str, percent: int):
 
 
 def _verified(pairs: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with their exact overlap: partial counts per fragment, summed per pair."""
-    left = pairs.join(grams.hint("merge"), pairs.a == grams.node).select("a", "b", "na", "nb", "fragment", F.col("grams").alias("own"))
-    other = grams.select(F.col("node").alias("b"), "fragment", "grams")
-    partial = left.join(other.hint("merge"), ["b", "fragment"]).select(
-        "a", "b", "na", "nb", F.size(F.array_intersect("own", "grams")).alias("common")
+    """Pairs (a, b) that link: overlaps counted per fragment, summed per pair."""
+    left = pairs.join(grams.hint("merge"), pairs.a == grams.node).select("a", "b", "na", "nb", F.col("grams").alias("own"))
+    both = left.join(grams.hint("merge"), left.b == grams.node)
+    partial = both.select("a", "b", "na", "nb", F.explode(F.arrays_zip("own", "grams")).alias("fragment")).select(
+        "a", "b", "na", "nb", F.size(F.array_intersect("fragment.own", "fragment.grams")).alias("common")
     )
     return partial.groupBy("a", "b", "na", "nb").agg(F.sum("common").alias("common")).filter(
         F.col("common") * 100 >= (F.col("na") + F.col("nb") - F.col("common")) * percent
     ).select("a", "b")
 
 
-def _few_partners(lists: DataFrame, labels: DataFrame, turn: int, percent: int) -> DataFrame:
+def _shingle():
+    """The shingle of a list, whichever part of a frequent shingle's list it is."""
+    return F.col("token").bitwiseAND(F.lit(_LOW))
+
+
+def _apart(lists: DataFrame) -> DataFrame:
+    """The lists whose texts are in two components at least."""
+    ends = lists.groupBy(_shingle().alias("shingle")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
+    return lists.join(ends.filter("lo != hi").select("shingle"), _shingle() == F.col("shingle"), "left_semi")
+
+
+def _few_partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     """For each text the partner of another component that most of its lists offer: a list's first, or the one before."""
-    told = lists.join(labels, "node")
     order = ["n", "node"] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
     inside = W.partitionBy("token").orderBy(*order)
     kept = F.struct("node", "n", "component")
-    met = told.select(
+    met = lists.select(
         "node", "n", "component", F.lag(kept).over(inside).alias("before"), F.first(kept).over(inside).alias("first")
     )
     offers = met.select("node", "n", "component", F.explode(F.array_distinct(F.array("before", "first"))).alias("p")).filter(
         (F.col("p.component") != F.col("component")) & _compatible("n", "p.n", percent)
     )
     counted = offers.groupBy("node", "n", F.col("p.node").alias("partner"), F.col("p.n").alias("pn")).agg(F.count("*").alias("c"))
-    best = counted.groupBy("node", "n").agg(F.max(F.struct("c", "partner", "pn")).alias("m"))
-    low, high = F.col("node") < F.col("m.partner"), F.col("m.partner")
+    best = counted.groupBy("node", "n").agg(F.max(F.struct("c", "partner", "pn")).alias("m")).select("node", "n", "m.partner", "m.pn")
+    low = F.col("node") < F.col("partner")
     return best.select(
-        F.when(low, F.col("node")).otherwise(high).alias("a"), F.when(low, high).otherwise(F.col("node")).alias("b"),
-        F.when(low, F.col("n")).otherwise(F.col("m.pn")).alias("na"), F.when(low, F.col("m.pn")).otherwise(F.col("n")).alias("nb"),
+        F.least("node", "partner").alias("a"), F.greatest("node", "partner").alias("b"),
+        F.when(low, F.col("n")).otherwise(F.col("pn")).alias("na"), F.when(low, F.col("pn")).otherwise(F.col("n")).alias("nb"),
     ).distinct()
 
 
-def _rest(lists: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+def _rest(lists: DataFrame, percent: int) -> DataFrame:
     """Every pair that shares a list and is still in two components."""
-    told = lists.join(labels, "node").withColumn("token", F.col("token").bitwiseAND(F.lit(_LOW)))
-    apart = told.groupBy("token").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo != hi")
-    told = told.join(apart.select("token"), "token")
-    other = told.select("token", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("other"))
+    told = lists.withColumn("shingle", _shingle())
+    other = told.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("other"))
     return (
-        told.select("token", F.col("node").alias("a"), F.col("n").alias("na"), "component").join(other, "token")
+        told.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), "component").join(other, "shingle")
         .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & _compatible("na", "nb", percent))
         .select("a", "b", "na", "nb").distinct()
     )
@@ -230,15 +248,16 @@ def jaccard_components(
     sizes = found.filter("kind = 0").select(F.col("a").alias("node"), F.col("b").alias("n")).distinct()
 
     # At most (all shingles / frequent) buckets and never more than the sketch has: bounded, so shipped with the tasks.
-    sketch = found.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("c"))
+    sketch = saved(found.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("c")), "sketch")
     load = sketch.agg(F.sum("c")).first()[0] or 0
     least = max(frequent, 4 * load >> _SKETCH_BITS)
     often = {r["a"]: -(-r["c"] // least) for r in sketch.filter(F.col("c") > least).collect()}
 
     first = texts.select("node", "text").mapInArrow(_prefixes(size, percent, often), "token long, node long")
-    shared = first.withColumn("df", F.count("*").over(W.partitionBy("token"))).filter("df > 1 or token > %d" % _LOW).distinct()
+    first = first.repartition("token").distinct()
+    shared = first.withColumn("df", F.count("*").over(W.partitionBy("token"))).filter(f"df > 1 or token > {_LOW}")
     rank = F.when(F.col("token") > _LOW, F.lit(1 << 40)).otherwise(F.col("df"))
-    by_node = W.partitionBy("node").orderBy(rank, F.col("token").bitwiseAND(F.lit(_LOW)))
+    by_node = W.partitionBy("node").orderBy(rank, _shingle())
     least_common = F.ceil(F.col("n") * percent / 100)
     need = 1 + F.ceil(F.ceil(least_common * percent / 100) / 12)
     length = F.col("n") - least_common + 1 + F.ceil(least_common / 12)
@@ -246,25 +265,24 @@ def jaccard_components(
         shared.join(sizes, "node")
         .withColumn("place", F.row_number().over(by_node)).withColumn("known", F.count("*").over(W.partitionBy("node")))
         .filter(F.col("place") + (length - F.col("known")) <= length - need + 1)
+        .select("token", "node", "n", F.col("node").alias("component"))
     )
-    lists = saved(lists.select("token", "node", "n"), "lists")
-    alone = lists.groupBy(F.col("token").bitwiseAND(F.lit(_LOW)).alias("t")).agg(F.min("node").alias("lo"), F.max("node").alias("hi"))
-    nodes = saved(
-        lists.join(alone.filter("lo != hi"), F.col("token").bitwiseAND(F.lit(_LOW)) == F.col("t")).select("node").distinct(), "nodes"
-    )
-    lists = saved(lists.join(nodes, "node", "left_semi"), "lists")
+    lists = saved(_apart(saved(lists, "lists")), "lists")
+    nodes = saved(lists.select("node").distinct(), "nodes")
 
-    wanted = texts.select("node", "text").join(nodes.hint("merge"), "node", "left_semi").dropDuplicates(["node"])
+    wanted = texts.select("node", "text").join(sized(nodes), "node", "left_semi")
     grams = (
-        wanted.mapInArrow(_fragments(size, fragments, often), "node long, fragment int, grams array<long>")
-        .repartition(_shuffles(docs.sparkSession), "node").persist(StorageLevel.DISK_ONLY)
+        wanted.mapInArrow(_fragments(size, fragments, often), "node long, grams array<array<long>>")
+        .repartition(_shuffles(docs.sparkSession), "node").dropDuplicates(["node"]).persist(StorageLevel.DISK_ONLY)
     )
+    grams.count()  # its partitioning is known to the joins once it is there
     labels = nodes.select("node", F.col("node").alias("component"))
     for turn in range(rounds + 1):
-        pairs = _few_partners(lists, labels, turn, percent) if turn < rounds else _rest(lists, labels, percent)
+        pairs = _few_partners(lists, turn, percent) if turn < rounds else _rest(lists, percent)
         fresh = saved(_verified(pairs, grams, percent), "links")
         if not fresh.isEmpty():
             labels = _joined(labels, fresh)
+            lists = saved(_apart(lists.drop("component").join(labels, "node")), "lists")
     grams.unpersist()
 
     rows = texts.select("doc_id", "node").join(sizes, "node", "left")
@@ -285,7 +303,7 @@ def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group stays, the one with the smallest doc_id; all columns are kept."""
     found = jaccard_components(docs)
     gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(gone.hint("merge"), docs["doc_id"] == gone["gone"], "left_anti")
+    return docs.join(sized(saved(gone, "gone")), F.col("doc_id") == F.col("gone"), "left_anti")
 
 
 @register("op10_jaccard_join")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import saved, shipped, table
+from pricelake.llm.common import saved, shipped, sized, table
 from pricelake.llm.textops import bucket_grams, chunks
 from pricelake.plans.registry import register
 
@@ -174,7 +174,7 @@ def keep_sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
         return docs
     gone = weighed.filter(F.col("key") < cut).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct()
     same = docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_text"])
-    return docs.join(gone.hint("merge"), same, "left_anti")
+    return docs.join(sized(saved(gone, "gone")), same, "left_anti")
 
 
 @register("op1_quality_resampling")
