@@ -2,4 +2,4 @@
 
 from __future__ import annotations
 
-from pricelake.llm import jaccard_join, quality_resampling, quality_rules  # noqa: F401
+from pricelake.llm import jaccard_join, language_id, quality_resampling, quality_rules  # noqa: F401
