@@ -2,4 +2,6 @@
 
 from __future__ import annotations
 
-from pricelake.llm import jaccard_join, language_id, quality_resampling, quality_rules  # noqa: F401
+from pricelake.llm import (  # noqa: F401
+    jaccard_join, language_id, quality_resampling, quality_rules, secret_scan, sharding,
+)
