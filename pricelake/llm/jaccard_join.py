@@ -7,7 +7,9 @@ separately and the partial counts are summed per pair.
 Candidate pairs come from a prefix filter in two steps, both exact. A linked pair shares all but K of each
 set, K = n - ceil(t n). Step one keeps the first p = K + m shingles of the global order; a linked pair shares
 at least m of those. Step two orders the kept shingles by their document frequency and keeps the first
-p - m + 1, so shingles that no other text has come first and drop whole texts from the search.
+p - m + 1, so shingles that no other text has come first and drop whole texts from the search. Then the shingles
+that no other remaining text has are counted exactly: they bound the overlap of a text with any partner, and so
+the partner's size.
 
 Groups of copies are not expanded into all pairs: each round tests few partners per text and contracts what
 is linked; only what is still apart afterwards is compared pair by pair, so no link between two components
@@ -30,7 +32,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import saved, shipped, sized, table
-from pricelake.llm.textops import chunks, shingles
+from pricelake.llm.textops import chunks, mix, shingles
 from pricelake.plans.registry import register
 
 SIZE = 5
@@ -56,22 +58,23 @@ def _margin(n: np.ndarray | int) -> np.ndarray | int:
 
 
 def _digests(size: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (0, node, n) per text and, per task, (1, bucket, count) of a shingle count sketch."""
+    """Rows (0, node, n, hash of the set) per text and, per task, (1, bucket, count, 0) of a shingle count sketch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         np.seterr(over="ignore")
         sketch = np.zeros(1 << _SKETCH_BITS, np.int64)
         for batch in batches:
             nodes = batch.column(0).to_numpy(zero_copy_only=False)
-            counts = np.zeros(len(nodes), np.int64)
+            counts, kinds = np.zeros(len(nodes), np.int64), np.zeros(len(nodes), np.int64)
             for first, raws in chunks(batch.column(1)):
                 sets = shingles(raws, size)
+                kinds[first:first + len(sets)] = [int(mix(s).sum(dtype=np.uint64).astype(np.int64)) for s in sets]
                 counts[first:first + len(sets)] = [len(s) for s in sets]
                 every = np.concatenate(sets)
                 sketch += np.bincount((every >> np.uint64(64 - _SKETCH_BITS)).astype(np.int64), minlength=len(sketch))
-            yield pa.record_batch([pa.array(np.zeros(len(nodes), np.int8)), pa.array(nodes), pa.array(counts)], names=["kind", "a", "b"])
+            yield pa.record_batch([pa.array(np.zeros(len(nodes), np.int8)), pa.array(nodes), pa.array(counts), pa.array(kinds)], names=["kind", "a", "b", "c"])
         used = np.flatnonzero(sketch)
-        yield pa.record_batch([pa.array(np.ones(len(used), np.int8)), pa.array(used), pa.array(sketch[used])], names=["kind", "a", "b"])
+        yield pa.record_batch([pa.array(np.ones(len(used), np.int8)), pa.array(used), pa.array(sketch[used]), pa.array(np.zeros(len(used), np.int64))], names=["kind", "a", "b", "c"])
 
     return run
 
@@ -138,6 +141,24 @@ def _fragments(size: int, fragments: int, frequent: dict[int, int]) -> Callable:
     return run
 
 
+def _whole(size: int) -> Callable:
+    """Rows (shingle, node) of whole sets."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        np.seterr(over="ignore")
+        met: set[int] = set()
+        for batch in batches:
+            batch = _unmet(batch, met)
+            nodes = batch.column(0).to_numpy(zero_copy_only=False)
+            for first, raws in chunks(batch.column(1)):
+                sets = shingles(raws, size)
+                owners = np.repeat(nodes[first:first + len(sets)], [len(s) for s in sets])
+                tokens = (np.concatenate(sets) & np.uint64(_LOW)).astype(np.int64)
+                yield pa.record_batch([pa.array(tokens), pa.array(owners)], names=["token", "node"])
+
+    return run
+
+
 def _unmet(batch: pa.RecordBatch, met: set[int]) -> pa.RecordBatch:
     """The rows whose text this task has not had; other tasks' copies are dropped after the shuffle."""
     fresh = []
@@ -200,21 +221,31 @@ def _shingle():
 
 
 def _apart(lists: DataFrame) -> DataFrame:
-    """The lists whose texts are in two components at least."""
-    ends = lists.groupBy(_shingle().alias("shingle")).agg(F.min("component").alias("lo"), F.max("component").alias("hi"))
-    return lists.join(ends.filter("lo != hi").select("shingle"), _shingle() == F.col("shingle"), "left_semi")
+    """The places in lists with texts of two components at least, and with a text that is small enough as a partner."""
+    ends = lists.groupBy(_shingle().alias("shingle")).agg(
+        F.min("component").alias("lo"), F.max("component").alias("hi"), F.min("n").alias("least")
+    )
+    kept = lists.join(ends.filter("lo != hi").select("shingle", "least"), _shingle() == F.col("shingle"))
+    return kept.filter(F.col("most") >= F.col("least")).select(*lists.columns)
+
+
+def _fits(n: str, most: str, other_n: str, other_most: str, percent: int):
+    return _compatible(n, other_n, percent) & (F.col(most) >= F.col(other_n)) & (F.col(other_most) >= F.col(n))
 
 
 def _few_partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
-    """For each text the partner of another component that most of its lists offer: a list's first, or the one before."""
-    order = ["n", "node"] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
+    """For each text the partner of another component that most of its lists offer: a list's first, or the one before.
+
+    In the first turn the first of a list is the text with the fewest shingles of its own, such as the source of copies.
+    """
+    order = [(F.col("n") - F.col("most")) / F.col("n"), "node"] if turn == 0 else [F.xxhash64("node", F.lit(turn))]
     inside = W.partitionBy("token").orderBy(*order)
-    kept = F.struct("node", "n", "component")
+    kept = F.struct("node", "n", "most", "component")
     met = lists.select(
-        "node", "n", "component", F.lag(kept).over(inside).alias("before"), F.first(kept).over(inside).alias("first")
+        "node", "n", "most", "component", F.lag(kept).over(inside).alias("before"), F.first(kept).over(inside).alias("first")
     )
-    offers = met.select("node", "n", "component", F.explode(F.array_distinct(F.array("before", "first"))).alias("p")).filter(
-        (F.col("p.component") != F.col("component")) & _compatible("n", "p.n", percent)
+    offers = met.select("node", "n", "most", "component", F.explode(F.array_distinct(F.array("before", "first"))).alias("p")).filter(
+        (F.col("p.component") != F.col("component")) & _fits("n", "most", "p.n", "p.most", percent)
     )
     counted = offers.groupBy("node", "n", F.col("p.node").alias("partner"), F.col("p.n").alias("pn")).agg(F.count("*").alias("c"))
     best = counted.groupBy("node", "n").agg(F.max(F.struct("c", "partner", "pn")).alias("m")).select("node", "n", "m.partner", "m.pn")
@@ -228,10 +259,10 @@ def _few_partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
 def _rest(lists: DataFrame, percent: int) -> DataFrame:
     """Every pair that shares a list and is still in two components."""
     told = lists.withColumn("shingle", _shingle())
-    other = told.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("component").alias("other"))
+    other = told.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("component").alias("other"))
     return (
-        told.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), "component").join(other, "shingle")
-        .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & _compatible("na", "nb", percent))
+        told.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), "component").join(other, "shingle")
+        .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & _fits("na", "ma", "nb", "mb", percent))
         .select("a", "b", "na", "nb").distinct()
     )
 
@@ -244,8 +275,11 @@ def jaccard_components(
     shipped(__name__)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = texts.withColumn("node", F.xxhash64("text"))
-    found = saved(texts.select("node", "text").mapInArrow(_digests(size), "kind byte, a long, b long"), "digests")
-    sizes = found.filter("kind = 0").select(F.col("a").alias("node"), F.col("b").alias("n")).distinct()
+    found = saved(texts.select("node", "text").mapInArrow(_digests(size), "kind byte, a long, b long, c long"), "digests")
+    # Texts with equal sets are one: the smallest node stands for them.
+    kinds = found.filter("kind = 0").groupBy("c", "b").agg(F.min("a").alias("node"))
+    sizes = saved(kinds.select("node", F.col("b").alias("n"), F.col("c").alias("set_hash")), "sizes")
+    twins = found.filter("kind = 0").select(F.col("a").alias("text_node"), F.col("b").alias("n"), F.col("c").alias("set_hash")).distinct()
 
     # At most (all shingles / frequent) buckets and never more than the sketch has: bounded, so shipped with the tasks.
     sketch = saved(found.filter("kind = 1").groupBy("a").agg(F.sum("b").alias("c")), "sketch")
@@ -262,14 +296,23 @@ def jaccard_components(
     need = 1 + F.ceil(F.ceil(least_common * percent / 100) / 12)
     length = F.col("n") - least_common + 1 + F.ceil(least_common / 12)
     lists = (
-        shared.join(sizes, "node")
+        shared.join(sizes.select("node", "n"), "node")
         .withColumn("place", F.row_number().over(by_node)).withColumn("known", F.count("*").over(W.partitionBy("node")))
         .filter(F.col("place") + (length - F.col("known")) <= length - need + 1)
-        .select("token", "node", "n", F.col("node").alias("component"))
+        .select("token", "node", "n", F.col("node").alias("component"), F.floor(F.col("n") * 100 / percent).alias("most"))
     )
     lists = saved(_apart(saved(lists, "lists")), "lists")
     nodes = saved(lists.select("node").distinct(), "nodes")
 
+    # A set with u shingles of its own shares n - u at most, which bounds the partner's size.
+    whole = texts.select("node", "text").join(sized(nodes), "node", "left_semi").mapInArrow(_whole(size), "token long, node long")
+    own = whole.groupBy("token").agg(F.min("node").alias("node"), F.max("node").alias("last")).filter("node = last")
+    own = saved(own.groupBy("node").agg(F.count("*").alias("own")), "own")
+    most = F.floor((100 + percent) * (F.col("n") - F.coalesce("own", F.lit(0))) / percent) - F.col("n")
+    lists = lists.drop("most").join(own, "node", "left").withColumn("most", most).drop("own").filter(F.col("most") * 100 >= F.col("n") * percent)
+    lists = saved(_apart(saved(lists, "lists")), "lists")
+    nodes = saved(lists.select("node").distinct(), "nodes")
+
     wanted = texts.select("node", "text").join(sized(nodes), "node", "left_semi")
     grams = (
         wanted.mapInArrow(_fragments(size, fragments, often), "node long, grams array<array<long>>")
@@ -285,12 +328,14 @@ def jaccard_components(
             lists = saved(_apart(lists.drop("component").join(labels, "node")), "lists")
     grams.unpersist()
 
-    rows = texts.select("doc_id", "node").join(sizes, "node", "left")
-    rows = saved(rows.join(labels, "node", "left").select("doc_id", F.col("n").alias("n_shingles"), "node", "component"), "rows")
-    lowest = rows.groupBy(F.coalesce("component", "node").alias("group")).agg(F.min("doc_id").alias("component_id"))
+    named = sizes.join(labels, "node", "left").select("n", "set_hash", F.coalesce("component", "node").alias("group"))
+    groups = saved(twins.join(named, ["n", "set_hash"]).select("text_node", "n", "group"), "groups")
+    rows = texts.select("doc_id", F.col("node").alias("text_node")).join(groups, "text_node")
+    rows = saved(rows.select("doc_id", F.col("n").alias("n_shingles"), "group"), "rows")
+    lowest = rows.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     single = F.col("n_shingles") == 0
     return (
-        rows.withColumn("group", F.coalesce("component", "node")).join(lowest, "group")
+        rows.join(lowest, "group")
         .select("doc_id", "n_shingles", F.when(single, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
     )
 
