@@ -149,8 +149,8 @@ def _slots(rows: DataFrame, key: list[str]) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The documents that hold no item, with all their columns."""
-    gone = saved(contaminated(docs, items).select(F.col("doc_id").alias("gone")).distinct(), "gone")
-    return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("gone")), "left_anti")
+    gone = saved(contaminated(docs, items).select(F.col("doc_id").alias("__gone_id")).distinct(), "gone")
+    return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left_anti")
 
 
 @register("op4_decontamination")

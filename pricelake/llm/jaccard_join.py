@@ -347,8 +347,8 @@ def _shuffles(spark: SparkSession) -> int:
 def keep_one(docs: DataFrame) -> DataFrame:
     """One document of each group stays, the one with the smallest doc_id; all columns are kept."""
     found = jaccard_components(docs)
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("gone")).distinct()
-    return docs.join(sized(saved(gone, "gone")), F.col("doc_id") == F.col("gone"), "left_anti")
+    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
+    return docs.join(sized(saved(gone, "gone")), F.col("doc_id") == F.col("__gone_id"), "left_anti")
 
 
 @register("op10_jaccard_join")

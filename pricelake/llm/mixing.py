@@ -103,16 +103,18 @@ def mix(
 
     Without a budget in tokens it is a percentage of the tokens there are.
     """
-    plain = docs.drop("n_tokens", "epoch")
-    keyed = plain.withColumns({f"_{k}": F.coalesce(F.col(k), F.lit("")) for k in tree}).withColumn("n_tokens", tokens(F.col("text")))
-    keyed = keyed.withColumn("spin", F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(F.coalesce("text", F.lit("")))))
-    keys = [f"_{k}" for k in tree]
+    keys = [f"key_{k}" for k in tree]
+    text = F.coalesce(F.col("text"), F.lit(""))
+    keyed = docs.select(
+        F.struct(*(c for c in docs.columns if c not in ("n_tokens", "epoch"))).alias("row"), *(F.coalesce(F.col(k), F.lit("")).alias(f"key_{k}") for k in tree),
+        tokens(F.col("text")).alias("n_tokens"), F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.md5(text)).alias("spin"),
+    )
     leaves = keyed.groupBy(*keys).agg(F.sum("n_tokens").alias("n_tokens"), F.count("*").alias("n_rows"))
     leaves = saved(leaves.toDF(*tree, "n_tokens", "n_rows"), "leaves")
     if budget is None:
         budget = (leaves.agg(F.sum("n_tokens")).first()[0] or 0) * budget_percent // 100
     budgets = saved(leaf_budgets(leaves, tree, weights, budget, max_epochs), "budgets").toDF(*keys, "leaf_tokens", "leaf_rows", "budget")
-    return _prefixes(keyed, budgets, keys, max_epochs, seed).drop(*keys, "spin")
+    return _prefixes(keyed, budgets, keys, max_epochs, seed).select("row.*", "n_tokens", "epoch")
 
 
 def _prefixes(keyed: DataFrame, budgets: DataFrame, keys: list[str], max_epochs: int, seed: int) -> DataFrame:

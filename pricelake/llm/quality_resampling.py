@@ -172,8 +172,8 @@ def keep_sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     _, cut, weighed = resampling_model(docs, labels)
     if cut is None:
         return docs
-    gone = weighed.filter(F.col("key") < cut).select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_text")).distinct()
-    same = docs["doc_id"].cast("long").eqNullSafe(gone["gone_id"]) & (F.xxhash64(docs["text"]) == gone["gone_text"])
+    gone = weighed.filter(F.col("key") < cut).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_text"))
     return docs.join(sized(saved(gone, "gone")), same, "left_anti")
 
 

@@ -3,5 +3,6 @@
 from __future__ import annotations
 
 from pricelake.llm import (  # noqa: F401
-    chat_format, decontaminate, jaccard_join, language_id, mixing, quality_resampling, quality_rules, secret_scan, sharding,
+    chat_format, decontaminate, jaccard_join, language_id, mixing, page_text,
+    quality_resampling, quality_rules, secret_scan, sharding,
 )

@@ -39,27 +39,34 @@ def shard_by_bytes(docs: DataFrame, shards: int = SHARDS, row_bytes: int = ROW_B
     """
     spark = docs.sparkSession
     ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    placed = (docs if is_measured else measured(docs, row_bytes)).withColumn("row_place", F.monotonically_increasing_id())
-    order = ["doc_id", "text_crc32", "size", "row_place"]
+    sized_rows = docs if is_measured else measured(docs, row_bytes)
+    others = [c for c in sized_rows.columns if c not in ("size", "text_crc32", "shard", "slot")]
+    placed = sized_rows.select(
+        F.struct(*others).alias("row"), F.col("doc_id").alias("id"), "text_crc32", "size", F.monotonically_increasing_id().alias("row_place")
+    )
+    order = ["id", "text_crc32", "size", "row_place"]
     dealt = saved(placed.repartitionByRange(ranges, *order).withColumn("range_no", F.spark_partition_id()), "ranges")
     totals = dealt.groupBy("range_no").agg(F.sum("size").alias("bytes"))
     ahead = W.orderBy("range_no").rowsBetween(W.unboundedPreceding, -1)
     # One row per range: their number is a setting, not a property of the data.
     before = totals.select("range_no", F.coalesce(F.sum("bytes").over(ahead), F.lit(0)).alias("before"), F.sum("bytes").over(W.partitionBy()).alias("total"))
+    before = saved(before, "before")
+    # The cuts need no texts: a narrow copy counts the rows of each shard in each range.
     inside = W.partitionBy("range_no").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
-    cut = (
-        dealt.join(F.broadcast(before), "range_no").withColumn("end", F.col("before") + F.sum("size").over(inside))
-        .withColumn("shard", F.least(F.lit(shards - 1), F.expr(f"cast((2 * end - size) * {shards} div (2 * total) as int)")))
-    )
-    own = W.partitionBy("range_no", "shard").orderBy(*order)
-    ranked = cut.withColumn("rank_here", F.row_number().over(own) - 1)
+
+    def cut(rows: DataFrame) -> DataFrame:
+        told = rows.join(F.broadcast(before), "range_no").withColumn("end", F.col("before") + F.sum("size").over(inside))
+        return told.withColumn("shard", F.least(F.lit(shards - 1), F.expr(f"cast((2 * end - size) * {shards} div (2 * total) as int)")))
+
     # Per range and shard one row: at most shards + ranges of them hold rows.
-    counts = saved(cut.groupBy("range_no", "shard").agg(F.count("*").alias("n")), "counts")
+    counts = cut(dealt.select("range_no", *order)).groupBy("range_no", "shard").agg(F.count("*").alias("n"))
     ahead = W.partitionBy("shard").orderBy("range_no").rowsBetween(W.unboundedPreceding, -1)
-    starts = counts.select("range_no", "shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start"))
-    return ranked.join(F.broadcast(starts), ["range_no", "shard"]).withColumn(
-        "slot", (F.col("start") + F.col("rank_here")).cast("long")
-    ).drop("range_no", "row_place", "before", "total", "end", "rank_here", "start")
+    starts = saved(counts.select("range_no", "shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("start")), "starts")
+    own = W.partitionBy("range_no", "shard").orderBy(*order)
+    ranked = cut(dealt).withColumn("rank_here", F.row_number().over(own) - 1)
+    return ranked.join(F.broadcast(starts), ["range_no", "shard"]).select(
+        "row.*", "size", "text_crc32", "shard", (F.col("start") + F.col("rank_here")).cast("long").alias("slot")
+    )
 
 
 @register("op6_sharding")
