@@ -41,7 +41,7 @@ FRAGMENTS = 8
 #: Shingles of more documents than this come last in the global order, and their lists are dealt in parts of about this size.
 FREQUENT = 4096
 #: Rounds of few partners per text before the rest is compared pair by pair.
-ROUNDS = 3
+ROUNDS = 2
 
 _SKETCH_BITS = 18
 _LOW = (1 << 48) - 1
@@ -256,14 +256,27 @@ def _few_partners(lists: DataFrame, turn: int, percent: int) -> DataFrame:
     ).distinct()
 
 
-def _rest(lists: DataFrame, percent: int) -> DataFrame:
-    """Every pair that shares a list and is still in two components."""
-    told = lists.withColumn("shingle", _shingle())
-    other = told.select("shingle", F.col("node").alias("b"), F.col("n").alias("nb"), F.col("most").alias("mb"), F.col("component").alias("other"))
+def _rest(lists: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
+    """Every pair of two components that may still link.
+
+    The whole sets of the texts that are left are put in one order, rare shingles first. A linked pair's first common
+    shingle is among the first n - ceil(t n) + 1 of both, and behind it both have as many shingles as must be shared.
+    """
+    nodes = lists.select("node", "n", "component").distinct()
+    held = saved(
+        nodes.join(grams.hint("merge"), "node").select("node", "n", "component", F.explode(F.flatten("grams")).alias("gram")), "held"
+    )
+    counts = held.groupBy("gram").agg(F.count("*").alias("df"), (F.min("component") != F.max("component")).alias("shared"))
+    place = F.row_number().over(W.partitionBy("node").orderBy("df", "gram")) - 1
+    prefix = held.join(counts, "gram").withColumn("place", place).filter(F.col("place") <= F.col("n") - F.ceil(F.col("n") * percent / 100))
+    prefix = saved(prefix.filter("shared").drop("df", "shared"), "prefix")
+    other = prefix.select("gram", *(F.col(c).alias(f"{c}_b") for c in ("node", "n", "component", "place")))
+    both = F.col("n") + F.col("n_b")
+    enough = ((F.col("n") - F.col("place")) * (100 + percent) >= both * percent) & ((F.col("n_b") - F.col("place_b")) * (100 + percent) >= both * percent)
     return (
-        told.select("shingle", F.col("node").alias("a"), F.col("n").alias("na"), F.col("most").alias("ma"), "component").join(other, "shingle")
-        .filter((F.col("a") < F.col("b")) & (F.col("component") != F.col("other")) & _fits("na", "ma", "nb", "mb", percent))
-        .select("a", "b", "na", "nb").distinct()
+        prefix.join(other, "gram")
+        .filter((F.col("node") < F.col("node_b")) & (F.col("component") != F.col("component_b")) & _compatible("n", "n_b", percent) & enough)
+        .select(F.col("node").alias("a"), F.col("node_b").alias("b"), F.col("n").alias("na"), F.col("n_b").alias("nb")).distinct()
     )
 
 
@@ -321,7 +334,7 @@ def jaccard_components(
     grams.count()  # its partitioning is known to the joins once it is there
     labels = nodes.select("node", F.col("node").alias("component"))
     for turn in range(rounds + 1):
-        pairs = _few_partners(lists, turn, percent) if turn < rounds else _rest(lists, percent)
+        pairs = _few_partners(lists, turn, percent) if turn < rounds else _rest(lists, grams, percent)
         fresh = saved(_verified(pairs, grams, percent), "links")
         if not fresh.isEmpty():
             labels = _joined(labels, fresh)

@@ -8,7 +8,7 @@ import numpy as np
 import pyarrow as pa
 
 #: Texts are hashed together up to so many bytes; a longer text forms a chunk of its own.
-CHUNK_BYTES = 1 << 20
+CHUNK_BYTES = 1 << 18
 
 _BYTES = np.arange(256)
 _SPACE = (_BYTES == 32) | ((_BYTES >= 9) & (_BYTES <= 13))
