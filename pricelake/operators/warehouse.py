@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from pricelake import reference_values as ref
@@ -16,6 +16,7 @@ from pricelake.operators.enrich import add_date_dimensions, add_trading_flags
 from pricelake.operators.quality import check_missing_values, check_row_count, referential_orphans, union_checks
 from pricelake.operators.series import join_null_safe
 from pricelake.schemas import TABLES
+from pricelake.session import checkpointed
 
 
 def seed_dimensions(spark: SparkSession, loaded_at: Column | None = None) -> dict[str, DataFrame]:
@@ -149,6 +150,11 @@ def date_dimension(spark: SparkSession, start, end, holidays: Sequence[str] = re
     days = spark.range(1).select(
         F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("calendar_date")
     )
+    return calendar_rows(days, holidays)
+
+
+def calendar_rows(days: DataFrame, holidays: Sequence[str] = ref.HOLIDAYS) -> DataFrame:
+    """Date-dimension rows of a frame of calendar dates."""
     flagged = add_trading_flags(add_date_dimensions(days, date="calendar_date"), date="calendar_date", holidays=holidays)
     return flagged.select(
         date_key(F.col("calendar_date")).alias("date_key"), "calendar_date", "year", "quarter", "month",
@@ -202,24 +208,83 @@ def _complete() -> Column:
     return reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in FACT_KEYS])
 
 
+def _fact_decimals() -> dict[str, str]:
+    typed = (c.strip().split(" ", 1) for c in TABLES["commodity_prices_fact"].split(", "))
+    return {name: kind for name, kind in typed if kind.startswith("decimal")}
+
+
+def _overflows(columns: Sequence[str]) -> Column:
+    """Whether a value is too large for its column of the fact table."""
+    return reduce(
+        lambda a, b: a | b,
+        [
+            F.col(name).isNotNull() & F.col(name).try_cast(kind).isNull()
+            for name, kind in _fact_decimals().items() if name in columns
+        ],
+        F.lit(False),
+    )
+
+
 def fact_rows(resolved: DataFrame, *, natural_key: Sequence[str], loaded_at: Column | None = None) -> DataFrame:
-    """Fact-table layout of the rows whose five keys are all known."""
+    """Fact-table layout of the rows whose five keys are known and whose values fit their columns."""
     at = F.current_timestamp() if loaded_at is None else loaded_at
     typed = {name: kind for name, kind in (c.strip().split(" ", 1) for c in TABLES["commodity_prices_fact"].split(", "))}
-    ready = resolved.filter(_complete()).withColumns(
+    ready = resolved.filter(_complete() & ~_overflows(resolved.columns)).withColumns(
         {"price_id": surrogate_key(natural_key), "created_at": at, "updated_at": at}
     )
     return ready.select(
         *[
-            (F.col(name).try_cast(kind) if kind.startswith("decimal") else F.col(name)).alias(name)
+            (F.col(name).cast(kind) if kind.startswith("decimal") else F.col(name)).alias(name)
             for name, kind in typed.items()
         ]
     )
 
 
+def rejected_rows(resolved: DataFrame) -> DataFrame:
+    """Rows with all keys that hold a value too large for the fact table."""
+    return resolved.filter(_complete() & _overflows(resolved.columns))
+
+
 def fact_statistics(resolved: DataFrame) -> DataFrame:
-    """Rows loaded and rows skipped for a missing key."""
-    return resolved.agg(F.count_if(_complete()).alias("inserted"), F.count_if(~_complete()).alias("skipped"))
+    """Rows loaded, rows skipped for a missing key and rows rejected for a value that does not fit."""
+    overflow = _overflows(resolved.columns)
+    return resolved.agg(
+        F.count_if(_complete() & ~overflow).alias("inserted"), F.count_if(~_complete()).alias("skipped"),
+        F.count_if(_complete() & overflow).alias("rejected"),
+    )
+
+
+NAMED_DIMENSIONS = {
+    "dim_commodity": ("commodity", "commodity_name", "commodity_key"),
+    "dim_market": ("market", "market_name", "market_key"),
+    "dim_source": ("source", "source_name", "source_key"),
+    "dim_currency": ("currency", "currency_code", "currency_key"),
+}
+
+
+def dimensions_with(dims: Mapping[str, DataFrame], rows: DataFrame) -> dict[str, DataFrame]:
+    """The five dimensions, extended by the names and dates of new rows.
+
+    New names get the next keys in alphabetical order.  A dimension's names are few by design, so numbering them
+    in one task is bounded by the dimension, not by the facts.
+    """
+    out = dict(dims)
+    for name, (column, label, key) in NAMED_DIMENSIONS.items():
+        known = dims[name]
+        fresh = rows.select(F.col(column).alias(label)).filter(F.col(label).isNotNull()).distinct()
+        fresh = fresh.join(known.select(F.col(label).alias("__known")), F.col(label) == F.col("__known"), "left_anti")
+        top = known.agg(F.coalesce(F.max(key), F.lit(0)).alias("__top"))
+        numbered = fresh.crossJoin(top).select(
+            label, (F.col("__top") + F.row_number().over(Window.orderBy(label))).cast(known.schema[key].dataType).alias(key)
+        )
+        if "is_current" in known.columns:
+            numbered = numbered.withColumns({"is_current": F.lit(True), "version": F.lit(1)})
+        out[name] = known.unionByName(numbered, allowMissingColumns=True)
+    days = dims["dim_date"]
+    fresh = rows.select(F.col("date").cast("date").alias("calendar_date")).filter("calendar_date is not null").distinct()
+    fresh = fresh.join(days.select(F.col("calendar_date").alias("__known")), F.col("calendar_date") == F.col("__known"), "left_anti")
+    out["dim_date"] = days.unionByName(calendar_rows(fresh), allowMissingColumns=True)
+    return out
 
 
 def with_partition(df: DataFrame, grain: str) -> tuple[DataFrame, str]:
@@ -231,11 +296,35 @@ def with_partition(df: DataFrame, grain: str) -> tuple[DataFrame, str]:
     raise ValueError(f"unknown grain {grain!r}")
 
 
+def merge_partitions(incoming: DataFrame, path: str, *, keys: Sequence[str], part: str) -> str:
+    """Insert or replace rows by ``keys`` inside the partitions that the incoming rows fall into.
+
+    Rows of a touched partition that no incoming key replaces stay; other partitions keep their files.  The
+    partition has to follow from the key, so that a key never moves.  The touched partition values are the
+    batch's days (or months), few enough to name in the scan, which then reads only their folders.
+    """
+    spark = incoming.sparkSession
+    fresh = checkpointed(incoming)
+    touched = sorted(r[0] for r in fresh.select(part).distinct().collect() if r[0] is not None)
+    merged = fresh
+    if path_exists(spark, path):
+        stored = spark.read.parquet(path).filter(F.col(part).isin(touched))
+        match = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(F.col(f"__i_{k}")) for k in keys])
+        kept = stored.join(fresh.select(*[F.col(k).alias(f"__i_{k}") for k in keys]), match, "left_anti")
+        merged = checkpointed(kept).unionByName(fresh, allowMissingColumns=True)
+    _replace(merged, path, [part])
+    return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+
+
 def write_fact(fact: DataFrame, path: str, *, grain: str = "day") -> str:
-    """Replace the days (or months) present in ``fact``; AQE sizes the files of each partition."""
+    """Merge by ``price_id`` inside the touched days (or months); loaded rows of the same day stay."""
     keyed, part = with_partition(fact, grain)
-    _replace(keyed, path, [part])
-    return path
+    return merge_partitions(keyed, path, keys=["price_id"], part=part)
 
 
 def fact_daily_summary(fact: DataFrame, *, order_by: Sequence[str]) -> DataFrame:
@@ -299,6 +388,28 @@ def _replace(df: DataFrame, path: str, parts: Sequence[str]) -> None:
     )
 
 
+def _inside_periods(days: DataFrame, position: int, grain: str) -> Column:
+    """Whether a date key (or month key) lies in a week (or month, or year) that one of the days lies in.
+
+    The touched periods are few; named as key ranges they prune the folders of the daily table.
+    """
+    day = date_of_key(F.col("date_key"))
+    if grain == "month":
+        start, end = F.make_date(F.year(day), F.lit(1), F.lit(1)), F.make_date(F.year(day), F.lit(12), F.lit(31))
+    elif position == 0:
+        start = F.date_trunc("week", day).cast("date")
+        # the summaries are cut at calendar years as well, so a week may be half of one
+        end = F.date_add(start, 6)
+    else:
+        start, end = F.trunc(day, "month"), F.last_day(day)
+    spans = days.select(date_key(start).alias("lo"), date_key(end).alias("hi"), F.year(day).alias("y")).distinct().collect()
+    if grain == "month":
+        return reduce(lambda a, b: a | b, [F.col("month_key").between(r["lo"] // 100, r["hi"] // 100) for r in spans], F.lit(False))
+    return reduce(
+        lambda a, b: a | b, [F.col("date_key").between(max(r["lo"], r["y"] * 10000), min(r["hi"], r["y"] * 10000 + 1231)) for r in spans], F.lit(False)
+    )
+
+
 def refresh_summaries(
     spark: SparkSession, fact_path: str, base: str, *, order_by: Sequence[str],
     touched: DataFrame | None = None, tables: Sequence[str] | None = None, grain: str = "day",
@@ -329,9 +440,7 @@ def refresh_summaries(
             parts = {"year": parts["year"]}
         rows = spark.read.parquet(daily_path)
         if days is not None:
-            hit = days.select(*[v.alias(f"__{p}") for p, v in parts.items()]).distinct()
-            same = reduce(lambda a, b: a & b, [v == F.col(f"__{p}") for p, v in parts.items()])
-            rows = rows.join(hit, same, "left_semi")
+            rows = rows.filter(_inside_periods(days, position, grain))
         _replace(fact_period_summaries(rows)[position], f"{base}/{name}", list(parts))
     return names
 

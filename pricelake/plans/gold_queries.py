@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from pricelake.operators import oplog, warehouse
-from pricelake.plans.registry import ORDER_SQL, WITH_PRICES, register
+from pricelake.plans.registry import ORDER_SQL, PRICES_SQL, WITH_PRICES, register
 from pricelake.schemas import create_tables
 from pricelake.session import scratch_path
+from pricelake.plans import medallion
 from pricelake.sources.canonical import PRICE_ORDER, TIE_BREAK, prices, table
 
 CUSTOMER = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
@@ -196,7 +197,7 @@ def w8_fact_rows(spark, sf_dir):
 @register(
     "w8_fact_statistics",
     RESOLVED_SQL + """select (select count(*) from fact) as inserted,
-      (select count(*) from resolved) - (select count(*) from fact) as skipped""",
+      (select count(*) from resolved) - (select count(*) from fact) as skipped, cast(0 as bigint) as rejected""",
 )
 def w8_fact_statistics(spark, sf_dir):
     return warehouse.fact_statistics(resolved(spark, sf_dir))
@@ -219,7 +220,8 @@ def monthly_fact(spark, sf_dir):
     """Fact rows with their ordering columns."""
     complete = resolved(spark, sf_dir).filter("date_key IS NOT NULL AND commodity_key IS NOT NULL")
     return complete.select(
-        *warehouse.FACT_KEYS, *TIE_BREAK, F.col("close_price").cast("decimal(10,2)").alias("close_price")
+        warehouse.surrogate_key(PRICE_ORDER).alias("price_id"), *warehouse.FACT_KEYS, *TIE_BREAK,
+        F.col("close_price").cast("decimal(10,2)").alias("close_price"),
     )
 
 
@@ -332,3 +334,56 @@ def w12_load_report(spark, sf_dir):
         F.col("timestamp").cast("timestamp_ntz").alias("timestamp"), "operation",
         F.try_element_at("details", F.lit("records_inserted")).alias("inserted"),
     )
+
+
+CHAIN_SQL = f"""with {PRICES_SQL}, loaded as (
+    select cast(strftime(date, '%Y%m%d') as int) as date_key, commodity, market, source, close_price, volume
+    from prices where part_id % 97 <> 0)"""
+
+
+def chain_two_loads(spark, sf_dir):
+    """Paths after two loads: the second brings late rows of loaded days and one new commodity.
+
+    Both hold prices too large for the fact table.
+    """
+    rows = prices(spark, sf_dir).withColumn("date_key", F.date_format("date", "yyyyMMdd").cast("int"))
+    rows = rows.withColumn("close_price", F.when(F.col("part_id") % 97 == 0, F.lit(1.5e8)).otherwise(F.col("close_price")))
+    late = (F.col("order_id") % 7 == 0) | (F.col("commodity") == "PROMO")
+    seeds = warehouse.seed_dimensions(spark)
+    dims = {**seeds, "dim_date": warehouse.date_dimension(spark, "1994-01-01", "1994-01-31")}
+    base = scratch_path(spark, "chain")
+    paths = {}
+    for batch in (rows.filter(~late), rows.filter(late)):
+        paths = medallion.load_gold(
+            spark, batch, dims, base, natural_key=PRICE_ORDER, grain="month", grow_dimensions=True
+        )
+        dims = {name: warehouse.read_snapshot(spark, paths[name]) for name in dims}
+    return paths
+
+
+@register(
+    "w13_chain_two_loads",
+    CHAIN_SQL + """select date_key, commodity, market, cast(max(close_price) as decimal(10,2)) as high_price,
+      cast(min(close_price) as decimal(10,2)) as low_price, cast(sum(volume) as decimal(15,2)) as volume,
+      cast(count(distinct source) as int) as source_count, cast(count(*) as int) as record_count
+    from loaded group by 1, 2, 3""",
+)
+def w13_chain_two_loads(spark, sf_dir):
+    paths = chain_two_loads(spark, sf_dir)
+    commodity, market = (
+        warehouse.read_snapshot(spark, paths[f"dim_{n}"]).select(f"{n}_key", F.col(f"{n}_name").alias(n)) for n in ("commodity", "market")
+    )
+    daily = spark.read.parquet(paths["daily_price_summary"]).join(commodity, "commodity_key").join(market, "market_key")
+    return daily.select("date_key", "commodity", "market", "high_price", "low_price", "volume", "source_count", "record_count")
+
+
+@register(
+    "w10_refresh_weekly",
+    W10_DAILY_SQL + """select cast(year(d) as int) as year, cast(weekofyear(d) as int) as week_of_year, commodity_key, min(close_price) as min_price,
+      max(close_price) as max_price, cast(sum(volume) as decimal(15,2)) as total_volume
+      from (select *, cast(strptime(cast(date_key as varchar), '%Y%m%d') as date) as d from summary) group by 1, 2, 3""",
+)
+def w10_refresh_weekly(spark, sf_dir):
+    return spark.read.parquet(refreshed(spark, sf_dir) + "/weekly_commodity_summary").select(
+        "year", "week_of_year", "commodity_key", "min_price", "max_price", "total_volume"
+    )

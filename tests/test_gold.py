@@ -166,6 +166,36 @@ def test_incremental_refresh_equals_full(spark, dims, tmp_path):
         assert a.select(*b.columns).exceptAll(b).count() == 0
 
 
+def test_late_rows_of_a_loaded_day_keep_what_is_there(spark, dims, tmp_path):
+    def load(*rows):
+        raw = spark.createDataFrame([(d, c, m, "yfinance", "USD", "ton", p, p, p, p, 10.0, i) for i, (d, c, m, p) in rows], RAW)
+        known = None
+        if any((tmp_path / "silver").glob("*")):
+            stored = spark.read.parquet(str(tmp_path / "silver"))
+            days = sorted(r[1][0] for r in rows)
+            known = medallion.known_prices(stored, days[0], days[-1], keys=["id"], order_by=["date", "id"])
+        silver = medallion.to_silver(raw, keys=["id"], order_by=["date", "id"], outlier_threshold=50.0, known=known)
+        return medallion.load_gold(spark, silver, dims, str(tmp_path), natural_key=["id"], grow_dimensions=True)
+
+    first = load((1, ("2024-01-02", "corn", "Chicago CBOT", 100.0)), (2, ("2024-01-09", "corn", "Chicago CBOT", 104.0)))
+    before = {p: p.stat().st_mtime_ns for p in tmp_path.glob("*/date_key=20240109/*.parquet")}
+    assert len(before) == 3
+    paths = load(
+        (3, ("2024-01-02", "corn", "Chicago CBOT", 102.0)), (4, ("2024-01-03", "soap", "Moon", 7.0)),
+        (5, ("2024-01-03", "corn", "Chicago CBOT", 1.5e8)),
+    )
+    assert paths == first
+    fact = spark.read.parquet(paths["fact"])
+    assert fact.count() == 4 and fact.filter("close_price is null").count() == 0
+    silver = {r["id"]: r["price_change"] for r in spark.read.parquet(paths["silver"]).collect()}
+    assert sorted(silver) == [1, 2, 3, 4, 5] and silver[3] == 2.0
+    day = spark.read.parquet(paths["daily_price_summary"]).filter("date_key = 20240102").collect()
+    assert [(float(r["low_price"]), float(r["high_price"]), r["record_count"]) for r in day] == [(100.0, 102.0, 2)]
+    names = {r["commodity_name"] for r in warehouse.read_snapshot(spark, paths["dim_commodity"]).collect()}
+    assert {"Corn", "soap"} <= names
+    assert {p: p.stat().st_mtime_ns for p in before} == before
+
+
 def test_correlation_with_missing_and_repeated_prices(spark):
     data = [
         (1, "m", "a", 1.0), (1, "m", "a", 3.0), (1, "m", "b", 2.0), (2, "m", "a", 5.0), (2, "m", "b", 6.0),
