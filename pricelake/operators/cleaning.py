@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from pricelake.functions.scalars import strip
 from pricelake.operators.series import (
     carry_last, fits_plain_window, join_null_safe, require_order, with_group_stats,
 )
@@ -92,7 +93,7 @@ def standardize_names(df: DataFrame, *, mapping: Mapping[str, str], column: str
 
 
 def _standard_name(name: Column, mapping: Mapping[str, str]) -> Column:
-    key = F.lower(F.trim(name))
+    key = F.lower(strip(name))
     entries = F.array(
         *[
             F.struct(F.lit(raw).alias("raw"), F.lit(std).alias("std"), F.lit(std.lower()).alias("low"))

@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.operators.series import largest_series
+from pricelake.operators.series import join_null_safe, largest_series
 
 # ---------------------------------------------------------------- operation log
 
@@ -110,8 +110,11 @@ def operation_summary(log: DataFrame) -> DataFrame:
 
 
 def last_rows(log: DataFrame, *, order_by: Sequence[str] = ("timestamp",), limit: int = 100) -> DataFrame:
-    """The newest entries (a top-k, not a sort of the whole log)."""
-    return log.orderBy(*[F.col(c).desc() for c in order_by]).limit(limit)
+    """The newest entries (a top-k, not a sort of the whole log); ties are broken by all other columns."""
+    rest = [
+        F.to_json(c) if kind.startswith("map") else F.col(c) for c, kind in log.dtypes if c not in order_by
+    ]
+    return log.orderBy(*[F.col(c).desc() for c in order_by], *rest).limit(limit)
 
 
 def load_report(log: DataFrame, *, limit: int = 100) -> DataFrame:
@@ -310,14 +313,26 @@ def source_health(log: DataFrame, sources: DataFrame) -> DataFrame:
     )
 
 
-def pipeline_performance(runs: DataFrame, *, accuracy: int = 10_000) -> DataFrame:
-    """Per DAG: mean and 95th percentile duration and success rate."""
-    return runs.groupBy("dag").agg(
+def pipeline_performance(runs: DataFrame) -> DataFrame:
+    """Per DAG: mean and 95th percentile duration (exact: the value of that rank) and success rate.
+
+    Durations are collapsed to (value, frequency) first, so the ranks are sums over distinct values.
+    """
+    figures = runs.groupBy("dag").agg(
         F.count(F.lit(1)).alias("run_count"),
         F.avg("duration_minutes").alias("average_duration_minutes"),
-        F.percentile_approx("duration_minutes", 0.95, accuracy).alias("p95_duration_minutes"),
         F.avg((F.col("status") == "completed").cast("double")).alias("success_rate"),
     )
+    values = runs.filter(F.col("duration_minutes").isNotNull()).groupBy("dag", "duration_minutes").agg(F.count("*").alias("__c"))
+    upto = Window.partitionBy("dag").orderBy("duration_minutes").rowsBetween(Window.unboundedPreceding, 0)
+    totals = values.groupBy("dag").agg(F.sum("__c").alias("__n"))
+    ranked = join_null_safe(values.withColumn("__end", F.sum("__c").over(upto)), totals, ["dag"])
+    p95 = ranked.filter(F.col("__end") * 100 >= F.col("__n") * 95).groupBy("dag").agg(
+        F.min("duration_minutes").alias("p95_duration_minutes")
+    )
+    return join_null_safe(figures, p95, ["dag"]).select(
+        "dag", "run_count", "average_duration_minutes", "p95_duration_minutes", "success_rate"
+    )
 
 
 def volume_growth(files: DataFrame) -> DataFrame:

@@ -328,24 +328,36 @@ def run_integrity_checks(spark: SparkSession, checks: Sequence[Mapping]) -> Data
 
 
 def missing_dates(
-    df: DataFrame, *, keys: Sequence[str], date: str, start: Column, end: Column
+    df: DataFrame, *, keys: Sequence[str], date: str, start: Column, end: Column, expected: DataFrame | None = None
 ) -> DataFrame:
-    """Days between ``start`` and ``end`` on which a series has no row."""
+    """Days between ``start`` and ``end`` on which a series has no row.
+
+    ``expected`` names the series that ought to be there; by default those of ``df``.
+    """
     observed = df.select(*keys, F.col(date).alias("date")).distinct()
-    calendar = observed.select(*keys).distinct().withColumn("date", F.explode(F.sequence(start, end)))
+    series = (observed if expected is None else expected).select(*keys).distinct()
+    calendar = series.withColumn("date", F.explode(F.sequence(start, end)))
     scope = [*keys, "date"]
     seen = observed.withColumn("__seen", F.lit(True))
     return join_null_safe(calendar, seen, scope).filter(F.col("__seen").isNull()).drop("__seen")
 
 
 def backfill_summary(
-    df: DataFrame, *, keys: Sequence[str], date: str, start: Column, end: Column
+    df: DataFrame, *, keys: Sequence[str], date: str, start: Column, end: Column, expected: DataFrame | None = None
 ) -> DataFrame:
-    """Rows, days present and days missing per series over the backfilled range."""
+    """Rows, days present and days missing per expected series over the backfilled range.
+
+    A series without any row in the range has all its days missing; by default the series of ``df`` are expected.
+    """
     days = F.datediff(end, start) + 1
-    return (
+    present = (
         df.filter(F.col(date).between(start, end))
         .groupBy(*keys, F.col(date).alias("__d")).agg(_rows().alias("n"))
         .groupBy(*keys).agg(F.sum("n").alias("row_count"), _rows().alias("days_present"))
-        .withColumn("days_missing", days.cast("long") - F.col("days_present"))
+    )
+    series = (df if expected is None else expected).select(*keys).distinct()
+    none = F.lit(0).cast("long")
+    return join_null_safe(series, present, keys).select(
+        *keys, F.coalesce("row_count", none).alias("row_count"), F.coalesce("days_present", none).alias("days_present"),
+        (days.cast("long") - F.coalesce("days_present", none)).alias("days_missing"),
     )

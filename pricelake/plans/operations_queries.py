@@ -241,7 +241,7 @@ def o8_pipeline_performance(spark, sf_dir):
     runs = extraction_runs(spark, sf_dir).select(
         F.col("source").alias("dag"), F.col("duration_seconds").alias("duration_minutes"), "status"
     )
-    out = oplog.pipeline_performance(runs, accuracy=1_000_000)
+    out = oplog.pipeline_performance(runs)
     return stabled(stabled(out, "average_duration_minutes"), "success_rate", digits=6)
 
 
