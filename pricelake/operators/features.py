@@ -4,13 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from pricelake.functions.scalars import pct_change
-from pricelake.operators.series import over_series
-
-EMA_TAIL = 130  # weights further back are below 1e-4 for the longest default span
+from pricelake.operators.series import join_null_safe, over_series
 
 
 def lag_features(
@@ -84,40 +82,38 @@ def macd_feature(
     df: DataFrame, *, keys: Sequence[str], order_by: Sequence[str], price: str = "close_price",
     fast: int = 12, slow: int = 26, **limits,
 ) -> DataFrame:
-    """Difference of two exponential means over the last 130 rows of the series.
+    """Difference of two exponential means over all rows of the series so far.
 
-    A weight keep^age is written as keep^(-place), with the common factor cancelled
-    between weighted sum and weight sum.  Places restart every 1024 rows to stay in
-    range; a frame touches at most two such cycles, which are summed apart by parity.
+    A weight keep^age is written as keep^(-place), with the common factor cancelled between weighted sum and
+    weight sum.  Places restart every 1024 rows to stay in range: a row's means are running sums inside its
+    cycle plus the whole previous cycle, faded once.  What lies further back has a relative weight below 1e-34,
+    under the resolution of a double; only a gap of a whole cycle without prices makes the means start anew.
     """
-    place = F.col("__place") % EMA_CYCLE
-    odd = F.floor(F.col("__place") / EMA_CYCLE) % 2 == 1
     value = F.col(price).cast("double")
     keeps = {"fast": 1 - 2 / (fast + 1), "slow": 1 - 2 / (slow + 1)}
-
-    def build(window):
-        frame = window.rowsBetween(-(EMA_TAIL - 1), 0)
-        sums = {}
-        for name, keep in keeps.items():
-            weight = F.when(value.isNotNull(), F.pow(F.lit(1 / keep), place))
-            for cycle, chosen in (("odd", odd), ("even", ~odd)):
-                sums[f"__{name}_{cycle}_v"] = F.sum(F.when(chosen, value * weight).otherwise(0.0)).over(frame)
-                sums[f"__{name}_{cycle}_w"] = F.sum(F.when(chosen, weight).otherwise(0.0)).over(frame)
-        return sums
+    placed = over_series(
+        df, keys, order_by, lambda window: {"__row": F.lit(1)}, before=0, position="__place", **limits
+    ).withColumn("__cycle", F.floor(F.col("__place") / EMA_CYCLE))
+    parts = {}
+    for name, keep in keeps.items():
+        weight = F.when(value.isNotNull(), F.pow(F.lit(1 / keep), F.col("__place") % EMA_CYCLE))
+        parts |= {f"__{name}_v": value * weight, f"__{name}_w": weight}
+    weighed = placed.withColumns(parts)
+    scope = [*keys, "__cycle"]
+    so_far = Window.partitionBy(*scope).orderBy("__place").rowsBetween(Window.unboundedPreceding, 0)
+    running = weighed.withColumns({f"{p}_sum": F.sum(p).over(so_far) for p in parts})
+    whole = weighed.groupBy(*scope).agg(*[F.sum(p).alias(f"{p}_before") for p in parts])
+    joined = join_null_safe(running, whole.withColumn("__cycle", F.col("__cycle") + 1), scope)
 
     def mean(name: str) -> Column:
-        fade = keeps[name] ** EMA_CYCLE
-
         def total(part: str) -> Column:
-            in_odd, in_even = F.col(f"__{name}_odd_{part}"), F.col(f"__{name}_even_{part}")
-            return F.when(odd, in_odd + in_even * fade).otherwise(in_even + in_odd * fade)
+            column = f"__{name}_{part}"
+            none = F.lit(0.0)
+            return F.coalesce(f"{column}_sum", none) + F.coalesce(f"{column}_before", none) * keeps[name] ** EMA_CYCLE
 
         return F.try_divide(total("v"), total("w"))
 
-    summed = over_series(
-        df, keys, order_by, build, before=EMA_TAIL - 1, position="__place", **limits
-    )
-    return summed.select(*df.columns, (mean("fast") - mean("slow")).alias("momentum_macd"))
+    return joined.select(*df.columns, (mean("fast") - mean("slow")).alias("momentum_macd"))
 
 
 def seasonal_features(df: DataFrame, *, date: str = "date", harvest: Sequence[int] = (9, 10, 11)) -> DataFrame:

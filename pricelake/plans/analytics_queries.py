@@ -271,7 +271,7 @@ def macd_sql() -> str:
     value = sql_stable(f"{ema(12)} - {ema(26)}")
     return WITH_DAILY + f""", tails as (
       select date, commodity, market, close_price, list(close_price) over ({SERIES_WINDOW}
-        rows between {features.EMA_TAIL - 1} preceding and current row) as tail from daily)
+        rows between unbounded preceding and current row) as tail from daily)
     select date, commodity, market, close_price, {value} as momentum_macd from tails"""
 
 
