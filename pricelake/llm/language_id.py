@@ -223,7 +223,7 @@ def identify(docs: DataFrame, bits: int = BITS, max_fit: int = MAX_FIT, seed: in
     sample = chosen.mapInArrow(_vectors(idf, bits), "doc_id long, lang string, buckets array<int>, values array<float>")
     sample = sorted(sample.limit(2 * max_fit).collect(), key=lambda r: (r["doc_id"], r["lang"], r["buckets"]))
     classes = sorted({r["lang"] for r in sample})
-    told = [(np.array(r["buckets"]), np.array(r["values"], float), classes.index(r["lang"])) for r in sample]
+    told = [(np.array(r["buckets"], np.int64), np.array(r["values"], float), classes.index(r["lang"])) for r in sample]
     apart, fit = told[::FOLDS], [x for i, x in enumerate(told) if i % FOLDS]
     weights = fit_ftrl(fit or told, len(classes), 1 << bits) if classes else np.zeros((1, 0))
     logits = np.array([(weights[b] * v[:, None]).sum(0) + weights[-1] for b, v, _ in apart]) if classes else np.empty((0, 0))
