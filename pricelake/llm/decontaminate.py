@@ -6,8 +6,11 @@ the benchmark; runs of matches on one alignment are evidence, and an alignment c
 one benchmark value always stands for one document value and the other way round. So a question with other
 numbers or names is caught, and a mere form with the same words is not. DataFrame operations only.
 
-An item of fewer words than a window is one window of its own, unless it has fewer than `least_literal` words that
-are no placeholders; such an item is not searched for.
+Beside that, every item is searched for by windows of its lower-cased words with their values kept, so a copy word for
+word is found in any case and whatever became a placeholder: all windows of a short item, four fifths of a long one.
+
+An item of fewer words than a window is one window of its own. Templates with fewer than `least_literal` words that
+are no placeholders are searched for word for word only.
 
 Edge cases: null and empty texts have no windows. Equal items are one template and all of them are reported;
 repeated documents are reported once per (doc_id, item_id). A null doc_id is reported as null. Empty tables
@@ -29,6 +32,8 @@ WINDOW = 8
 #: a capitalised word inside a sentence elsewhere).
 EVIDENCE = 5
 LEAST_LITERAL = 4
+#: Share of an item's windows, in percent, that a copy word for word has on one alignment (and EVIDENCE of them).
+VERBATIM = 80
 
 _NAME, _NUMBER, _UNIT = "\u0001", "\u0002", "\u0003"
 _MARKS = "\u0001-\u0003"
@@ -66,12 +71,19 @@ def _let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.element_at(F.transform(F.array(value), body), 1)
 
 
-def windows(words: Column, lengths: list[int]) -> Column:
-    """array<struct<length, window, at>>: hashes of all runs of so many words, for each of the lengths, with their places."""
+def plain_words(text: Column) -> Column:
+    """Words in one case (`ß` as `ss`), nothing replaced."""
+    return F.filter(F.split(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+
+
+def windows(words: Column, lengths: list[int], kind: int) -> Column:
+    """array<struct<kind, length, window, at>>: hashes of all runs of so many words, for each of the lengths, with their places."""
 
     def of(hashed: Column, size: int) -> Column:
         places = F.sequence(F.lit(0), F.size(hashed) - size)
-        run = F.transform(places, lambda i: F.struct(F.lit(size).alias("length"), F.xxhash64(F.slice(hashed, i + 1, size)).alias("window"), i.alias("at")))
+        run = F.transform(places, lambda i: F.struct(
+            F.lit(kind).alias("kind"), F.lit(size).alias("length"), F.xxhash64(F.slice(hashed, i + 1, size), F.lit(kind)).alias("window"), i.alias("at")
+        ))
         return F.when(F.size(hashed) >= size, run)
 
     return _let(
@@ -83,35 +95,49 @@ def _literal(words: Column) -> Column:
     return F.size(F.filter(words, lambda w: ~w.isin(_NAME, _NUMBER, _UNIT)))
 
 
+TEMPLATE, PLAIN = 0, 1
+
+
 def benchmark_index(items: DataFrame, size: int, least_literal: int) -> tuple[DataFrame, DataFrame]:
-    """(windows of the distinct templates, templates with their items)."""
+    """(windows of the distinct templates and plain texts, the items with theirs); kind tells the two apart."""
     told = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
-    told = told.withColumn("words", template_words(F.col("text"))).withColumn("template", F.xxhash64("words"))
-    told = saved(told.withColumn("length", F.least(F.lit(size), F.size("words"))).filter(_literal(F.col("words")) >= least_literal), "items")
-    one = told.groupBy("template").agg(F.min(F.struct("item_id", "words", "length")).alias("one")).select("template", "one.words", "one.length")
-    spread = one.select("template", "length", "words", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))).alias("place"))
+    forms = F.array(*(
+        F.struct(F.lit(kind).alias("kind"), words.alias("words"), F.lit(least).alias("least"))
+        for kind, words, least in ((TEMPLATE, template_words(F.col("text")), least_literal), (PLAIN, plain_words(F.col("text")), 1))
+    ))
+    told = told.select("item_id", "text", F.explode(forms).alias("form")).select("item_id", "text", "form.*").withColumn("template", F.xxhash64("words", "kind"))
+    told = saved(told.withColumn("length", F.least(F.lit(size), F.size("words"))).filter(_literal(F.col("words")) >= F.col("least")), "items")
+    one = told.groupBy("kind", "template", "least").agg(F.min(F.struct("item_id", "words", "length")).alias("one"))
+    one = one.select("kind", "template", "least", "one.words", "one.length")
+    spread = one.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))))
     index = spread.withColumn("own", F.slice("words", F.col("place") + 1, F.col("length"))).filter(
-        (_literal(F.col("own")) >= least_literal)
-    ).select("template", "length", "place", F.xxhash64(F.transform("own", lambda w: F.xxhash64(w))).alias("window"))
+        _literal(F.col("own")) >= F.col("least")
+    ).select("kind", "template", "length", "place", F.xxhash64(F.transform("own", lambda w: F.xxhash64(w)), "kind").alias("window"))
     return saved(index, "index"), told
 
 
-def contaminated(
-    docs: DataFrame, items: DataFrame, size: int = WINDOW, evidence: int = EVIDENCE, least_literal: int = LEAST_LITERAL,
-) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_slots): documents that hold an item, with the windows and slots that show it."""
+def evidence_rows(docs: DataFrame, items: DataFrame, size: int, evidence: int, least_literal: int) -> DataFrame:
+    """(doc_id, text_hash, item_id, n_windows, n_slots): the texts that hold an item."""
     index, told = benchmark_index(items, size, least_literal)
-    lengths = sorted(r["length"] for r in index.select("length").distinct().collect())  # at most `size` of them
+    lengths = sorted((r["kind"], r["length"]) for r in index.select("kind", "length").distinct().collect())  # at most `size` of each kind
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").filter("text is not null")
     if not lengths:
-        return docs.sparkSession.createDataFrame([], "doc_id long, item_id long, n_windows long, n_slots long")
-    found = texts.select("doc_id", "text_hash", F.explode(windows(template_words(F.col("text")), lengths)).alias("w")).select("doc_id", "text_hash", "w.*")
-    hits = found.join(sized(index), ["length", "window"]).withColumn("shift", F.col("at") - F.col("place"))
+        return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows long, n_slots long")
+    every = [
+        windows(words(F.col("text")), own, kind)
+        for kind, words in ((TEMPLATE, template_words), (PLAIN, plain_words)) if (own := [n for k, n in lengths if k == kind])
+    ]
+    found = texts.select("doc_id", "text_hash", F.explode(F.concat(*every)).alias("w")).select("doc_id", "text_hash", "w.*")
+    hits = found.join(sized(index), ["kind", "length", "window"]).withColumn("shift", F.col("at") - F.col("place"))
     total = index.groupBy("template").agg(F.count("*").alias("windows"))
-    runs = hits.groupBy("doc_id", "text_hash", "template", "length", "shift").agg(
+    runs = hits.groupBy("doc_id", "text_hash", "kind", "template", "length", "shift").agg(
         F.count("*").alias("n_windows"), F.min("place").alias("low"), F.max("place").alias("high")
     )
-    runs = saved(runs.join(total, "template").filter(F.col("n_windows") >= F.least(F.greatest(F.col("windows") - 1, F.lit(1)), F.lit(evidence))), "runs")
+    few = F.least(F.greatest(F.col("windows") - 1, F.lit(1)), F.lit(evidence))
+    most = F.greatest(F.least(F.col("windows"), F.lit(evidence)), F.ceil(F.col("windows") * VERBATIM / 100))
+    runs = runs.join(total, "template").filter(F.col("n_windows") >= F.when(F.col("kind") == PLAIN, most).otherwise(few))
+    every_run = saved(runs, "runs")
+    runs = every_run.filter(F.col("kind") == TEMPLATE)
 
     # Slots of the documents and items that are left.
     left = runs.select("doc_id", "text_hash").distinct()
@@ -119,7 +145,7 @@ def contaminated(
         sized(saved(left, "left")).alias("b"), (F.col("a.text_hash") == F.col("b.text_hash")) & F.col("a.doc_id").eqNullSafe(F.col("b.doc_id")), "left_semi"
     )
     doc_slots = _slots(again.select("doc_id", "text_hash", "text"), ["doc_id", "text_hash"]).distinct()
-    item_slots = _slots(told.dropDuplicates(["template"]).select("template", "text"), ["template"])
+    item_slots = _slots(told.filter(F.col("kind") == TEMPLATE).dropDuplicates(["template"]).select("template", "text"), ["template"])
     wanted = runs.join(item_slots, "template").filter((F.col("place") >= F.col("low")) & (F.col("place") < F.col("high") + F.col("length")))
     wanted = wanted.select("doc_id", "text_hash", "template", "shift", "mark", F.col("value").alias("item_value"), (F.col("place") + F.col("shift")).alias("place"))
     on = (F.col("i.text_hash") == F.col("d.text_hash")) & F.col("i.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("i.place") == F.col("d.place")) & (F.col("i.mark") == F.col("d.mark"))
@@ -133,9 +159,19 @@ def contaminated(
     agreed = runs.alias("r").join(
         checked.alias("c"), (F.col("r.text_hash") == F.col("c.text_hash")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id"))
         & (F.col("r.template") == F.col("c.template")) & (F.col("r.shift") == F.col("c.shift")), "left"
-    ).filter(~F.coalesce("split", F.lit(False))).select("r.doc_id", "r.template", "n_windows", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
-    best = agreed.groupBy("doc_id", "template").agg(F.max(F.struct("n_windows", "n_slots")).alias("m"))
-    return best.join(told.select("template", "item_id").distinct(), "template").select("doc_id", "item_id", "m.n_windows", "m.n_slots")
+    ).filter(~F.coalesce("split", F.lit(False))).select("r.doc_id", "r.text_hash", "r.template", "n_windows", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
+    plain = every_run.filter(F.col("kind") == PLAIN).select("doc_id", "text_hash", "template", "n_windows", F.lit(0).cast("long").alias("n_slots"))
+    best = agreed.unionByName(plain).groupBy("doc_id", "text_hash", "template").agg(F.max(F.struct("n_windows", "n_slots")).alias("m"))
+    return best.join(told.select("template", "item_id").distinct(), "template").select("doc_id", "text_hash", "item_id", "m.n_windows", "m.n_slots")
+
+
+def contaminated(
+    docs: DataFrame, items: DataFrame, size: int = WINDOW, evidence: int = EVIDENCE, least_literal: int = LEAST_LITERAL,
+) -> DataFrame:
+    """(doc_id, item_id, n_windows, n_slots): documents that hold an item, with the windows and slots that show it."""
+    rows = evidence_rows(docs, items, size, evidence, least_literal)
+    best = rows.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "n_slots")).alias("m"))
+    return best.select("doc_id", "item_id", "m.n_windows", "m.n_slots")
 
 
 def _slots(rows: DataFrame, key: list[str]) -> DataFrame:

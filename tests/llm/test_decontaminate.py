@@ -57,3 +57,12 @@ def test_edge_cases(spark):
     assert contaminated(odd, items(spark)).collect() == []
     kept = keep_clean(odd, items(spark, *texts))
     assert kept.columns == odd.columns and kept.count() == odd.count() - 3
+
+
+def test_copies_word_for_word_are_found_whatever_became_a_placeholder(spark):
+    short, capitals = "What is 17 plus 25?", "NAME THE LARGEST CITY OF THE NORTH BY AREA"
+    rows = [
+        (1, QUESTION.upper().lower()), (2, "so: what is 17 plus 25 then"), (3, "What is 18 plus 25?"), (4, capitals.title()),
+        (5, QUESTION.upper()), (6, "what is plus 17 25"), (7, None), (8, "It reads: " + short),
+    ]
+    assert found(spark, rows, QUESTION, short, capitals) == [(1, 0), (2, 1), (4, 2), (5, 0), (8, 1)]
