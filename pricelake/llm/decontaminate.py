@@ -3,8 +3,10 @@
 Numbers, units after numbers and names (capitalised words inside a sentence) become typed placeholders, other
 words are lower-cased and punctuation goes. Windows of template words are hashed and joined with the windows of
 the benchmark; runs of matches on one alignment are evidence, and an alignment counts only if its slots agree:
-one benchmark value always stands for one document value and the other way round. So a question with other
-numbers or names is caught, and a mere form with the same words is not. DataFrame operations only.
+one benchmark value always stands for one document value. Two benchmark values may come to the same document value,
+but not all values of a kind. So a question with other numbers or names is caught, and a mere form with the same
+words is not. A capitalised word that begins a sentence may be a name: windows in which such words are wild (any
+capitalised word will do, and no slot is compared) are hashed beside the others. DataFrame operations only.
 
 Beside that, every item is searched for by windows of its lower-cased words with their values kept, so a copy word for
 word is found in any case and whatever became a placeholder: all windows of a short item, four fifths of a long one.
@@ -55,10 +57,19 @@ def marked(text: Column) -> Column:
     return F.when(numbered.contains(_NUMBER), units).otherwise(numbered)
 
 
+def _cased_words(text: Column) -> Column:
+    bare = F.regexp_replace(marked(text), f"([{_MARKS}]){_VALUE}", "$1")
+    return F.filter(F.split(bare, rf"[^\p{{L}}\p{{M}}\p{{N}}{_MARKS}]+"), lambda w: w != "")
+
+
 def template_words(text: Column) -> Column:
     """Lower-cased words and placeholders."""
-    bare = F.regexp_replace(marked(text), f"([{_MARKS}]){_VALUE}", "$1")
-    return F.filter(F.split(F.lower(bare), rf"[^\p{{L}}\p{{M}}\p{{N}}{_MARKS}]+"), lambda w: w != "")
+    return F.transform(_cased_words(text), F.lower)
+
+
+def wild_words(text: Column) -> Column:
+    """The same words, those that still have a capital (they begin a sentence) as names."""
+    return F.transform(_cased_words(text), lambda w: F.when(F.lower(w) == w, w).otherwise(F.lit(_NAME)))
 
 
 def slot_words(text: Column) -> Column:
@@ -76,19 +87,38 @@ def plain_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def windows(words: Column, lengths: list[int], kind: int) -> Column:
-    """array<struct<kind, length, window, at>>: hashes of all runs of so many words, for each of the lengths, with their places."""
+def _windows(hashed: Column, lengths: list[int], kind: int, run_hashes: Callable[[Column, Column, Column], Column]) -> Column:
+    """array<struct<kind, length, window, at>>; run_hashes(hashed, place, size) are the hashes of the run at a place."""
 
-    def of(hashed: Column, size: int) -> Column:
+    def of(size: int) -> Column:
         places = F.sequence(F.lit(0), F.size(hashed) - size)
-        run = F.transform(places, lambda i: F.struct(
-            F.lit(kind).alias("kind"), F.lit(size).alias("length"), F.xxhash64(F.slice(hashed, i + 1, size), F.lit(kind)).alias("window"), i.alias("at")
-        ))
+        run = F.flatten(F.transform(places, lambda i: F.transform(run_hashes(hashed, i + 1, F.lit(size)), lambda h: F.struct(
+            F.lit(kind).alias("kind"), F.lit(size).alias("length"), h.alias("window"), i.alias("at")
+        ))))
         return F.when(F.size(hashed) >= size, run)
 
-    return _let(
-        F.transform(words, lambda w: F.xxhash64(w)), lambda hashed: F.flatten(F.array_compact(F.array(*(of(hashed, n) for n in lengths))))
-    )
+    return F.flatten(F.array_compact(F.array(*(of(n) for n in lengths))))
+
+
+def plain_windows(text: Column, lengths: list[int]) -> Column:
+    """Hashes of all runs of so many plain words, for each of the lengths, with their places."""
+    return _let(F.transform(plain_words(text), lambda w: F.xxhash64(w)), lambda hashed: _windows(
+        hashed, lengths, PLAIN, lambda words, at, size: F.array(F.xxhash64(F.slice(words, at, size), F.lit(PLAIN)))
+    ))
+
+
+def template_windows(text: Column, lengths: list[int]) -> Column:
+    """Hashes of all runs of so many template words, and once more with wild words where a run has one."""
+
+    def both(words: Column, at: Column, size: Column) -> Column:
+        return _let(F.slice(words, at, size), lambda run: F.array_distinct(F.array(
+            *(F.xxhash64(F.transform(run, lambda w: w[form]), F.lit(TEMPLATE)) for form in ("word", "wild"))
+        )))
+
+    hashed = F.transform(_cased_words(text), lambda w: _let(F.lower(w), lambda low: _let(F.xxhash64(low), lambda h: F.struct(
+        h.alias("word"), F.when(low == w, h).otherwise(F.xxhash64(F.lit(_NAME))).alias("wild")
+    ))))
+    return _let(hashed, lambda words: _windows(words, lengths, TEMPLATE, both))
 
 
 def _literal(words: Column) -> Column:
@@ -102,18 +132,19 @@ def benchmark_index(items: DataFrame, size: int, least_literal: int) -> tuple[Da
     """(windows of the distinct templates and plain texts, the items with theirs); kind tells the two apart."""
     told = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     forms = F.array(*(
-        F.struct(F.lit(kind).alias("kind"), words.alias("words"), F.lit(least).alias("least"))
-        for kind, words, least in ((TEMPLATE, template_words(F.col("text")), least_literal), (PLAIN, plain_words(F.col("text")), 1))
+        F.struct(F.lit(kind).alias("kind"), words(F.col("text")).alias("words"), wild(F.col("text")).alias("wild"), F.lit(least).alias("least"))
+        for kind, words, wild, least in ((TEMPLATE, template_words, wild_words, least_literal), (PLAIN, plain_words, plain_words, 1))
     ))
     told = told.select("item_id", "text", F.explode(forms).alias("form")).select("item_id", "text", "form.*").withColumn("template", F.xxhash64("words", "kind"))
     told = saved(told.withColumn("length", F.least(F.lit(size), F.size("words"))).filter(_literal(F.col("words")) >= F.col("least")), "items")
-    one = told.groupBy("kind", "template", "least").agg(F.min(F.struct("item_id", "words", "length")).alias("one"))
-    one = one.select("kind", "template", "least", "one.words", "one.length")
+    one = told.groupBy("kind", "template", "least").agg(F.collect_set(F.struct("words", "wild", "length")).alias("all"))
+    forms = F.flatten(F.transform("all", lambda x: F.array(x["words"], x["wild"])))
+    one = one.select("kind", "template", "least", F.col("all")[0]["length"].alias("length"), F.explode(F.array_distinct(forms)).alias("words"))
     spread = one.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))))
     index = spread.withColumn("own", F.slice("words", F.col("place") + 1, F.col("length"))).filter(
         _literal(F.col("own")) >= F.col("least")
     ).select("kind", "template", "length", "place", F.xxhash64(F.transform("own", lambda w: F.xxhash64(w)), "kind").alias("window"))
-    return saved(index, "index"), told
+    return saved(index.distinct(), "index"), told
 
 
 def evidence_rows(docs: DataFrame, items: DataFrame, size: int, evidence: int, least_literal: int) -> DataFrame:
@@ -124,14 +155,13 @@ def evidence_rows(docs: DataFrame, items: DataFrame, size: int, evidence: int, l
     if not lengths:
         return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows long, n_slots long")
     every = [
-        windows(words(F.col("text")), own, kind)
-        for kind, words in ((TEMPLATE, template_words), (PLAIN, plain_words)) if (own := [n for k, n in lengths if k == kind])
+        of(F.col("text"), own) for kind, of in ((TEMPLATE, template_windows), (PLAIN, plain_windows)) if (own := [n for k, n in lengths if k == kind])
     ]
     found = texts.select("doc_id", "text_hash", F.explode(F.concat(*every)).alias("w")).select("doc_id", "text_hash", "w.*")
     hits = found.join(sized(index), ["kind", "length", "window"]).withColumn("shift", F.col("at") - F.col("place"))
-    total = index.groupBy("template").agg(F.count("*").alias("windows"))
+    total = index.groupBy("template").agg(F.count_distinct("place").alias("windows"))
     runs = hits.groupBy("doc_id", "text_hash", "kind", "template", "length", "shift").agg(
-        F.count("*").alias("n_windows"), F.min("place").alias("low"), F.max("place").alias("high")
+        F.count_distinct("place").alias("n_windows"), F.min("place").alias("low"), F.max("place").alias("high")
     )
     few = F.least(F.greatest(F.col("windows") - 1, F.lit(1)), F.lit(evidence))
     most = F.greatest(F.least(F.col("windows"), F.lit(evidence)), F.ceil(F.col("windows") * VERBATIM / 100))
@@ -151,11 +181,13 @@ def evidence_rows(docs: DataFrame, items: DataFrame, size: int, evidence: int, l
     on = (F.col("i.text_hash") == F.col("d.text_hash")) & F.col("i.doc_id").eqNullSafe(F.col("d.doc_id")) & (F.col("i.place") == F.col("d.place")) & (F.col("i.mark") == F.col("d.mark"))
     pairs = wanted.alias("i").join(doc_slots.alias("d"), on).select("i.doc_id", "i.text_hash", "template", "shift", "i.mark", "item_value", F.col("d.value").alias("doc_value"))
     key = ["doc_id", "text_hash", "template", "shift"]
-    forth = pairs.groupBy(*key, "mark", "item_value").agg(F.count("*").alias("n"), (F.min("doc_value") != F.max("doc_value")).alias("split"))
-    back = pairs.groupBy(*key, "mark", "doc_value").agg(F.lit(0).alias("n"), (F.min("item_value") != F.max("item_value")).alias("split"))
-    checked = forth.select(*key, "n", "split").unionByName(back.select(*key, F.col("n").cast("long"), "split")).groupBy(*key).agg(
-        F.sum("n").alias("n_slots"), F.max("split").alias("split")
-    )
+    ends = [f(F.col("doc_value")).alias(n) for f, n in ((F.min, "least_value"), (F.max, "most_value"))]
+    forth = pairs.groupBy(*key, "mark", "item_value").agg(F.count("*").alias("n"), *ends)
+    # A kind whose several item values all became one value says nothing; fewer coincidences are left to chance.
+    merged = (F.count("*") > 1) & (F.min("least_value") == F.max("most_value"))
+    checked = forth.groupBy(*key, "mark").agg(
+        F.sum("n").alias("n"), (F.max(F.col("least_value") != F.col("most_value")) | merged).alias("split")
+    ).groupBy(*key).agg(F.sum("n").alias("n_slots"), F.max("split").alias("split"))
     agreed = runs.alias("r").join(
         checked.alias("c"), (F.col("r.text_hash") == F.col("c.text_hash")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id"))
         & (F.col("r.template") == F.col("c.template")) & (F.col("r.shift") == F.col("c.shift")), "left"
