@@ -216,9 +216,11 @@ def _slots(rows: DataFrame, key: list[str]) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The documents that hold no item, with all their columns."""
-    gone = saved(contaminated(docs, items).select(F.col("doc_id").alias("__gone_id")).distinct(), "gone")
-    return docs.join(sized(gone), F.col("doc_id").eqNullSafe(F.col("__gone_id")), "left_anti")
+    """The rows whose text holds no item, with all their columns."""
+    rows = evidence_rows(docs, items, WINDOW, EVIDENCE, LEAST_LITERAL)
+    gone = saved(rows.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")).distinct(), "gone")
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_text"))
+    return docs.join(sized(gone), same, "left_anti")
 
 
 @register("op4_decontamination")

@@ -280,11 +280,8 @@ def _rest(lists: DataFrame, grams: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def jaccard_components(
-    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, percent: int = PERCENT,
-    fragments: int = FRAGMENTS, frequent: int = FREQUENT, rounds: int = ROUNDS,
-) -> DataFrame:
-    """(doc_id, n_shingles, component_id) per row: component_id is the smallest doc_id that links reach."""
+def grouped_rows(docs: DataFrame, text: str, doc_id: str, size: int, percent: int, fragments: int, frequent: int, rounds: int) -> DataFrame:
+    """(doc_id, text_hash, n_shingles, group) per row; rows without shingles have the group of the empty set."""
     shipped(__name__)
     texts = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     texts = texts.withColumn("node", F.xxhash64("text"))
@@ -344,7 +341,15 @@ def jaccard_components(
     named = sizes.join(labels, "node", "left").select("n", "set_hash", F.coalesce("component", "node").alias("group"))
     groups = saved(twins.join(named, ["n", "set_hash"]).select("text_node", "n", "group"), "groups")
     rows = texts.select("doc_id", F.col("node").alias("text_node")).join(groups, "text_node")
-    rows = saved(rows.select("doc_id", F.col("n").alias("n_shingles"), "group"), "rows")
+    return saved(rows.select("doc_id", F.col("text_node").alias("text_hash"), F.col("n").alias("n_shingles"), "group"), "rows")
+
+
+def jaccard_components(
+    docs: DataFrame, text: str = "text", doc_id: str = "doc_id", size: int = SIZE, percent: int = PERCENT,
+    fragments: int = FRAGMENTS, frequent: int = FREQUENT, rounds: int = ROUNDS,
+) -> DataFrame:
+    """(doc_id, n_shingles, component_id) per row: component_id is the smallest doc_id that links reach."""
+    rows = grouped_rows(docs, text, doc_id, size, percent, fragments, frequent, rounds)
     lowest = rows.groupBy("group").agg(F.min("doc_id").alias("component_id"))
     single = F.col("n_shingles") == 0
     return (
@@ -358,10 +363,29 @@ def _shuffles(spark: SparkSession) -> int:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """One document of each group stays, the one with the smallest doc_id; all columns are kept."""
-    found = jaccard_components(docs)
-    gone = found.filter("doc_id != component_id").select(F.col("doc_id").alias("__gone_id")).distinct()
-    return docs.join(sized(saved(gone, "gone")), F.col("doc_id") == F.col("__gone_id"), "left_anti")
+    """One row of each group stays, with all its columns: the smallest doc_id (null last), then text hash.
+
+    Of rows that are equal in both, the one with the smallest hash of all columns stays. Rows without words have no
+    near copies, and all of them stay.
+    """
+    rows = grouped_rows(docs, "text", "doc_id", SIZE, PERCENT, FRAGMENTS, FREQUENT, ROUNDS).filter("n_shingles > 0")
+    rank = F.struct(F.col("doc_id").isNull().alias("unnamed"), "doc_id", "text_hash")
+    first = rows.groupBy("group").agg(F.min(rank).alias("first"))
+    # Each (doc_id, text_hash) once, with the number of its rows.
+    each = rows.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
+    told = saved(each.join(first, "group").withColumn("stays", F.col("first") == rank).filter("not stays or copies > 1"), "told")
+
+    def marked(side: DataFrame) -> DataFrame:
+        return sized(saved(side.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")), "marked"))
+
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__text"))
+    alone = docs.join(marked(told), same, "left_anti")
+    repeated = docs.join(marked(told.filter("stays")), same, "left_semi")
+    whole = F.struct(*(F.col(c) for c in docs.columns))
+    once = repeated.groupBy(F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text")).agg(
+        F.min_by(whole, F.xxhash64(*docs.columns)).alias("__row")
+    )
+    return alone.unionByName(once.select("__row.*"))
 
 
 @register("op10_jaccard_join")

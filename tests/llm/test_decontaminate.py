@@ -76,3 +76,9 @@ def test_new_values_may_coincide_and_names_may_begin_sentences(spark):
         (4, shop.replace("12", "9").replace("3", "9").replace("7", "9").replace("5", "9")), (5, "He has 3 red apples today."),
     ]
     assert found(spark, rows, shop, tom) == [(1, 0), (2, 1), (3, 1)]
+
+
+def test_keep_clean_removes_rows_not_ids(spark):
+    rows = [(1, QUESTION), (1, "a clean text of the same id"), (None, "no id " + QUESTION), (None, "a clean text without an id")]
+    kept = keep_clean(documents(spark, rows), items(spark, QUESTION))
+    assert sorted(r["text"] for r in kept.collect()) == ["a clean text of the same id", "a clean text without an id"]

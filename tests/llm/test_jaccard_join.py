@@ -77,3 +77,11 @@ def test_keep_one_keeps_the_smallest_of_each_group_and_all_columns(spark):
     kept = keep_one(docs)
     assert kept.columns == docs.columns
     assert {r["doc_id"] for r in kept.collect()} == {c for _, _, c in expected(rows)}
+
+
+def test_keep_one_counts_rows_not_ids(spark):
+    a, b = "one two three four five six seven", "other words that nobody else has in his text"
+    c = "a third text without an id that comes twice"
+    rows = [(1, a), (1, a), (2, a), (2, b), (None, a), (None, c), (None, c), (5, None), (5, None)]
+    kept = [(r["doc_id"], r["text"]) for r in keep_one(documents(spark, rows)).collect()]
+    assert sorted(kept, key=repr) == sorted([(1, a), (2, b), (None, c), (5, None), (5, None)], key=repr)
