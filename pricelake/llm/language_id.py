@@ -5,8 +5,9 @@ weighed by inverse document frequency and scaled to length one. The weights are
 leader (FTRL-proximal) with L1 and L2 penalties, so most of them are exactly zero, and the probabilities are
 calibrated by one temperature on rows that the learner has not seen.
 
-Document frequencies are counted over all training rows. The weights are fitted on a seeded sample of at most
-`max_fit` of them, each at most one number per bucket, so the driver's share is bounded.
+Document frequencies and languages are counted over all training rows. The weights are fitted on a seeded sample of at
+most `max_fit` of them (an equal share per language, but up to two of each), each at most one number per bucket, so
+the driver's share is bounded. Every fifth sampled row of a language, never its only one, goes to the temperature.
 
 Edge cases: null text, or text without a letter, gives `und` and score 0. If no language can be learnt, every
 row gets `und`. Repeated rows get equal results; texts of any length are read whole; a null doc_id counts as
@@ -20,9 +21,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import shipped, table
+from pricelake.llm.common import saved, shipped, table
 from pricelake.plans.registry import register
 
 BITS = 14
@@ -217,15 +219,25 @@ def identify(docs: DataFrame, bits: int = BITS, max_fit: int = MAX_FIT, seed: in
     total = found.pop(-1, 0)
     idf = np.full(1 << bits, np.log(1 + total) + 1)
     idf[list(found)] = np.log((1 + total) / (1 + np.array(list(found.values())))) + 1
-    picked = train.select("doc_id").distinct().orderBy(F.xxhash64("doc_id", F.lit(seed)), "doc_id").limit(max_fit)
-    ids = frozenset(r["doc_id"] for r in picked.collect())
-    chosen = train.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in ids], "doc_id long")), "doc_id", "left_semi")
-    sample = chosen.mapInArrow(_vectors(idf, bits), "doc_id long, lang string, buckets array<int>, values array<float>")
-    sample = sorted(sample.limit(2 * max_fit).collect(), key=lambda r: (r["doc_id"], r["lang"], r["buckets"]))
-    classes = sorted({r["lang"] for r in sample})
-    told = [(np.array(r["buckets"], np.int64), np.array(r["values"], float), classes.index(r["lang"])) for r in sample]
-    apart, fit = told[::FOLDS], [x for i, x in enumerate(told) if i % FOLDS]
-    weights = fit_ftrl(fit or told, len(classes), 1 << bits) if classes else np.zeros((1, 0))
+    keyed = train.withColumn("text_hash", F.xxhash64("text")).withColumn("key", F.xxhash64("doc_id", "text_hash", F.lit(seed)))
+    labels = {r["lang"]: r["n"] for r in keyed.groupBy("lang").agg(F.approx_count_distinct("key").alias("n")).collect()}  # one row per language
+    classes = sorted(labels)
+    each = max(2, max_fit // max(1, len(classes)))
+    # Only keys under a bound that twice the share is expected to be under are ordered, in a total order per language.
+    bounds = [(x, (1 << 63) - 1 if n <= 2 * each + 50 else int((2 * each + 50) / n * (1 << 64)) - (1 << 63)) for x, n in labels.items()]
+    bound = docs.sparkSession.createDataFrame(bounds, "lang string, bound long")
+    low = keyed.select("lang", "doc_id", "text_hash", "key").join(F.broadcast(bound), "lang").filter("key <= bound").drop("bound").distinct()
+    place = F.row_number().over(W.partitionBy("lang").orderBy("key", "doc_id", "text_hash"))
+    picked = saved(low.withColumn("place", place).filter(F.col("place") <= each).drop("place", "key"), "picked")
+    chosen = keyed.drop("key").join(F.broadcast(picked), ["lang", "doc_id", "text_hash"], "left_semi").dropDuplicates(["lang", "doc_id", "text_hash"])
+    sample = chosen.select("doc_id", "lang", "text").mapInArrow(_vectors(idf, bits), "doc_id long, lang string, buckets array<int>, values array<float>")
+    sample = sorted(sample.collect(), key=lambda r: (r["lang"], r["doc_id"], r["buckets"], r["values"]))
+    apart, fit, seen = [], [], dict.fromkeys(classes, 0)
+    for r in sample:
+        side = apart if seen[r["lang"]] % FOLDS == 1 else fit
+        side.append((np.array(r["buckets"], np.int64), np.array(r["values"], float), classes.index(r["lang"])))
+        seen[r["lang"]] += 1
+    weights = fit_ftrl(fit, len(classes), 1 << bits) if classes else np.zeros((1, 0))
     logits = np.array([(weights[b] * v[:, None]).sum(0) + weights[-1] for b, v, _ in apart]) if classes else np.empty((0, 0))
     temperature = fit_temperature(logits, np.array([y for _, _, y in apart], int))
     shown = rows.select("doc_id", F.coalesce(remainder(F.col("doc_id")) == 0, F.lit(False)).alias("held_out"), "text")

@@ -41,3 +41,11 @@ def test_penalty_makes_weights_sparse_and_temperature_lowers_the_loss():
     t = fit_temperature(logits, np.zeros(500, int))
     loss = lambda s: float((np.log(np.exp(s).sum(1)) - s[:, 0]).mean())
     assert t > 2 and loss(logits / t) < loss(logits)
+
+
+def test_rare_languages_are_learnt_from_a_small_sample(spark):
+    common = [(i, f"the quick brown fox and the number {i} of them" if i % 2 else f"der schnelle braune fuchs und die nummer {i}", "en" if i % 2 else "de") for i in range(1500)]
+    rare = [(5000 + i, f"быстрая лиса и собака {i}", "ru") for i in range(10)]
+    docs = spark.createDataFrame(common + rare * 2, "doc_id long, text string, lang string")
+    first, again = (sorted(map(tuple, identify(docs.repartition(n), max_fit=30).collect())) for n in (2, 5))
+    assert {r[2] for r in first if r[0] >= 5000} == {"ru"} and first == again
