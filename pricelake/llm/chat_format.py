@@ -12,12 +12,13 @@ no text can open or close a turn; undoing both in reverse order gives the text b
 Edge cases: null text is the empty text, null role the empty role. Rows of one conversation are ordered by
 turn, then role, then text (null turns first); repeated rows are repeated turns. A record whose fingerprint has
 no mapping has no turns and is returned by `unmapped`. An empty table gives an empty result. One conversation
-is one output row, so its turns have to fit into one task, and one record has to fit into a variant value; a
-larger one counts as unmapped. Extra columns are ignored.
+is one output row, so its turns have to fit into one task. A record larger than `VARIANT_BYTES` is fingerprinted by
+its skeleton (all texts emptied), and its texts are read under the mapping's schema. Extra columns are ignored.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -31,6 +32,8 @@ START, SEP, END = "<|start|>", "<|sep|>", "<|end|>"
 _OPEN = r"(<)(?=\||/?s>|</?SYS>>|(?:start|end)_of_turn>)|(\[)(?=/?INST\])"
 _OPEN_ESCAPED = r"(<)\\(?=\||/?s>|</?SYS>>|(?:start|end)_of_turn>)|(\[)\\(?=/?INST\])"
 
+#: Records beyond so many bytes do not go through a variant value, whose size is limited.
+VARIANT_BYTES = 8 << 20
 MESSAGES = "array<struct<role: string, text: string>>"
 _SCALAR = r"(?<=: |<)(STRING|VOID|BOOLEAN|TINYINT|SMALLINT|INT|BIGINT|FLOAT|DOUBLE|DATE|BINARY|TIMESTAMP|TIMESTAMP_NTZ|DECIMAL\([0-9]+,[0-9]+\))(?=[,>])"
 
@@ -60,23 +63,48 @@ MAPPINGS = (
 )
 
 
-def field_paths(payload: Column) -> Column:
+def _large(payload: Column, most: int) -> Column:
+    return F.octet_length(payload) > most
+
+
+def skeleton(payload: Column) -> Column:
+    """The record with all texts emptied, names of fields kept."""
+    bare = F.regexp_replace(payload, r"(?s)\\.", "")  # every quote that is left opens or closes a string
+    marked = F.regexp_replace(bare, r'"([^"]*+)"', "\u0001$1\u0002")
+    return F.translate(F.regexp_replace(marked, "\u0001[^\u0002]*+\u0002(?!\\s*:)", "\u0001\u0002"), "\u0001\u0002", '""')
+
+
+def field_paths(payload: Column, variant_bytes: int = VARIANT_BYTES) -> Column:
     """The nested field paths of a JSON record, in sorted order, with scalar types left out."""
-    return F.regexp_replace(F.schema_of_variant(F.try_parse_json(payload)), _SCALAR, "_")
+    small = F.when(_large(payload, variant_bytes), skeleton(payload)).otherwise(payload)
+    return F.regexp_replace(F.schema_of_variant(F.try_parse_json(small)), _SCALAR, "_")
 
 
 def fingerprint(paths: Column) -> Column:
     return sha_hex(paths)
 
 
-def _turns(record: Column, mapping: Mapping) -> Column:
+def _fields(payload: Column, mapping: Mapping, variant_bytes: int) -> Callable[[str], Column]:
+    """name -> field of the record: from its variant value, or under the mapping's schema if it is large."""
+    if mapping.messages is None:
+        kinds = {f: "string" for _, fields in mapping.turns for f in fields}
+    else:
+        name, role, text = mapping.messages
+        kinds = {name: f"array<struct<`{role}`: string, `{text}`: string>>"}
+    large, record = _large(payload, variant_bytes), F.try_parse_json(F.when(~_large(payload, variant_bytes), payload))
+    read = F.from_json(F.when(large, payload), ", ".join(f"`{f}` {kind}" for f, kind in kinds.items()), {"maxStringLen": str((1 << 31) - 1)})
+    return lambda f: F.when(large, read[f]).otherwise(F.try_variant_get(record, f"$.{f}", kinds[f]))
+
+
+def _turns(payload: Column, mapping: Mapping, variant_bytes: int) -> Column:
+    field = _fields(payload, mapping, variant_bytes)
     if mapping.messages is None:
         def text(fields: tuple[str, ...]) -> Column:
-            return F.concat_ws("\n\n", *(F.try_variant_get(record, f"$.{f}", "string") for f in fields))
+            return F.concat_ws("\n\n", *map(field, fields))
 
         return F.array(*(F.struct(F.lit(r).alias("role"), text(fields).alias("text")) for r, fields in mapping.turns))
     name, role, text = mapping.messages
-    listed = F.try_variant_get(record, f"$.{name}", f"array<struct<`{role}`: string, `{text}`: string>>")
+    listed = field(name)
 
     def renamed(value: Column) -> Column:
         out = value
@@ -87,15 +115,16 @@ def _turns(record: Column, mapping: Mapping) -> Column:
     return F.transform(listed, lambda m: F.struct(renamed(m[role]).alias("role"), F.coalesce(m[text], F.lit("")).alias("text")))
 
 
-def canonical(records: DataFrame, payload: str = "payload", mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
+def canonical(
+    records: DataFrame, payload: str = "payload", mappings: tuple[Mapping, ...] = MAPPINGS, variant_bytes: int = VARIANT_BYTES,
+) -> DataFrame:
     """Adds the layout's fingerprint, the name of its mapping (null: none) and the canonical turns."""
-    told = records.withColumn("fingerprint", fingerprint(field_paths(F.col(payload))))
+    told = records.withColumn("fingerprint", fingerprint(field_paths(F.col(payload), variant_bytes)))
     layout, turns = F.lit(None).cast("string"), F.lit(None).cast(MESSAGES)
-    record = F.try_parse_json(payload)
     for m in mappings:
         same = F.col("fingerprint") == fingerprint(F.lit(m.paths))
         layout = F.when(same, m.name).otherwise(layout)
-        turns = F.when(same, _turns(record, m).cast(MESSAGES)).otherwise(turns)
+        turns = F.when(same, _turns(F.col(payload), m, variant_bytes).cast(MESSAGES)).otherwise(turns)
     return told.withColumns({"layout": layout, "turns": turns})
 
 

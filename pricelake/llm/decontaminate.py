@@ -87,38 +87,33 @@ def plain_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def _windows(hashed: Column, lengths: list[int], kind: int, run_hashes: Callable[[Column, Column, Column], Column]) -> Column:
-    """array<struct<kind, length, window, at>>; run_hashes(hashed, place, size) are the hashes of the run at a place."""
+def _windows(hashed: Column, lengths: list[int], kind: int) -> Column:
+    """array<struct<kind, length, window, at>>: hashes of all runs of so many words, for each of the lengths, with their places."""
 
     def of(size: int) -> Column:
         places = F.sequence(F.lit(0), F.size(hashed) - size)
-        run = F.flatten(F.transform(places, lambda i: F.transform(run_hashes(hashed, i + 1, F.lit(size)), lambda h: F.struct(
-            F.lit(kind).alias("kind"), F.lit(size).alias("length"), h.alias("window"), i.alias("at")
-        ))))
+        run = F.transform(places, lambda i: F.struct(
+            F.lit(kind).alias("kind"), F.lit(size).alias("length"), F.xxhash64(F.slice(hashed, i + 1, size), F.lit(kind)).alias("window"), i.alias("at")
+        ))
         return F.when(F.size(hashed) >= size, run)
 
     return F.flatten(F.array_compact(F.array(*(of(n) for n in lengths))))
 
 
 def plain_windows(text: Column, lengths: list[int]) -> Column:
-    """Hashes of all runs of so many plain words, for each of the lengths, with their places."""
-    return _let(F.transform(plain_words(text), lambda w: F.xxhash64(w)), lambda hashed: _windows(
-        hashed, lengths, PLAIN, lambda words, at, size: F.array(F.xxhash64(F.slice(words, at, size), F.lit(PLAIN)))
-    ))
+    """Windows of the plain words."""
+    return _let(F.transform(plain_words(text), lambda w: F.xxhash64(w)), lambda hashed: _windows(hashed, lengths, PLAIN))
 
 
 def template_windows(text: Column, lengths: list[int]) -> Column:
-    """Hashes of all runs of so many template words, and once more with wild words where a run has one."""
+    """Windows of the template words, and again with wild words."""
 
-    def both(words: Column, at: Column, size: Column) -> Column:
-        return _let(F.slice(words, at, size), lambda run: F.array_distinct(F.array(
-            *(F.xxhash64(F.transform(run, lambda w: w[form]), F.lit(TEMPLATE)) for form in ("word", "wild"))
-        )))
+    def both(words: Column, lowered: Column) -> Column:
+        wild = F.zip_with(words, lowered, lambda w, low: F.when(low == w, F.xxhash64(low)).otherwise(F.xxhash64(F.lit(_NAME))))
+        forms = F.array(F.transform(lowered, lambda w: F.xxhash64(w)), wild)
+        return F.flatten(F.transform(forms, lambda hashed: _windows(hashed, lengths, TEMPLATE)))
 
-    hashed = F.transform(_cased_words(text), lambda w: _let(F.lower(w), lambda low: _let(F.xxhash64(low), lambda h: F.struct(
-        h.alias("word"), F.when(low == w, h).otherwise(F.xxhash64(F.lit(_NAME))).alias("wild")
-    ))))
-    return _let(hashed, lambda words: _windows(words, lengths, TEMPLATE, both))
+    return _let(_cased_words(text), lambda words: _let(F.transform(words, F.lower), lambda lowered: both(words, lowered)))
 
 
 def _literal(words: Column) -> Column:

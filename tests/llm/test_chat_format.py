@@ -63,3 +63,15 @@ def test_edge_cases(spark):
     assert got[1]["n_turns"] == 3 and got[1]["loss_chars"] == 0 and got[None]["loss_chars"] == 1
     assert got[1]["turns_sha256"] == hashlib.sha256(b"user\nfirst\n\n\n\n\n").hexdigest()
     assert chat.digests(run(spark, [])).collect() == []
+
+
+def test_records_beyond_a_variant_value_keep_their_turns(spark):
+    rows = [(conv, i, r, t, None) for conv, roles in ((1, ("user", "assistant")), (2, ("user", "assistant", "tool")), (3, ("user", "assistant", "user")))
+            for i, (r, t) in enumerate(zip(roles, NASTY[7:10] if conv == 1 else ["a\\\"b: {", "\"", "é\n"]))]
+    records = chat.conversation_records(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string, payload string"))
+    small, large = (sorted(map(tuple, chat.canonical(records, variant_bytes=n).select("conv_id", "layout", "turns").collect())) for n in (1 << 20, 1))
+    assert small == large and {r[1] for r in small} == {"prompt", "messages", "dialogue"}
+    frame = spark.createDataFrame([(1, 0, "user", "x\\"), (1, 1, "assistant", "yes")], "conv_id long, turn int, role string, text string")
+    frame = frame.withColumn("text", F.when(F.col("turn") == 0, F.repeat("text", 45 << 20)).otherwise(F.col("text")))
+    got = chat.canonical(chat.conversation_records(frame)).select("layout", F.char_length(F.col("turns")[0]["text"]).alias("n"), F.col("turns")[1]["text"].alias("b"))
+    assert tuple(got.first()) == ("prompt", 90 << 20, "yes")
