@@ -4,5 +4,5 @@ from __future__ import annotations
 
 from pricelake.llm import (  # noqa: F401
     chat_format, decontaminate, jaccard_join, language_id, mixing, page_text,
-    quality_resampling, quality_rules, secret_scan, sharding,
+    quality_resampling, quality_rules, secret_scan, sharding, token_alignment,
 )
