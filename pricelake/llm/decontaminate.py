@@ -11,8 +11,9 @@ capitalised word will do, and no slot is compared) are hashed beside the others.
 Beside that, every item is searched for by windows of its lower-cased words with their values kept, so a copy word for
 word is found in any case and whatever became a placeholder: all windows of a short item, four fifths of a long one.
 
-An item of fewer words than a window is one window of its own. Templates with fewer than `least_literal` words that
-are no placeholders are searched for word for word only.
+An item of fewer words than a window is one window of its own. Windows need `least_literal` words that are no placeholders;
+with `short_literal`, a template that has fewer needs all it has (`What is 17 plus 25?`: three), and at least that many.
+Templates with fewer still are searched for word for word only: a form such as `<name> <number>` is in half of all texts.
 
 Edge cases: null and empty texts have no windows. Equal items are one template and all of them are reported;
 repeated documents are reported once per (doc_id, item_id). A null doc_id is reported as null. Empty tables
@@ -34,6 +35,8 @@ WINDOW = 8
 #: a capitalised word inside a sentence elsewhere).
 EVIDENCE = 5
 LEAST_LITERAL = 4
+#: Literal words that a template of fewer than LEAST_LITERAL has to have at least: below, its form says nothing.
+SHORT_LITERAL = 2
 #: Share of an item's windows, in percent, that a copy word for word has on one alignment (and EVIDENCE of them).
 VERBATIM = 80
 
@@ -87,17 +90,31 @@ def plain_words(text: Column) -> Column:
     return F.filter(F.split(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
 
 
-def _windows(hashed: Column, lengths: list[int], kind: int) -> Column:
-    """array<struct<kind, length, window, at>>: hashes of all runs of so many words, for each of the lengths, with their places."""
+def _joined(left: Column, right: Column, by: int) -> Column:
+    """Hashes of runs made of a run and the one that begins `by` places after it."""
+    return F.zip_with(left, F.slice(right, by + 1, F.greatest(F.size(right) - by, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+
+
+def run_hashes(hashed: Column, length: int) -> Column:
+    """Hash of the run of so many words at each place, put together from runs of 1, 2, 4, 8 words, so it takes few steps per word."""
+
+    def put(levels: list[Column]) -> Column:
+        size = 1 << (len(levels) - 1)
+        if 2 * size <= length:
+            return _let(_joined(levels[-1], levels[-1], size), lambda doubled: put([*levels, doubled]))
+        out, done = levels[-1], size
+        while done < length:
+            step = (length - done).bit_length() - 1
+            out, done = _joined(out, levels[step], done), done + (1 << step)
+        return out
+
+    whole = F.size(hashed) - length + 1
+    return F.when(whole > 0, F.slice(_let(hashed, lambda one: put([one])), 1, F.greatest(whole, F.lit(1))))
 
-    def of(size: int) -> Column:
-        places = F.sequence(F.lit(0), F.size(hashed) - size)
-        run = F.transform(places, lambda i: F.struct(
-            F.lit(kind).alias("kind"), F.lit(size).alias("length"), F.xxhash64(F.slice(hashed, i + 1, size), F.lit(kind)).alias("window"), i.alias("at")
-        ))
-        return F.when(F.size(hashed) >= size, run)
 
-    return F.flatten(F.array_compact(F.array(*(of(n) for n in lengths))))
+def _windows(hashed: Column, lengths: list[int], kind: int) -> Column:
+    """array<struct<kind, length, hashes>>: the run hashes of each of the lengths."""
+    return F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("length"), run_hashes(hashed, n).alias("hashes")) for n in lengths))
 
 
 def plain_windows(text: Column, lengths: list[int]) -> Column:
@@ -123,36 +140,48 @@ def _literal(words: Column) -> Column:
 TEMPLATE, PLAIN = 0, 1
 
 
-def benchmark_index(items: DataFrame, size: int, least_literal: int) -> tuple[DataFrame, DataFrame]:
-    """(windows of the distinct templates and plain texts, the items with theirs); kind tells the two apart."""
+def benchmark_index(items: DataFrame, size: int, least_literal: int, short_literal: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """(windows of the distinct templates and plain texts, the items with theirs); kind tells the two apart.
+
+    With `short_literal`, a template whose literal words are fewer than `least_literal` needs only as many as it has, and
+    at least `short_literal`.
+    """
     told = items.select(F.col("item_id").cast("long").alias("item_id"), F.coalesce("text", F.lit("")).alias("text"))
     forms = F.array(*(
         F.struct(F.lit(kind).alias("kind"), words(F.col("text")).alias("words"), wild(F.col("text")).alias("wild"), F.lit(least).alias("least"))
         for kind, words, wild, least in ((TEMPLATE, template_words, wild_words, least_literal), (PLAIN, plain_words, plain_words, 1))
     ))
     told = told.select("item_id", "text", F.explode(forms).alias("form")).select("item_id", "text", "form.*").withColumn("template", F.xxhash64("words", "kind"))
+    if short_literal is not None:
+        own = F.greatest(F.least(F.col("least"), _literal(F.col("words"))), F.lit(short_literal))
+        told = told.withColumn("least", F.when(F.col("kind") == TEMPLATE, own).otherwise(F.col("least")))
     told = saved(told.withColumn("length", F.least(F.lit(size), F.size("words"))).filter(_literal(F.col("words")) >= F.col("least")), "items")
     one = told.groupBy("kind", "template", "least").agg(F.collect_set(F.struct("words", "wild", "length")).alias("all"))
     forms = F.flatten(F.transform("all", lambda x: F.array(x["words"], x["wild"])))
     one = one.select("kind", "template", "least", F.col("all")[0]["length"].alias("length"), F.explode(F.array_distinct(forms)).alias("words"))
-    spread = one.withColumn("place", F.explode(F.sequence(F.lit(0), F.size("words") - F.col("length"))))
-    index = spread.withColumn("own", F.slice("words", F.col("place") + 1, F.col("length"))).filter(
-        _literal(F.col("own")) >= F.col("least")
-    ).select("kind", "template", "length", "place", F.xxhash64(F.transform("own", lambda w: F.xxhash64(w)), "kind").alias("window"))
+    hashed = F.transform("words", lambda w: F.xxhash64(w))
+    runs = F.element_at(F.array(*(run_hashes(hashed, n) for n in range(1, size + 1))), F.col("length").cast("int"))
+    spread = one.select("*", F.posexplode(runs).alias("place", "window"))
+    index = spread.filter(_literal(F.slice("words", F.col("place") + 1, F.col("length"))) >= F.col("least")).select(
+        "kind", "template", "length", "place", "window"
+    )
     return saved(index.distinct(), "index"), told
 
 
-def evidence_rows(docs: DataFrame, items: DataFrame, size: int, evidence: int, least_literal: int) -> DataFrame:
-    """(doc_id, text_hash, item_id, n_windows, n_slots): the texts that hold an item."""
-    index, told = benchmark_index(items, size, least_literal)
+def evidence_rows(
+    docs: DataFrame, items: DataFrame, size: int, evidence: int, least_literal: int, short_literal: int | None = None,
+) -> DataFrame:
+    """(doc_id, text_hash, item_id, kind, n_windows, n_slots): the texts that hold an item, and how it was found."""
+    index, told = benchmark_index(items, size, least_literal, short_literal)
     lengths = sorted((r["kind"], r["length"]) for r in index.select("kind", "length").distinct().collect())  # at most `size` of each kind
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").filter("text is not null")
     if not lengths:
-        return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, n_windows long, n_slots long")
+        return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, kind int, n_windows long, n_slots long")
     every = [
         of(F.col("text"), own) for kind, of in ((TEMPLATE, template_windows), (PLAIN, plain_windows)) if (own := [n for k, n in lengths if k == kind])
     ]
-    found = texts.select("doc_id", "text_hash", F.explode(F.concat(*every)).alias("w")).select("doc_id", "text_hash", "w.*")
+    runs = texts.select("doc_id", "text_hash", F.explode(F.concat(*every)).alias("w"))
+    found = runs.select("doc_id", "text_hash", "w.kind", "w.length", F.posexplode("w.hashes").alias("at", "window"))
     hits = found.join(sized(index), ["kind", "length", "window"]).withColumn("shift", F.col("at") - F.col("place"))
     total = index.groupBy("template").agg(F.count_distinct("place").alias("windows"))
     runs = hits.groupBy("doc_id", "text_hash", "kind", "template", "length", "shift").agg(
@@ -186,19 +215,22 @@ def evidence_rows(docs: DataFrame, items: DataFrame, size: int, evidence: int, l
     agreed = runs.alias("r").join(
         checked.alias("c"), (F.col("r.text_hash") == F.col("c.text_hash")) & F.col("r.doc_id").eqNullSafe(F.col("c.doc_id"))
         & (F.col("r.template") == F.col("c.template")) & (F.col("r.shift") == F.col("c.shift")), "left"
-    ).filter(~F.coalesce("split", F.lit(False))).select("r.doc_id", "r.text_hash", "r.template", "n_windows", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
-    plain = every_run.filter(F.col("kind") == PLAIN).select("doc_id", "text_hash", "template", "n_windows", F.lit(0).cast("long").alias("n_slots"))
-    best = agreed.unionByName(plain).groupBy("doc_id", "text_hash", "template").agg(F.max(F.struct("n_windows", "n_slots")).alias("m"))
-    return best.join(told.select("template", "item_id").distinct(), "template").select("doc_id", "text_hash", "item_id", "m.n_windows", "m.n_slots")
+    ).filter(~F.coalesce("split", F.lit(False))).select("r.doc_id", "r.text_hash", "r.template", "kind", "n_windows", F.coalesce("n_slots", F.lit(0)).alias("n_slots"))
+    plain = every_run.filter(F.col("kind") == PLAIN).select("doc_id", "text_hash", "template", "kind", "n_windows", F.lit(0).cast("long").alias("n_slots"))
+    best = agreed.unionByName(plain).groupBy("doc_id", "text_hash", "template", "kind").agg(F.max(F.struct("n_windows", "n_slots")).alias("m"))
+    return best.join(told.select("template", "item_id").distinct(), "template").select("doc_id", "text_hash", "item_id", "kind", "m.n_windows", "m.n_slots")
 
 
 def contaminated(
     docs: DataFrame, items: DataFrame, size: int = WINDOW, evidence: int = EVIDENCE, least_literal: int = LEAST_LITERAL,
+    short_literal: int | None = None,
 ) -> DataFrame:
-    """(doc_id, item_id, n_windows, n_slots): documents that hold an item, with the windows and slots that show it."""
-    rows = evidence_rows(docs, items, size, evidence, least_literal)
-    best = rows.groupBy("doc_id", "item_id").agg(F.max(F.struct("n_windows", "n_slots")).alias("m"))
-    return best.select("doc_id", "item_id", "m.n_windows", "m.n_slots")
+    """(doc_id, item_id, n_windows, n_slots, by_template, by_words): documents that hold an item, with the windows and slots that show it."""
+    rows = evidence_rows(docs, items, size, evidence, least_literal, short_literal)
+    best = rows.groupBy("doc_id", "item_id").agg(
+        F.max(F.struct("n_windows", "n_slots")).alias("m"), F.max(F.col("kind") == TEMPLATE).alias("by_template"), F.max(F.col("kind") == PLAIN).alias("by_words")
+    )
+    return best.select("doc_id", "item_id", "m.n_windows", "m.n_slots", "by_template", "by_words")
 
 
 def _slots(rows: DataFrame, key: list[str]) -> DataFrame:
@@ -212,12 +244,14 @@ def _slots(rows: DataFrame, key: list[str]) -> DataFrame:
 
 def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows whose text holds no item, with all their columns."""
-    rows = evidence_rows(docs, items, WINDOW, EVIDENCE, LEAST_LITERAL)
-    gone = saved(rows.select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")).distinct(), "gone")
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_text"))
-    return docs.join(sized(gone), same, "left_anti")
+    rows = evidence_rows(docs, items, WINDOW, EVIDENCE, LEAST_LITERAL, SHORT_LITERAL)
+    gone = saved(rows.select("doc_id", "text_hash").distinct(), "gone")
+    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
+    keyed = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash"))
+    return keyed.join(sized(gone).alias("g"), same, "left_anti").select("row.*")
 
 
 @register("op4_decontamination")
 def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), short_literal=SHORT_LITERAL)

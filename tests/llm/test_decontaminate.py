@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import random
+import re
+
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import table
-from pricelake.llm.decontaminate import contaminated, keep_clean, slot_words, template_words
+from pricelake.llm.decontaminate import contaminated, keep_clean, run_hashes, slot_words, template_words
 from tests.llm.edge import documents, edge_docs, no_docs
 
 QUESTION = "A farmer called Anna sells 12 kg of apples for 3 dollars and then Anna buys 12 kg of pears from her neighbour"
@@ -82,3 +85,56 @@ def test_keep_clean_removes_rows_not_ids(spark):
     rows = [(1, QUESTION), (1, "a clean text of the same id"), (None, "no id " + QUESTION), (None, "a clean text without an id")]
     kept = keep_clean(documents(spark, rows), items(spark, QUESTION))
     assert sorted(r["text"] for r in kept.collect()) == ["a clean text of the same id", "a clean text without an id"]
+
+
+def test_short_questions_with_other_values_are_found_by_their_template(spark):
+    short, bare = "What is 17 plus 25?", "Paris 1999"
+    rows = [
+        (1, "What is 31 plus 48?"), (2, "Well. What is 4 plus 9 then"), (3, "What is 31 minus 48?"), (4, "What is plus 31 48?"), (5, "Rome 2001"),
+        (6, "paris 1999"), (7, "What is 8 plus 8?"),
+    ]
+    got = contaminated(documents(spark, rows), items(spark, short, bare), short_literal=2).collect()
+    assert sorted((r["doc_id"], r["item_id"], r["by_template"], r["by_words"]) for r in got) == [(1, 0, True, False), (2, 0, True, False), (6, 1, False, True)]
+
+
+def test_run_hashes_are_equal_exactly_for_equal_runs(spark):
+    words = [random.Random(5).choice("abc") for _ in range(60)]
+    for length in range(1, 10):
+        frame = spark.createDataFrame([(words,)], "w array<string>").select(run_hashes(F.transform("w", lambda w: F.xxhash64(w)), length).alias("h"))
+        got, runs = frame.first()["h"], [tuple(words[i:i + length]) for i in range(len(words) - length + 1)]
+        assert len(got) == len(runs) and len(set(zip(got, runs))) == len(set(got)) == len(set(runs))
+    short = spark.createDataFrame([(["a", "b"],), ([],)], "w array<string>").select(run_hashes(F.transform("w", lambda w: F.xxhash64(w)), 3).alias("h"))
+    assert [r["h"] for r in short.collect()] == [None, None]
+
+
+def test_items_with_new_values_are_found_by_the_template_alone(spark, sf_dir):
+    """Benchmark items with numbers and names drawn anew, planted into the given documents."""
+    draw, names = random.Random(11), ["Ada", "Boris", "Chen", "Dalia", "Emeka", "Farah"]
+    questions = [
+        f"{draw.choice(['A baker', 'One farmer', 'Our shop', 'The school'])} called {a} {draw.choice(['sells', 'orders', 'packs'])} {n} kg of {x} for {m} dollars and later "
+        f"{a} {draw.choice(['brings', 'sends'])} {k} boxes of {y} to {b} before the {z} market opens again"
+        for n, m, k, a, b, x, y, z in (
+            (draw.randrange(10, 99), draw.randrange(100, 999), draw.randrange(2, 9), *draw.sample(names, 2), *draw.sample(["plums", "rice", "beans", "wool", "tea", "salt", "corn", "figs"], 3))
+            for _ in range(20)
+        )
+    ]
+
+    def redrawn(text):
+        other, swapped = dict(zip(names, ["Gil", "Hana", "Ivo", "Jana", "Kofi", "Lena"])), {}
+        return re.sub(r"\d+", lambda m: swapped.setdefault(m[0], str(1000 + len(swapped) * 7)), re.sub("|".join(names), lambda m: other[m[0]], text))
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text").filter("text is not null")
+    hosts = {r["doc_id"]: r["text"] for r in docs.orderBy("doc_id").limit(40).collect()}
+    planted = {d: i for i, d in enumerate(sorted(hosts)[:20])}
+    rows = [(d, f"{t} {redrawn(questions[planted[d]])} {t}" if d in planted else t) for d, t in hosts.items()]
+    got = contaminated(documents(spark, rows), items(spark, *questions)).collect()
+    assert {(d, i) for d, i in planted.items()} <= {(r["doc_id"], r["item_id"]) for r in got}
+    assert {r["doc_id"] for r in got} == set(planted) and not any(r["by_words"] for r in got)
+
+
+def test_clashing_columns_survive(spark):
+    docs = documents(spark, [(1, QUESTION), (2, "a clean text")])
+    for name in ("__gone_id", "text_hash", "row", "d.x", "kind"):
+        docs = docs.withColumn(name, F.lit(7)) if name not in docs.columns else docs
+    kept = keep_clean(docs, items(spark, QUESTION))
+    assert kept.columns == docs.columns and [r.asDict() for r in kept.collect()] == [r.asDict() for r in docs.filter("doc_id = 2").collect()]
