@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 
 from pricelake.session import checkpoint_dir, checkpointed, scratch_path
 
-__all__ = ["BROADCAST_ROWS", "WORD", "SPACE", "checkpointed", "checkpoint_dir", "scratch_path", "saved", "sha_hex", "shipped", "sized", "table"]
+__all__ = [
+    "BROADCAST_ROWS", "WORD", "SPACE", "checkpointed", "checkpoint_dir", "free_name", "scratch_path", "saved", "sha_hex", "shipped", "sized", "table",
+    "whole_row", "without_rows",
+]
 
 WORD = r"[^\x20\x09-\x0D]+"
 #: Most rows of one or two numbers that are sent to every executor (some 32 MB).
@@ -43,3 +46,23 @@ def sized(side: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 def sha_hex(value: Column) -> Column:
     return F.sha2(value.cast("binary"), 256)
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no name of theirs meets a name used here."""
+    return F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+
+
+def without_rows(docs: DataFrame, gone: DataFrame, text_hash: Column) -> DataFrame:
+    """The rows of docs, all columns untouched, whose (doc_id, text_hash) is not among those of a written frame."""
+    keyed = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("text_hash")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash"))
+    return keyed.join(sized(gone).alias("g"), same, "left_anti").select("row.*")
+
+
+def free_name(name: str, taken: list[str]) -> str:
+    """The name, with underscores behind it while it is taken (in any case of its letters)."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name

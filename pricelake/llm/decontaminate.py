@@ -27,7 +27,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import saved, sized, table
+from pricelake.llm.common import saved, sized, table, without_rows
 from pricelake.plans.registry import register
 
 WINDOW = 8
@@ -246,10 +246,7 @@ def keep_clean(docs: DataFrame, items: DataFrame) -> DataFrame:
     """The rows whose text holds no item, with all their columns."""
     rows = evidence_rows(docs, items, WINDOW, EVIDENCE, LEAST_LITERAL, SHORT_LITERAL)
     gone = saved(rows.select("doc_id", "text_hash").distinct(), "gone")
-    row = F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("row")
-    keyed = docs.select(row, F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash")).alias("d")
-    same = F.col("d.doc_id").eqNullSafe(F.col("g.doc_id")) & (F.col("d.text_hash") == F.col("g.text_hash"))
-    return keyed.join(sized(gone).alias("g"), same, "left_anti").select("row.*")
+    return without_rows(docs, gone, F.xxhash64("text"))
 
 
 @register("op4_decontamination")

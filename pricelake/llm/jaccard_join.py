@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import saved, shipped, sized, table
+from pricelake.llm.common import saved, shipped, sized, table, whole_row, without_rows
 from pricelake.llm.textops import chunks, mix, shingles
 from pricelake.plans.registry import register
 
@@ -375,17 +375,15 @@ def keep_one(docs: DataFrame) -> DataFrame:
     each = rows.groupBy("group", "doc_id", "text_hash").agg(F.count("*").alias("copies"))
     told = saved(each.join(first, "group").withColumn("stays", F.col("first") == rank).filter("not stays or copies > 1"), "told")
 
-    def marked(side: DataFrame) -> DataFrame:
-        return sized(saved(side.select(F.col("doc_id").alias("__id"), F.col("text_hash").alias("__text")), "marked"))
-
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__id")) & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("__text"))
-    alone = docs.join(marked(told), same, "left_anti")
-    repeated = docs.join(marked(told.filter("stays")), same, "left_semi")
-    whole = F.struct(*(F.col(c) for c in docs.columns))
-    once = repeated.groupBy(F.col("doc_id").cast("long").alias("__id"), F.xxhash64(F.coalesce("text", F.lit(""))).alias("__text")).agg(
-        F.min_by(whole, F.xxhash64(*docs.columns)).alias("__row")
+    text_hash = F.xxhash64(F.coalesce("text", F.lit("")))
+    alone = without_rows(docs, saved(told.select("doc_id", "text_hash"), "marked"), text_hash)
+    many = saved(told.filter("stays").select("doc_id", "text_hash"), "repeated")
+    keyed = docs.select(whole_row(docs).alias("row"), F.col("doc_id").cast("long").alias("doc_id"), text_hash.alias("text_hash")).alias("d")
+    same = F.col("d.doc_id").eqNullSafe(F.col("m.doc_id")) & (F.col("d.text_hash") == F.col("m.text_hash"))
+    once = keyed.join(sized(many).alias("m"), same, "left_semi").groupBy("doc_id", "text_hash").agg(
+        F.min_by("row", F.xxhash64(*(F.col("row")[c] for c in docs.columns))).alias("row")
     )
-    return alone.unionByName(once.select("__row.*"))
+    return alone.unionByName(once.select("row.*"))
 
 
 @register("op10_jaccard_join")

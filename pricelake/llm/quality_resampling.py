@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import saved, shipped, sized, table
+from pricelake.llm.common import saved, shipped, table, without_rows
 from pricelake.llm.textops import bucket_grams, chunks
 from pricelake.plans.registry import register
 
@@ -172,9 +172,8 @@ def keep_sampled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     _, cut, weighed = resampling_model(docs, labels)
     if cut is None:
         return docs
-    gone = weighed.filter(F.col("key") < cut).select(F.col("doc_id").alias("__gone_id"), F.col("text_hash").alias("__gone_text")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone_id")) & (F.xxhash64("text") == F.col("__gone_text"))
-    return docs.join(sized(saved(gone, "gone")), same, "left_anti")
+    gone = weighed.filter(F.col("key") < cut).select("doc_id", "text_hash").distinct()
+    return without_rows(docs, saved(gone, "gone"), F.xxhash64("text"))
 
 
 @register("op1_quality_resampling")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 import pricelake.llm.queries  # noqa: F401
@@ -45,3 +46,21 @@ def test_pipeline_takes_an_empty_table(spark, sf_dir):
     for _, stage in corpus_pipeline.STAGES:
         docs = stage(spark, docs, sf_dir)
         assert docs.collect() == []
+
+
+def test_pipeline_carries_any_column_nulls_and_repeated_rows(spark, sf_dir):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    extra = ["__id", "__text", "__gone_id", "__domain", "n_tokens", "epoch", "size", "text_crc32", "shard", "slot", "row", "key", "text_hash", "d.x", "domain"]
+    told = docs.unionByName(docs.limit(30)).unionByName(docs.limit(10).withColumn("doc_id", F.lit(None).cast("long")))
+    told = told.unionByName(docs.limit(3).withColumn("text", F.lit(None).cast("string")))
+    told = told.withColumns({c: F.concat(F.lit(c), F.col("doc_id").cast("string")) for c in extra})
+    columns, told = told.columns, corpus_pipeline.saved(told, "told")
+    known = {tuple(r) for r in told.collect()}
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, told, sf_dir)
+        assert out.columns[:len(columns)] == columns and (name == "shard" or out.columns == columns)
+        told = corpus_pipeline.saved(out, name)
+        rows = [tuple(r)[:len(columns)] for r in told.collect()]
+        assert rows and set(rows) <= known
+        known = set(rows)
+    assert told.columns[len(columns):] == ["size_", "text_crc32_", "shard_", "slot_"]
