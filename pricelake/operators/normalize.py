@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from pricelake.functions.scalars import parse_date
+from pricelake.operators.timeline import asof_join
 from pricelake.reference_values import EXCHANGE_RATES, UNIT_FACTORS
 
 
@@ -50,6 +51,25 @@ def normalize_prices_by_table(
     ).drop("__cur", "__rate")
 
 
+def normalize_prices_asof(
+    df: DataFrame, rates: DataFrame, *, price: str = "price", currency: str = "currency", date: str = "date", base: str = "USD",
+) -> DataFrame:
+    """Convert with the latest rate of the currency on or before the row's date; adds ``rate_date`` and ``rate``.
+
+    ``rates`` has ``(currency, rate_date, rate)``, one row per currency and day, in units of the base. A row whose
+    currency has no rate yet gets a NULL price, since nothing is known of its value.
+    """
+    quotes = rates.select(F.col("currency").alias(currency), "rate_date", "rate")
+    told = asof_join(df, quotes, keys=[currency], time=date, right_time="rate_date", columns=["rate"])
+    differs = F.col(currency).isNotNull() & (F.col(currency) != base)
+    return told.withColumns(
+        {
+            price: F.when(differs, F.col(price) * F.col("rate")).otherwise(F.col(price)),
+            f"{price}_base_currency": F.when(differs & F.col("rate").isNotNull(), F.lit(base)),
+        }
+    )
+
+
 def normalize_units(
     df: DataFrame, *, quantity: str = "quantity", unit: str = "unit", target: str = "ton",
     factors: Mapping[str, float] = UNIT_FACTORS,
