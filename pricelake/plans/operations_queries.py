@@ -296,6 +296,21 @@ def t1_incremental_load(spark, sf_dir):
     return spark.read.parquet(f"{base}/table").select(*EVENT_COLUMNS)
 
 
+@register(
+    "t1_append_log",
+    "select event_id, user_id, event_type, value, cast(ts as date) as day from events",
+)
+def t1_append_log(spark, sf_dir):
+    """Events appended in micro-batches, compacted, replayed once more, and read back by key."""
+    base = scratch_path(spark, "t1")
+    rows = stream(spark, sf_dir).withColumn("day", F.col("ts").cast("date"))
+    load, newest = jobs.append_log(f"{base}/log"), {"keys": ["event_id"], "order_by": ["ts"]}
+    jobs.run_available(rows, f"{base}/checkpoint", each_batch=load)
+    jobs.compact_log(spark, f"{base}/log", **newest)
+    jobs.run_available(rows, f"{base}/checkpoint-again", each_batch=load)
+    return jobs.latest_rows(spark, f"{base}/log", **newest).select(*EVENT_COLUMNS)
+
+
 @register("t2_stream_dedup", "select distinct user_id, event_type from events")
 def t2_stream_dedup(spark, sf_dir):
     base = scratch_path(spark, "t2")
@@ -325,19 +340,50 @@ def t3_stream_daily(spark, sf_dir):
     return stabled(spark.read.parquet(f"{base}/table"), "volume")
 
 
-@register("t4_stream_suppression", SUPPRESSED_SQL + "select distinct event_type as title, ts as timestamp from walk where kept")
-def t4_stream_suppression(spark, sf_dir):
-    base = scratch_path(spark, "t4")
+END = "end of stream"
+
+
+def suppressed(spark, rows, base, delay):
+    """All alerts of a stream let through; what the last delay holds is decided by an end mark after it."""
     previous = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
     jobs.use_rocksdb(spark)
     try:
-        kept = jobs.suppress_stream(stream(spark, sf_dir), title="event_type", timestamp="ts")
-        jobs.run_available(kept, f"{base}/checkpoint", path=f"{base}/table")
+        kept = jobs.suppress_stream(rows, title="event_type", timestamp="ts", delay=delay)
+        jobs.run_available(kept.filter(F.col("title") != END), f"{base}/checkpoint", path=f"{base}/table")
     finally:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", previous)
     return spark.read.parquet(f"{base}/table").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
 
 
+def end_mark(spark, sf_dir, path):
+    """Writes an event a century after the newest one."""
+    newest = events(spark, sf_dir).agg((F.max("ts") + F.expr("interval 100 years")).alias("ts"))
+    newest.select("ts", F.lit(END).alias("event_type")).write.parquet(path)
+    return jobs.read_events(spark, path)
+
+
+SUPPRESSED_ROWS = SUPPRESSED_SQL + "select distinct event_type as title, ts as timestamp from walk where kept"
+
+
+@register("t4_stream_suppression", SUPPRESSED_ROWS)
+def t4_stream_suppression(spark, sf_dir):
+    base = scratch_path(spark, "t4")
+    rows = stream(spark, sf_dir).select("ts", "event_type").unionByName(end_mark(spark, sf_dir, f"{base}/end"))
+    return suppressed(spark, rows, base, "1 day")
+
+
+@register("t4_stream_late_alerts", SUPPRESSED_ROWS)
+def t4_stream_late_alerts(spark, sf_dir):
+    """The events arrive in three micro-batches without regard to their time; the end mark comes last."""
+    base = scratch_path(spark, "t4")
+    for part in range(3):
+        own = events(spark, sf_dir).filter(F.pmod(F.xxhash64("event_id"), F.lit(3)) == part)
+        own.select("ts", "event_type").coalesce(1).write.parquet(f"{base}/in/{part}")
+    end_mark(spark, sf_dir, f"{base}/in/end")
+    rows = jobs.read_events(spark, f"{base}/in/*", files_per_trigger=1)
+    return suppressed(spark, rows, base, "3650 days")
+
+
 @register("t5_stream_freshness", "select event_type as source, max(ts) as last_seen from events group by 1")
 def t5_stream_freshness(spark, sf_dir):
     base = scratch_path(spark, "t5")

@@ -65,6 +65,79 @@ def partition_loader(path: str, *, partition: str, keys: Sequence[str], order_by
     return load
 
 
+def append_log(path: str):
+    """``foreachBatch`` sink that appends each micro-batch to a log and rewrites nothing.
+
+    A batch owns the folder of its number, so a replayed batch replaces itself and no other. Read the
+    log with ``latest_rows`` and keep it short with ``compact_log``.
+    """
+    def load(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batches/batch={number:012d}")
+
+    return load
+
+
+def _numbered(spark: SparkSession, path: str, kind: str) -> list[int]:
+    """Numbers of the complete folders ``kind=<number>`` below a path, in order."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not files.exists(folder):
+        return []
+    out = []
+    for status in files.listStatus(folder):
+        name = status.getPath().getName()
+        done = spark._jvm.org.apache.hadoop.fs.Path(status.getPath(), "_SUCCESS")
+        if name.startswith(f"{kind}=") and files.exists(done):
+            out.append(int(name.partition("=")[2]))
+    return sorted(out)
+
+
+_BATCH = "__batch"
+
+
+def _log_rows(spark: SparkSession, path: str, newest: int | None = None) -> tuple[DataFrame | None, int | None]:
+    """(rows of the log with the number of their batch, number of the last batch among them)."""
+    base = path.rstrip("/")
+    levels = [n for n in _numbered(spark, f"{base}/compacted", "upto") if newest is None or n <= newest]
+    batches = [n for n in _numbered(spark, f"{base}/batches", "batch") if (not levels or n > levels[-1]) and (newest is None or n <= newest)]
+    parts = [spark.read.parquet(f"{base}/compacted/upto={levels[-1]:012d}")] if levels else []
+    if batches:
+        rows = spark.read.option("basePath", f"{base}/batches").parquet(*[f"{base}/batches/batch={n:012d}" for n in batches])
+        parts.append(rows.withColumn(_BATCH, F.col("batch").cast("long")).drop("batch"))
+    if not parts:
+        return None, None
+    rows = parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    return rows, batches[-1] if batches else levels[-1]
+
+
+def _newest(rows: DataFrame, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    return drop_duplicates(rows, keys=keys, order_by=[*order_by, _BATCH], keep="last")
+
+
+def latest_rows(spark: SparkSession, path: str, *, keys: Sequence[str], order_by: Sequence[str]) -> DataFrame:
+    """The newest row of each key in an append log, by ``order_by`` and then by batch.
+
+    A key is looked up in the whole log, not in one partition of it, so a row whose other columns
+    change (its day, say) is counted once.
+    """
+    rows, _ = _log_rows(spark, path)
+    if rows is None:
+        raise ValueError(f"no batch in {path}")
+    return _newest(rows, keys, order_by).drop(_BATCH)
+
+
+def compact_log(spark: SparkSession, path: str, *, keys: Sequence[str], order_by: Sequence[str], upto: int | None = None) -> int | None:
+    """Write the newest row of each key in all batches (up to a number) as one level; readers then skip those batches.
+
+    The level counts once it is complete; batches and older levels stay until the caller removes them, so
+    readers that began before keep their files.
+    """
+    rows, last = _log_rows(spark, path, upto)
+    if rows is not None and last not in _numbered(spark, f"{path.rstrip('/')}/compacted", "upto"):
+        _newest(rows, keys, order_by).hint("rebalance").write.mode("overwrite").parquet(f"{path.rstrip('/')}/compacted/upto={last:012d}")
+    return last
+
+
 def dedup_stream(events: DataFrame, *, keys: Sequence[str], timestamp: str, delay: str) -> DataFrame:
     """First row per key while the watermark allows a repeat."""
     return events.withWatermark(timestamp, delay).dropDuplicatesWithinWatermark(list(keys))
@@ -92,25 +165,39 @@ def daily_ohlcv_stream(
 
 
 class _Suppressor(StatefulProcessor):
-    """Keeps one timestamp per title: the last alert that was let through."""
+    """Per title the last alert let through, and the alerts that the watermark has not passed yet."""
 
     def __init__(self, window_seconds: int) -> None:
         self.window = window_seconds * 1_000_000
 
     def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
         self.last = handle.getValueState("last", "at long")
+        self.pending = handle.getListState("pending", "at long")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
+        times = {int(t) for chunk in rows for t in chunk["us"].to_numpy()}
+        yield from self._settle(key, times, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
+        yield from self._settle(key, set(), timerValues.getCurrentWatermarkInMs())
+
+    def _settle(self, key: Any, times: set[int], watermark_ms: int) -> Iterator[pd.DataFrame]:
+        """Decide what the watermark has passed: no earlier alert can come any more. The rest waits for a timer."""
         last = self.last.get()[0] if self.last.exists() else None
-        times = []
-        for chunk in rows:
-            times.append(chunk["us"].to_numpy())
-        ordered = sorted({int(t) for part in times for t in part})
-        kept = []
-        for moment in ordered:
-            if last is None or moment - last >= self.window:
+        known = {row[0] for row in self.pending.get()} if self.pending.exists() else set()
+        kept, later = [], []
+        for moment in sorted(times | known):
+            if moment > watermark_ms * 1000:
+                later.append(moment)
+            elif last is None or moment - last >= self.window:
                 kept.append(moment)
                 last = moment
+        if later:
+            self.pending.put([(t,) for t in later])
+            self.handle.registerTimer(later[0] // 1000 + 1)
+        elif known:
+            self.pending.clear()
         if kept:
             self.last.update((last,))
             yield pd.DataFrame({"title": [key[0]] * len(kept), "us": kept})
@@ -119,18 +206,22 @@ class _Suppressor(StatefulProcessor):
         pass
 
 
-def suppress_stream(alerts: DataFrame, *, title: str, timestamp: str, window_seconds: int = 3600) -> DataFrame:
+def suppress_stream(
+    alerts: DataFrame, *, title: str, timestamp: str, window_seconds: int = 3600, delay: str = "1 hour",
+) -> DataFrame:
     """Instants ``(title, timestamp)`` at which an alert is let through; needs the RocksDB state store.
 
-    Rows of one title are put in order inside a micro-batch only, so alerts have to
-    arrive in micro-batches that follow each other in time.
+    An alert is decided when the watermark (``delay`` behind the newest alert) has passed it, so alerts may come
+    out of order by up to the delay, also over micro-batches, and the answer is that of the batch form. Alerts
+    later than that are dropped by the watermark. A title holds its last kept alert and those of the last delay.
     """
-    points = alerts.select(F.col(title).alias("title"), F.unix_micros(timestamp).alias("us"))
+    seen = alerts.withWatermark(timestamp, delay)
+    points = seen.select(F.col(title).alias("title"), F.unix_micros(timestamp).alias("us"), timestamp)
     kept = points.groupBy("title").transformWithStateInPandas(
         statefulProcessor=_Suppressor(window_seconds),
         outputStructType="title string, us long",
         outputMode="append",
-        timeMode="None",
+        timeMode="EventTime",
     )
     return kept.select("title", F.timestamp_micros("us").alias("timestamp"))
 

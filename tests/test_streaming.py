@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import random
+import time
 from datetime import datetime, timedelta, timezone
 
 import pytest
@@ -67,3 +69,59 @@ def test_freshness_updates(spark, arrivals):
     assert {k: v.replace(tzinfo=timezone.utc) for k, v in seen.items()} == {
         "a": START + timedelta(hours=72), "b": START + timedelta(hours=76)
     }
+
+
+def test_append_log_keeps_the_newest_row_of_a_key_whose_day_moves(spark, tmp_path):
+    base, newest = f"{tmp_path}/log", {"keys": ["id"], "order_by": ["version"]}
+    load = jobs.append_log(base)
+
+    def batch(*rows):
+        return spark.createDataFrame(list(rows), "id int, day int, version int, price double")
+
+    def read():
+        return sorted(tuple(r) for r in jobs.latest_rows(spark, base, **newest).select("id", "day", "version", "price").collect())
+
+    load(batch((1, 1, 1, 1.0), (2, 1, 1, 2.0)), 0)
+    load(batch((1, 2, 2, 1.5), (3, 1, 1, 3.0)), 1)
+    wanted = [(1, 2, 2, 1.5), (2, 1, 1, 2.0), (3, 1, 1, 3.0)]
+    assert read() == wanted
+    load(batch((1, 2, 2, 1.5), (3, 1, 1, 3.0)), 1)  # a replay changes nothing
+    assert read() == wanted
+    assert jobs.compact_log(spark, base, **newest) == 1 == jobs.compact_log(spark, base, **newest)
+    assert read() == wanted
+    load(batch((2, 9, 1, 2.5), (1, 1, 1, 0.0)), 2)  # equal versions: the later batch; an older version: none
+    assert read() == [(1, 2, 2, 1.5), (2, 9, 1, 2.5), (3, 1, 1, 3.0)]
+    files = sorted(p.name for p in (tmp_path / "log" / "batches").iterdir())
+    assert files == [f"batch={n:012d}" for n in range(3)]  # a batch wrote its own folder only
+    assert jobs.compact_log(spark, base, **newest, upto=1) == 1
+    assert jobs.compact_log(spark, base, **newest) == 2
+    assert read() == [(1, 2, 2, 1.5), (2, 9, 1, 2.5), (3, 1, 1, 3.0)]
+    with pytest.raises(ValueError):
+        jobs.latest_rows(spark, f"{tmp_path}/none", **newest)
+
+
+def test_late_alerts_get_the_batch_answer_and_state_stays_within_the_delay(spark, tmp_path):
+    draw = random.Random(4)
+    minutes = [draw.randrange(60 * 48) for _ in range(250)]
+    rows = [(START + timedelta(minutes=m), draw.choice("ab")) for m in minutes]
+    order = sorted(range(250), key=lambda i: rows[i][0].timestamp() + draw.randrange(7200))  # up to two hours late
+    for part in range(5):
+        own = [rows[i] for i in order[part * 50:part * 50 + 50]]
+        spark.createDataFrame(own, "ts timestamp, k string").coalesce(1).write.parquet(f"{tmp_path}/in/{part}")
+        time.sleep(1.1)  # files are read by their modification time
+    end = spark.createDataFrame([(START + timedelta(days=900), "end")], "ts timestamp, k string")
+    end.coalesce(1).write.parquet(f"{tmp_path}/in/9")
+    previous = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    jobs.use_rocksdb(spark)
+    try:
+        alerts = jobs.read_events(spark, f"{tmp_path}/in/*", files_per_trigger=1)
+        jobs.run_available(jobs.suppress_stream(alerts, title="k", timestamp="ts", delay="3 hours"), f"{tmp_path}/cp", path=f"{tmp_path}/t")
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", previous)
+    wanted, last = set(), {}
+    for moment, title in sorted(rows):
+        if title not in last or moment - last[title] >= timedelta(hours=1):
+            wanted.add((title, moment))
+            last[title] = moment
+    got = [(r["title"], r["timestamp"].replace(tzinfo=timezone.utc)) for r in spark.read.parquet(f"{tmp_path}/t").collect() if r["title"] != "end"]
+    assert len(got) == len(set(got)) and set(got) == wanted
