@@ -24,7 +24,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import sha_hex, table
+from pricelake.llm.common import cut_out, running_sums, sha_hex, table
 from pricelake.plans.registry import register
 
 START, SEP, END = "<|start|>", "<|sep|>", "<|end|>"
@@ -145,19 +145,15 @@ def formatted(records: DataFrame) -> DataFrame:
     safe = F.transform("turns", lambda t: F.struct(
         F.concat(F.lit(START), escape(t["role"]), F.lit(SEP)).alias("head"), escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("loss")
     ))
-    begin = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<start: int, length: int>>").alias("spans"))
-
-    def step(state: Column, t: Column) -> Column:
-        start, length = state["at"] + F.char_length(t["head"]), F.char_length(t["body"])
-        span = F.array(F.struct(start.alias("start"), length.alias("length")))
-        return F.struct(
-            (start + length + len(END)).alias("at"), F.when(t["loss"], F.concat(state["spans"], span)).otherwise(state["spans"]).alias("spans")
-        )
-
+    ends = running_sums(F.transform("safe", lambda t: F.char_length(t["head"]) + F.char_length(t["body"]) + len(END)))
+    spans = F.zip_with("safe", ends, lambda t, end: F.struct(
+        t["loss"].alias("loss"), (end - len(END) - F.char_length(t["body"])).cast("int").alias("start"), F.char_length(t["body"]).alias("length")
+    ))
+    mask = F.transform(F.filter(spans, lambda s: s["loss"]), lambda s: F.struct(s["start"].alias("start"), s["length"].alias("length")))
     written = records.withColumn("safe", safe)
     return written.withColumns({
         "formatted": F.array_join(F.transform("safe", lambda t: F.concat(t["head"], t["body"], F.lit(END))), ""),
-        "loss_mask": F.aggregate("safe", begin, step, lambda s: s["spans"]),
+        "loss_mask": mask,
     }).drop("safe")
 
 
@@ -172,7 +168,7 @@ def read_back(text: Column) -> Column:
 
 def loss_text(text: Column, mask: Column) -> Column:
     """All text under the mask, unescaped and joined without anything between."""
-    return F.array_join(F.transform(mask, lambda s: unescape(F.substr(text, s["start"] + 1, s["length"]))), "")
+    return F.array_join(cut_out(text, mask, unescape), "")
 
 
 def conversation_records(rows: DataFrame) -> DataFrame:

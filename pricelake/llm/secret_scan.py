@@ -20,7 +20,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from pricelake.llm.common import saved, sha_hex, table
+from pricelake.llm.common import running_sums, saved, sha_hex, table
 from pricelake.plans.registry import register
 
 
@@ -59,17 +59,10 @@ def rule_spans(text: Column, rule: Rule) -> Column:
     tested = F.transform(F.regexp_extract_all(text, pattern, F.lit(rule.group)), F.char_length)
     pairs = F.arrays_zip(F.slice(lengths, 1, F.size(matched)).alias("gap"), matched.alias("length"), tested.alias("tested"))
     span = "struct<start: int, end: int>"
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{span}>").alias("spans"))
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + x["length"]
-        own = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(
-            end.alias("at"), F.when(x["tested"] >= rule.least, F.concat(state["spans"], own)).otherwise(state["spans"]).alias("spans")
-        )
-
-    found = F.aggregate(pairs, start, step, lambda s: s["spans"])
+    ends = running_sums(F.transform(pairs, lambda x: x["gap"] + x["length"]))
+    told = F.zip_with(pairs, ends, lambda x, end: F.struct(x["tested"].alias("tested"), (end - x["length"]).alias("start"), end.alias("end")))
+    good = F.filter(told, lambda x: x["tested"] >= rule.least)
+    found = F.transform(good, lambda x: F.struct(x["start"].cast("int").alias("start"), x["end"].cast("int").alias("end")))
     return F.when(text.rlike(rule.pattern), found).otherwise(F.array().cast(f"array<{span}>"))
 
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 import dataclasses
 import hashlib
 import re
+import time
 
 from pricelake.llm.secret_scan import RULES, blobs, scan, scan_unseen, span_text
 from tests.llm.edge import documents, edge_docs, no_docs
@@ -51,3 +52,16 @@ def test_edge_cases(spark):
     assert found.count() == 11 and {s for _, s in ((r["path"], r["s"]) for r in found.select("path", span_text(found["found"]).alias("s")).collect())} == {""}
     found, ledger = scan(no_docs(spark))
     assert found.collect() == [] and ledger.collect() == []
+
+
+def test_many_findings_in_one_text_take_time_in_proportion(spark):
+    def seconds(n):
+        text = " ".join(f"token=abcdef{i:07d}" for i in range(n))
+        begin = time.perf_counter()
+        found, _ = scan(documents(spark, [(1, text)]))
+        assert told(found) == [(1, expected(text))]
+        return time.perf_counter() - begin
+
+    seconds(100)
+    small, large = seconds(5_000), seconds(40_000)
+    assert large < 16 * small + 2
