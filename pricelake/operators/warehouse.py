@@ -296,15 +296,18 @@ def with_partition(df: DataFrame, grain: str) -> tuple[DataFrame, str]:
     raise ValueError(f"unknown grain {grain!r}")
 
 
-def merge_partitions(incoming: DataFrame, path: str, *, keys: Sequence[str], part: str) -> str:
+def merge_partitions(incoming: DataFrame, path: str, *, keys: Sequence[str], part: str, order_by: Sequence[str] = ()) -> str:
     """Insert or replace rows by ``keys`` inside the partitions that the incoming rows fall into.
 
     Rows of a touched partition that no incoming key replaces stay; other partitions keep their files.  The
     partition has to follow from the key, so that a key never moves.  The touched partition values are the
-    batch's days (or months), few enough to name in the scan, which then reads only their folders.
+    batch's days (or months), few enough to name in the scan, which then reads only their folders.  Of incoming rows
+    with one key the first by ``order_by`` descending stays; without it, or among ties, one that depends on the rows
+    alone and not on their order.
     """
     spark = incoming.sparkSession
-    fresh = checkpointed(incoming)
+    first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by], F.xxhash64(*incoming.columns))
+    fresh = checkpointed(incoming.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place"))
     touched = sorted(r[0] for r in fresh.select(part).distinct().collect() if r[0] is not None)
     merged = fresh
     if path_exists(spark, path):

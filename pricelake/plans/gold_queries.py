@@ -18,9 +18,14 @@ def old_customers(spark, sf_dir):
     return table(spark, sf_dir, "customer").filter("c_custkey % 3 <> 0").select(*CUSTOMER)
 
 
-def new_customers(spark, sf_dir):
-    """Every second customer twice; every fourth one with a changed segment."""
-    rows = table(spark, sf_dir, "customer").filter("c_custkey % 2 = 0").select(*CUSTOMER)
+SECOND = "c_custkey % 2 = 0"
+#: Those and all that are not old: old and new customers together are the whole table.
+REST = "(c_custkey % 2 = 0 or c_custkey % 3 = 0)"
+
+
+def new_customers(spark, sf_dir, which=SECOND):
+    """Every second customer (or the rest as well) twice; every fourth one with a changed segment."""
+    rows = table(spark, sf_dir, "customer").filter(which).select(*CUSTOMER)
     changed = rows.withColumn(
         "c_mktsegment", F.when(F.col("c_custkey") % 4 == 0, F.lit("CHANGED")).otherwise(F.col("c_mktsegment"))
     )
@@ -150,6 +155,71 @@ def w7_load_statistics(spark, sf_dir):
     )
 
 
+# The same operators over all customers: who is not old comes with the new ones.
+
+ALL_SQL = OLD_NEW_SQL.replace(SECOND, REST)
+ALL_HISTORY_SQL = HISTORY_SQL.replace(SECOND, REST)
+
+
+def all_history(spark, sf_dir):
+    return warehouse.scd2_merge(
+        history(spark, sf_dir), new_customers(spark, sf_dir, REST), ["c_custkey"], tracked=TRACKED,
+        order_by=["c_acctbal"], effective=F.lit("2024-06-01").cast("date"),
+    )
+
+
+@register(
+    "w4_insert_all",
+    ALL_SQL + f"select {CUSTOMER_SQL} from old union all select {CUSTOMER_SQL} from firsts where c_custkey % 3 = 0",
+)
+def w4_insert_all(spark, sf_dir):
+    return warehouse.insert_missing(
+        old_customers(spark, sf_dir), new_customers(spark, sf_dir, REST), ["c_custkey"], order_by=["c_acctbal"]
+    )
+
+
+@register(
+    "w5_upsert_all",
+    ALL_SQL + f"""select {CUSTOMER_SQL} from new
+      union all select {CUSTOMER_SQL} from old where c_custkey not in (select c_custkey from new)""",
+)
+def w5_upsert_all(spark, sf_dir):
+    return warehouse.upsert(
+        old_customers(spark, sf_dir), new_customers(spark, sf_dir, REST), ["c_custkey"], order_by=["c_acctbal"]
+    )
+
+
+@register("w6_scd2_merge_all", ALL_HISTORY_SQL + "select * from history")
+def w6_scd2_merge_all(spark, sf_dir):
+    return all_history(spark, sf_dir)
+
+
+@register(
+    "w6_scd2_point_in_time_all",
+    ALL_HISTORY_SQL + """select * from history where effective_date <= date '2024-07-01'
+      and (end_date is null or end_date > date '2024-07-01')""",
+)
+def w6_scd2_point_in_time_all(spark, sf_dir):
+    return warehouse.point_in_time(all_history(spark, sf_dir), F.lit("2024-07-01").cast("date"))
+
+
+@register(
+    "w7_load_statistics_all",
+    ALL_SQL + """, actions as (
+      select case when o.c_custkey is null then 'inserted' when n.c_custkey is null then 'kept'
+        when o.c_mktsegment = n.c_mktsegment then 'unchanged' else 'updated' end as action
+      from old o full join new n on o.c_custkey = n.c_custkey)
+    select action, count(*) as row_count from actions group by action""",
+)
+def w7_load_statistics_all(spark, sf_dir):
+    return warehouse.load_statistics(
+        warehouse.scd2_classify(
+            history(spark, sf_dir), new_customers(spark, sf_dir, REST), ["c_custkey"], tracked=TRACKED,
+            order_by=["c_acctbal"],
+        )
+    )
+
+
 def dimensions(spark, sf_dir):
     """Dimensions derived from the tables; one commodity and the last year are left out."""
     parts = table(spark, sf_dir, "part")

@@ -231,3 +231,18 @@ def test_dedup_is_cut_before_the_shuffle(spark, sf_dir):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
+
+
+def test_a_key_that_comes_twice_in_one_batch_is_loaded_once(spark, tmp_path):
+    path, schema = f"{tmp_path}/t", "id long, day int, version int, price double"
+    load = lambda *rows, **more: warehouse.merge_partitions(spark.createDataFrame(list(rows), schema), path, keys=["id"], part="day", **more)
+    read = lambda: sorted(tuple(r) for r in spark.read.parquet(path).select("id", "day", "version", "price").collect())
+    load((1, 1, 1, 5.0), (1, 1, 2, 6.0), (1, 1, 2, 6.0), (2, 1, 1, 7.0), order_by=["version"])
+    assert read() == [(1, 1, 2, 6.0), (2, 1, 1, 7.0)]
+    load((2, 1, 2, 8.0), (2, 1, 2, 8.0), (3, 2, 1, 9.0))
+    assert read() == [(1, 1, 2, 6.0), (2, 1, 2, 8.0), (3, 2, 1, 9.0)]
+    rows = [(4, 1, v, float(v)) for v in range(5)]
+    load(*rows)
+    kept = read()
+    load(*reversed(rows))
+    assert read() == kept and sum(r[0] == 4 for r in kept) == 1
