@@ -38,7 +38,7 @@ from pricelake.llm.common import saved, shipped, table
 from pricelake.llm.textops import chunks, word_hashes, word_spans
 from pricelake.plans.registry import register
 
-BITS = 19
+BITS = 20
 PREDICTORS = 3
 #: Most words whose counts are broadcast.
 HEAD = 100_000
