@@ -43,6 +43,9 @@ PREDICTORS = 3
 #: Most words whose counts are broadcast.
 HEAD = 100_000
 BLOCK_BYTES = 1 << 15
+#: Counts that are shuffled and summed together (two per slot).
+BLOCK_COUNTS = 1 << 10
+_KINDS = {1: np.uint8, 2: np.uint16, 4: np.int32}
 #: Size of an online step, smoothing of counts, step of stored log odds, and buckets of the adaptive map (half a unit of log odds each).
 RATE, SMOOTH, STEP, BUCKETS = 0.02, 0.4, 0.1, 64
 #: How many hits the map's prior, the mixed probability itself, is worth.
@@ -86,7 +89,7 @@ def huffman(counts: np.ndarray) -> Code:
         paths.append(path[::-1])
     size = np.array([len(p) for p in paths])
     flat = np.array([step for p in paths for step in p])
-    return Code(np.cumsum(size) - size, size, flat[:, 0].astype(np.uint32), flat[:, 1].astype(np.uint8))
+    return Code(np.cumsum(size) - size, size, flat[:, 0], flat[:, 1])
 
 
 def stream(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -113,47 +116,64 @@ def contexts(data: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
     """Per predictor a hash of what stands before each byte in its text."""
     n = len(data)
     begins = np.flatnonzero(np.diff(owner, prepend=-1))
-    into = np.arange(n) - np.repeat(begins, np.diff(begins, append=n))
     low = data.astype(np.uint32) + np.uint32(1)
 
     def before(k: int) -> np.ndarray:
         out = np.zeros(n, np.uint32)
-        out[k:] = np.where(into[k:] >= k, low[:-k] if k else low, 0)
+        out[k:] = low[:-k]
+        for near in range(k):  # nothing stands before a text
+            at = begins + near
+            out[at[at < n]] = 0
         return out
 
     three = before(1) | before(2) << np.uint32(9) | before(3) << np.uint32(18)
-    first = (data == _GAP).astype(np.int8)
-    opens = np.concatenate(([True], first[:-1] > 0)) | (into == 0)
+    opens, starts = np.empty(n, bool), np.zeros(n, bool)
+    starts[begins] = True
+    opens[1:] = data[:-1] == _GAP
+    opens[begins] = True
     at = np.flatnonzero(opens)
-    word = np.cumsum(opens) - 1
     powers, inverse = _powers(_R, n), _powers(_R_INVERSE, n)
     sums = np.concatenate(([np.uint32(0)], np.cumsum(low * powers[:n], dtype=np.uint32)))
-    part = (sums[:-1] - sums[at][word]) * inverse[at][word]
     last = np.append(at[1:], n) - 1  # the space or end behind each word
-    whole = part[last] * _SPREAD + np.uint32(7)
+    whole = (sums[last] - sums[at]) * inverse[at] * _SPREAD + np.uint32(7)
     former = np.concatenate(([np.uint32(0)], whole[:-1]))
-    former[into[at] == 0] = 0
-    pair = part * _NODE ^ former[word]
+    former[starts[at]] = 0
+    passed, scale, word = _spread([sums[at], inverse[at], former], np.diff(at, append=n))
+    part = (sums[:-1] - passed) * scale
+    pair = part * _NODE ^ word
     return [_mixed(x, i) for i, x in enumerate((three, part, pair))]
 
 
+def _spread(columns: list[np.ndarray], times: np.ndarray) -> list[np.ndarray]:
+    """Up to four columns of 32-bit numbers, each place repeated so many times; all are copied at once as 16 bytes."""
+    packed = np.zeros((len(times), 4), np.uint32)
+    for i, column in enumerate(columns):
+        packed[:, i] = column
+    wide = np.repeat(packed.view(np.complex128).ravel(), times).view(np.uint32).reshape(-1, 4)
+    return [wide[:, i] for i in range(len(columns))]
+
+
 def _mixed(value: np.ndarray, salt: int) -> np.ndarray:
     value = (value + np.uint32(salt * 0x51ED27)) * _SPREAD
     return (value ^ (value >> np.uint32(15))) * np.uint32(0xC2B2AE35)
 
 
 def decisions(data: np.ndarray, own: list[np.ndarray], code: Code, bits: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """(node, bit, slot of each predictor, byte) of each binary decision."""
-    size = code.size[data]
-    ends = np.cumsum(size)
-    flat = np.arange(ends[-1] if len(ends) else 0) + np.repeat(code.start[data] - (ends - size), size)
+    """(node, bit, slot of each predictor) of each binary decision, and the first decision of each byte."""
+    size, start = code.size[data], code.start[data]
+    firsts = np.cumsum(size) - size
+    flat = np.ones(int(size.sum()), np.int64)  # steps of one along a path, a jump at the next byte
+    flat[firsts] = np.concatenate((start[:1], start[1:] - start[:-1] - size[:-1] + 1))
+    np.cumsum(flat, out=flat)
     node, bit = code.node[flat], code.bit[flat]
-    salt = node * _NODE
+    salt = node.astype(np.uint32) * _NODE
     slots = []
-    for context in own:
-        h = (np.repeat(context, size) ^ salt) * _SPREAD
-        slots.append((h >> np.uint32(32 - bits)).astype(np.int64))
-    return node, bit, slots, np.repeat(np.arange(len(data)), size)
+    for context in _spread(own, size):
+        h = context ^ salt
+        h *= _SPREAD
+        h >>= np.uint32(32 - bits)
+        slots.append(h.astype(np.int64))
+    return node, bit, slots, firsts
 
 
 @dataclass
@@ -179,17 +199,17 @@ def without_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 def inputs(slots: list[np.ndarray], tables: list[np.ndarray], node: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
     """(log odds of each predictor, weight set)."""
-    out, gate = [own.take(slot) for slot, own in zip(slots, tables)], node.astype(np.int64) * 4
-    gate += out[-2] != 0
-    gate += 2 * (out[-1] != 0)
+    out = [own[slot] for slot, own in zip(slots, tables)]
+    gate = node * 4
+    gate += (out[-2] != 0).view(np.int8) + (out[-1] != 0).view(np.int8) * np.int8(2)
     return [x.astype(np.float32) * np.float32(STEP) for x in out], gate
 
 
 def mixed(x: list[np.ndarray], gate: np.ndarray, weights: np.ndarray) -> np.ndarray:
     """Log odds after mixing; `weights` has a row per predictor and one for the bias, a column per set."""
-    total = weights[-1].take(gate)
+    total = weights[-1][gate]
     for own, row in zip(x, weights):
-        total += own * row.take(gate)
+        total += own * row[gate]
     return np.clip(total, np.float32(-15), np.float32(15), out=total)
 
 
@@ -199,13 +219,15 @@ def squashed(odds: np.ndarray) -> np.ndarray:
 
 def cell(node: np.ndarray, odds: np.ndarray) -> np.ndarray:
     """Cell of the adaptive map."""
-    return node.astype(np.int64) * BUCKETS + (odds * 2 + np.float32(BUCKETS / 2)).astype(np.int64)
+    at = node * BUCKETS
+    at += (odds * 2 + np.float32(BUCKETS / 2)).astype(np.int32)
+    return at
 
 
 def refine(node: np.ndarray, odds: np.ndarray, refined: np.ndarray) -> np.ndarray:
     """Probability of a one: mean of the mixed one and what followed such predictions; `refined` is (share of ones, share of the prior) per cell."""
     p, at = squashed(odds), cell(node, odds)
-    told = refined[0].take(at) + refined[1].take(at) * p
+    told = refined[0][at] + refined[1][at] * p
     return np.clip((p + told) * np.float32(0.5), _LEAST, _MOST)
 
 
@@ -215,13 +237,20 @@ def score_texts(raws: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray
     own, total = contexts(data, owner), np.zeros(len(raws))
     for first in range(0, len(data), BLOCK_BYTES):
         part = slice(first, first + BLOCK_BYTES)
-        node, bit, slots, byte = decisions(data[part], [c[part] for c in own], model.code, model.bits)
+        node, bit, slots, firsts = decisions(data[part], [c[part] for c in own], model.code, model.bits)
         x, gate = inputs(slots, model.odds, node)
         p = refine(node, mixed(x, gate, model.weights), model.refined)
-        total += np.bincount(owner[part][byte], weights=np.log(np.where(bit, p, np.float32(1) - p)), minlength=len(raws))
+        logs = np.log(np.abs(p - (1 - bit).astype(np.float32)))
+        texts = np.flatnonzero(np.diff(owner[part], prepend=-1))
+        total[owner[part][texts]] += np.add.reduceat(logs, firsts[texts], dtype=np.float64)
     return total / np.log(10), np.bincount(owner, minlength=len(raws))
 
 
+def _keep_memory() -> None:
+    """Free one large array, after which the C library keeps freed memory of up to that size instead of faulting each page in again."""
+    np.empty(31 << 20, np.uint8)
+
+
 def _blocks(texts: pa.Array) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
     for _, raws in chunks(texts):
         data, owner = stream(raws)
@@ -240,26 +269,38 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _slot_counts(code: Code, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (slot over all tables, zeros, ones) of the texts of a task."""
+    """Rows (block over all tables, counts of its slots, zero and one in turn) of the texts of a task, in the fewest bytes a count."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _keep_memory()
         counts, one = np.zeros((PREDICTORS, 2 << bits), np.int32), np.ones(1, np.int32)
         for batch in batches:
             for data, own in _blocks(batch.column(0)):
                 _, bit, slots, _ = decisions(data, own, code, bits)
                 for i, slot in enumerate(slots):
-                    np.add.at(counts[i], slot * 2 + bit, np.broadcast_to(one, bit.shape))
-        for i in range(PREDICTORS):
-            both = counts[i].reshape(-1, 2)
-            some = np.flatnonzero(both.any(1))
-            for first in range(0, len(some), 1 << 16):
-                at = some[first:first + (1 << 16)]
-                rows = ((at + (i << bits)).astype(np.int32), both[at, 0], both[at, 1])
-                yield pa.record_batch([pa.array(x) for x in rows], names=["slot", "zeros", "ones"])
+                    slot *= 2
+                    slot += bit
+                    np.add.at(counts[i], slot, np.broadcast_to(one, bit.shape))
+        whole = counts.reshape(-1, BLOCK_COUNTS)
+        for block in np.flatnonzero(whole.any(1)):
+            own = whole[block]
+            narrow = next(kind for kind in (np.uint8, np.uint16, np.int32) if own.max() <= np.iinfo(kind).max)
+            yield pa.record_batch([pa.array([block], pa.int32()), pa.array([own.astype(narrow).tobytes()])], names=["block", "counts"])
 
     return run
 
 
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sums of the counts of each block, as 64-bit numbers; a task holds its blocks once, however many rows come."""
+    sums: dict[int, np.ndarray] = {}
+    for batch in batches:
+        for block, counts in zip(batch.column("block").to_pylist(), batch.column("counts").to_pylist()):
+            one = np.frombuffer(counts, _KINDS[len(counts) // BLOCK_COUNTS])
+            sums[block] = sums[block] + one if block in sums else one.astype(np.int64)
+    for block, own in sums.items():
+        yield pa.record_batch([pa.array([block], pa.int32()), pa.array([own.tobytes()])], names=["block", "counts"])
+
+
 def online(blocks: Iterator[tuple[np.ndarray, list[np.ndarray]]], code: Code, without: list[np.ndarray], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(weights, decisions of each set, hits and cases of the map) after online descent over the blocks; see `without_one`."""
     weights = np.full((PREDICTORS + 1, 1024), 1 / PREDICTORS, np.float32)
@@ -269,9 +310,10 @@ def online(blocks: Iterator[tuple[np.ndarray, list[np.ndarray]]], code: Code, wi
         node, bit, slots, _ = decisions(data, own, code, bits)
         x, gate = inputs([slot * 2 + bit for slot in slots], without, node)
         odds = mixed(x, gate, weights)
-        error, at = bit - squashed(odds), cell(node, odds)
-        refined[0] += np.bincount(at[bit > 0], minlength=refined.shape[1])
-        refined[1] += np.bincount(at, minlength=refined.shape[1])
+        error, at = bit.astype(np.float32) - squashed(odds), cell(node, odds)
+        both = np.bincount(at * 2 + bit, minlength=2 * refined.shape[1]).reshape(-1, 2)
+        refined[0] += both[:, 1]
+        refined[1] += both.sum(1)
         seen += np.bincount(gate, minlength=1024)
         for i in range(PREDICTORS + 1):
             slope = np.bincount(gate, weights=error * x[i] if i < PREDICTORS else error, minlength=1024)
@@ -284,6 +326,7 @@ def _fit(code: Code, shared: object, bits: int) -> Callable[[Iterator[pa.RecordB
     """Rows (kind, at, value, n): summed weights and decisions per weight, hits and cases per cell of the map."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _keep_memory()
         weights, seen, refined = online((b for batch in batches for b in _blocks(batch.column(0))), code, shared.value, bits)
         every = np.broadcast_to(seen, weights.shape).ravel()
         for kind, value, n in ((0, weights.ravel() * every, every), (1, refined[0], refined[1])):
@@ -300,13 +343,13 @@ def learn(texts: DataFrame, bits: int = BITS) -> Model:
     for r in texts.mapInArrow(_byte_counts, "byte long, n long").groupBy("byte").agg(F.sum("n").alias("n")).collect():
         counts[r["byte"]] = r["n"]
     code = huffman(counts)
-    summed = texts.mapInArrow(_slot_counts(code, bits), "slot int, zeros int, ones int").groupBy("slot").agg(
-        F.sum("zeros").alias("zeros"), F.sum("ones").alias("ones")
-    )
-    told = summed.toArrow()  # at most PREDICTORS * 2^bits rows of three numbers
-    counted = np.zeros((2, PREDICTORS << bits), np.int64)
-    counted[:, told.column("slot").to_numpy()] = told.column("zeros").to_numpy(), told.column("ones").to_numpy()
-    zeros, ones = counted.reshape(2, PREDICTORS, -1)
+    blocks = "block int, counts binary"
+    parts = min(int(spark.conf.get("spark.sql.shuffle.partitions")), (PREDICTORS << bits + 1) // BLOCK_COUNTS)
+    told = texts.mapInArrow(_slot_counts(code, bits), blocks).repartition(parts, "block").mapInArrow(_summed, blocks).toArrow()  # PREDICTORS * 2^bits slots at most
+    counted = np.zeros(((PREDICTORS << bits + 1) // BLOCK_COUNTS, BLOCK_COUNTS), np.int64)
+    for block, counts in zip(told.column("block").to_pylist(), told.column("counts").to_pylist()):
+        counted[block] = np.frombuffer(counts, np.int64)
+    zeros, ones = np.moveaxis(counted.reshape(PREDICTORS, -1, 2), 2, 0)
     shared = spark.sparkContext.broadcast([without_one(*x) for x in zip(zeros, ones)])
     learnt = texts.mapInArrow(_fit(code, shared, bits), "kind int, at long, value double, n double").groupBy("kind", "at").agg(
         F.sum("value").alias("value"), F.sum("n").alias("n")
@@ -332,6 +375,7 @@ def _scorer(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
     """Rows of SCORED: the model's score, and the distinct words with their counts for the base score."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _keep_memory()
         code, *rest = shared.value
         model = Model(Code(*code), *rest)
         for batch in batches:
