@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 
 from pricelake.functions.scalars import strip
 from pricelake.operators.series import (
-    carry_last, fits_plain_window, join_null_safe, require_order, with_group_stats,
+    carry_last, join_null_safe, require_order, with_group_stats,
 )
-from pricelake.session import checkpointed
 
 INLINE_MAP_ENTRIES = 200
 
@@ -106,60 +105,67 @@ def _standard_name(name: Column, mapping: Mapping[str, str]) -> Column:
     return F.when(key == "", name).otherwise(pick)
 
 
+DIGIT_BITS = 16
+
+
+def sortable_bits(value: Column) -> Column:
+    """A long that orders like the double (NaN last, -0.0 equal to 0.0), built from exponent and mantissa.
+
+    Scaling by powers of two is exact, so different doubles get different longs. ``log2`` may round over a power
+    of two, which the two comparisons set right.
+    """
+    size = F.abs(value)
+    guess = F.greatest(F.floor(F.log2(size)), F.lit(-1022)).cast("int")
+    guess = F.when(F.pow(F.lit(2.0), guess) > size, guess - 1).when(size / F.pow(F.lit(2.0), guess) >= 2, guess + 1).otherwise(guess)
+    power = F.least(F.greatest(guess, F.lit(-1022)), F.lit(1023))
+    scaled = size / F.pow(F.lit(2.0), power)  # below 1 for the smallest numbers, else from 1 up to 2
+    bits = (power + 1022).cast("long") * F.lit(1 << 52) + (scaled * float(1 << 52)).cast("long")
+    infinite, nan = F.lit(2047 << 52), F.lit((2047 << 52) + 1)
+    bits = F.when(size == 0, F.lit(0).cast("long")).when(size == float("inf"), infinite).otherwise(bits)
+    return F.when(F.isnan(value), nan).when(value < 0, -bits).otherwise(bits)
+
+
+def order_statistics(df: DataFrame, *, column: str, keys: Sequence[str], ranks: dict[str, Column]) -> DataFrame:
+    """Per group the exact values at 0-based ranks, by digit selection over the sortable bits of a double.
+
+    ``ranks`` maps output names to expressions of the group's number of values ``__n``. Values are collapsed to
+    (value, frequency) first. Each of four passes counts the next 16 bits among the values that share the digits
+    found so far, for all groups and ranks at once, and keeps the digit that holds the rank. A pass sorts at
+    most 2^16 digits of one group and rank, however many rows a group has, and no job runs while planning.
+    Whole numbers and decimals that are not told apart as doubles (beyond 2^53) count as one value, the smallest.
+    """
+    number = F.col(column).cast("double")
+    counted = df.filter(F.col(column).isNotNull()).groupBy(*keys, sortable_bits(number).alias("__bits")).agg(
+        F.count(F.lit(1)).alias("__c"), F.min(column).alias("__v")
+    )
+    totals = counted.groupBy(*keys).agg(F.sum("__c").alias("__n"))
+    wanted = F.array(*[F.struct(F.lit(name).alias("name"), rank.cast("long").alias("rank")) for name, rank in ranks.items()])
+    found = totals.select(*keys, F.explode(wanted).alias("__w")).select(*keys, "__w.*")
+    # at the start all values share the digits found so far: none
+    found, prefix = found.withColumn("__prefix", F.lit(0).cast("long")), F.lit(0).cast("long")
+    for place in range(64 - DIGIT_BITS, -1, -DIGIT_BITS):
+        digit = F.shiftright("__bits", place)
+        sums = counted.groupBy(*keys, prefix.alias("__prefix"), digit.alias("__digit")).agg(F.sum("__c").alias("__c"))
+        mine = join_null_safe(sums, found, [*keys, "__prefix"], "inner")
+        upto = F.sum("__c").over(Window.partitionBy(*keys, "name").orderBy("__digit"))
+        start = F.col("__upto") - F.col("__c")
+        hit = mine.withColumn("__upto", upto).filter((F.col("rank") >= start) & (F.col("rank") < F.col("__upto")))
+        found = hit.select(*keys, "name", (F.col("rank") - start).alias("rank"), F.col("__digit").alias("__prefix"))
+        prefix = digit
+    values = join_null_safe(counted.withColumnRenamed("__bits", "__prefix"), found, [*keys, "__prefix"], "inner")
+    return values.groupBy(*keys).agg(*[F.max(F.when(F.col("name") == name, F.col("__v"))).alias(name) for name in ranks])
+
+
 def quartile_bounds(
     df: DataFrame, *, column: str, keys: Sequence[str] = (), threshold: float = 1.5,
     plain_limit: int | None = None, blocks: int | None = None,
 ) -> DataFrame:
     """Per group the 0-based order statistics n//4 and 3n//4 and the fences around them.
 
-    Values are first collapsed to (value, frequency), so repeated values cost one row.
-    When a group still has too many distinct values for one task, the sorted values are
-    range-partitioned, and only the block holding each wanted rank is opened.
+    ``plain_limit`` and ``blocks`` chose between two routes once; they are accepted and change nothing.
     """
-    keys = list(keys)
-    counted = (
-        df.filter(F.col(column).isNotNull())
-        .groupBy(*keys, F.col(column).alias("__v")).agg(F.count(F.lit(1)).alias("__c"))
-    )
-    totals = counted.groupBy(*keys).agg(F.sum("__c").alias("__n"))
-    low_rank, high_rank = F.floor(F.col("__n") / 4), F.floor(F.col("__n") * 3 / 4)
-
-    def with_total(frame: DataFrame) -> DataFrame:
-        if keys:
-            return join_null_safe(frame, totals, keys, "inner")
-        return frame.withColumn("__n", totals.scalar())
-
-    def holds(rank: Column, start: Column, end: Column) -> Column:
-        return (rank >= start) & (rank < end)
-
-    if fits_plain_window(counted, keys, None, plain_limit):
-        scope, base, ranged = keys, F.lit(0), counted
-    else:
-        spark = df.sparkSession
-        blocks = blocks or int(spark.conf.get("spark.sql.shuffle.partitions"))
-        placed = checkpointed(
-            counted.repartitionByRange(blocks, *keys, "__v").withColumn("__block", F.spark_partition_id())
-        )
-        earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(Window.unboundedPreceding, -1)
-        starts = (
-            placed.groupBy(*keys, "__block").agg(F.sum("__c").alias("__s"))
-            .withColumn("__base", F.coalesce(F.sum("__s").over(earlier), F.lit(0)))
-        )
-        stop = F.col("__base") + F.col("__s")
-        # the blocks that hold a wanted rank: at most two per group
-        hits = with_total(starts).filter(
-            holds(low_rank, F.col("__base"), stop) | holds(high_rank, F.col("__base"), stop)
-        ).select(*keys, "__block", "__base")
-        scope = [*keys, "__block"]
-        base = F.col("__base")
-        ranged = join_null_safe(placed, hits, scope, "inner")
-    upto = Window.partitionBy(*scope).orderBy("__v").rowsBetween(Window.unboundedPreceding, 0)
-    ends = with_total(ranged.withColumn("__end", base + F.sum("__c").over(upto)))
-    start = F.col("__end") - F.col("__c")
-    quartiles = ends.groupBy(*keys).agg(
-        F.max(F.when(holds(low_rank, start, F.col("__end")), F.col("__v"))).alias("q1"),
-        F.max(F.when(holds(high_rank, start, F.col("__end")), F.col("__v"))).alias("q3"),
-    )
+    ranks = {"q1": F.floor(F.col("__n") / 4), "q3": F.floor(F.col("__n") * 3 / 4)}
+    quartiles = order_statistics(df, column=column, keys=list(keys), ranks=ranks)
     spread = (F.col("q3") - F.col("q1")) * threshold
     return quartiles.withColumns({"lower_bound": F.col("q1") - spread, "upper_bound": F.col("q3") + spread})
 

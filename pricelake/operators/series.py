@@ -1,16 +1,16 @@
 """Ordered per-series computations that stay bounded when one series is huge.
 
-A plain ``Window.partitionBy(keys)`` sorts a whole series in one task, so a series
-with a third of all rows makes one task do a third of the work.  Each function here
-first learns the size of the largest series (or is told an upper bound by a caller
-who knows one, such as one row per calendar day) and then either
+A plain ``Window.partitionBy(keys)`` sorts a whole series in one task, so a series with a third of all rows makes
+one task do a third of the work.  What is planned follows from what the caller states, never from a measurement:
 
-* uses the plain window, or
-* numbers the rows of every series with a range-partitioned sort, cuts the numbering
-  into fixed-length chunks and works on ``(keys, chunk)``, copying the few rows a
-  frame needs from the neighbouring chunk or carrying one value per chunk forward.
+* ``series_rows``, an upper bound of a series such as one row per calendar day: the plain window.
+* otherwise, with a date or time as first order column: windows over (keys, calendar bucket).  The few rows a
+  frame needs from neighbouring buckets come along as copies, and a value to be carried is taken from one
+  summary row per bucket, so building the plan starts no job.  ``bucket`` is a unit of ``date_trunc``.
+* otherwise: rows are numbered by a range-partitioned sort (which runs when the plan is built, into a checkpoint) and
+  cut into chunks of fixed length, with copies and carried values between chunks.
 
-Both routes give the same rows.  ``order_by`` has to be a total order.
+All give the same rows.  ``order_by`` has to be a total order.
 """
 
 from __future__ import annotations
@@ -70,13 +70,19 @@ def largest_series(df: DataFrame, keys: Sequence[str]) -> int:
     return int(row["n"] or 0)
 
 
-def fits_plain_window(
-    df: DataFrame, keys: Sequence[str], series_rows: int | None, limit: int | None = None
-) -> bool:
-    """Whether every series is small enough for one task; measured unless bounded by the caller."""
-    limit = PLAIN_WINDOW_ROWS if limit is None else limit
-    rows = largest_series(df, keys) if series_rows is None else series_rows
-    return rows <= limit
+def fits_plain_window(series_rows: int | None, limit: int | None = None) -> bool:
+    """Whether the caller states a bound that one task can sort."""
+    return series_rows is not None and series_rows <= (PLAIN_WINDOW_ROWS if limit is None else limit)
+
+
+def calendar_bucket(df: DataFrame, order_by: Sequence[str], bucket: str | None) -> Column | None:
+    """The bucket of a row, or None if the first order column is no date or time."""
+    kind = dict(df.dtypes)[order_by[0]]
+    if kind not in ("date", "timestamp", "timestamp_ntz"):
+        if bucket is not None:
+            raise ValueError(f"bucket needs a date or time as first order column, not {kind}")
+        return None
+    return F.date_trunc(bucket or "month", F.col(order_by[0]))
 
 
 def with_position(
@@ -109,6 +115,51 @@ def with_position(
     )
 
 
+def _bucket_sizes(cut: DataFrame, keys: Sequence[str], backwards: bool = False) -> DataFrame:
+    """One row per (keys, bucket): rows in it and in all buckets before it (after it, if backwards)."""
+    sizes = cut.groupBy(*keys, _CHUNK).agg(F.count(F.lit(1)).alias("__n"))
+    line = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc() if backwards else F.col(_CHUNK).asc())
+    return sizes.withColumn("__first", F.sum("__n").over(line.rowsBetween(Window.unboundedPreceding, 0)) - F.col("__n"))
+
+
+def _halo(
+    cut: DataFrame, keys: Sequence[str], order_by: Sequence[str], reach: int, backwards: bool = False
+) -> DataFrame:
+    """Copies of the rows that lie at most ``reach`` rows before (after, if backwards) a later (earlier) bucket.
+
+    Every bucket has a row, so the last ``reach`` rows of a bucket and its next ``reach`` buckets are all that can meet.
+    """
+    towards = [F.col(c).asc() if backwards else F.col(c).desc() for c in order_by]
+    rank = F.row_number().over(Window.partitionBy(*keys, _CHUNK).orderBy(*towards))
+    edge = cut.withColumn("__rank", rank).filter(F.col("__rank") <= reach)
+    line = Window.partitionBy(*keys).orderBy(F.col(_CHUNK).desc() if backwards else F.col(_CHUNK).asc())
+    following = F.collect_list(F.struct(F.col("__first").alias("at"), F.col(_CHUNK).alias("bucket"))).over(line.rowsBetween(1, reach))
+    near = _bucket_sizes(cut, keys, backwards).select(
+        *keys, _CHUNK, (F.col("__first") + F.col("__n")).alias("__end"), following.alias("__next")
+    )
+    reached = F.filter("__next", lambda x: x["at"] - F.col("__end") + F.col("__rank") <= reach)
+    met = join_null_safe(edge, near, [*keys, _CHUNK]).withColumn("__target", F.explode(reached))
+    return met.withColumns({_CHUNK: F.col("__target.bucket"), _OWN: F.lit(False)}).drop("__rank", "__end", "__next", "__target")
+
+
+def _over_buckets(
+    df: DataFrame, keys: Sequence[str], order_by: Sequence[str], build: Callable[[WindowSpec], dict[str, Column]],
+    before: int, after: int, bucket: Column, position: str | None,
+) -> DataFrame:
+    cut = df.withColumn(_CHUNK, bucket)
+    if position:
+        placed = join_null_safe(cut, _bucket_sizes(cut, keys).drop("__n"), [*keys, _CHUNK])
+        inside = F.row_number().over(Window.partitionBy(*keys, _CHUNK).orderBy(*order_by))
+        cut = placed.withColumn(position, F.col("__first") + inside - 1).drop("__first")
+    line = cut.withColumn(_OWN, F.lit(True))
+    if before:
+        line = line.unionByName(_halo(cut, keys, order_by, before))
+    if after:
+        line = line.unionByName(_halo(cut, keys, order_by, after, backwards=True))
+    window = Window.partitionBy(*keys, _CHUNK).orderBy(*order_by)
+    return line.withColumns(build(window)).filter(_OWN).drop(_CHUNK, _OWN)
+
+
 def over_series(
     df: DataFrame,
     keys: Sequence[str],
@@ -121,6 +172,7 @@ def over_series(
     single_series: bool = False,
     plain_limit: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    bucket: str | None = None,
     position: str | None = None,
 ) -> DataFrame:
     """Add window columns whose frames reach at most ``before``/``after`` rows away.
@@ -128,11 +180,14 @@ def over_series(
     ``position`` names a column with the row's 0-based place in its series for ``build`` to use.
     """
     require_order(keys, order_by, single_series)
-    if fits_plain_window(df, keys, series_rows, plain_limit):
+    if fits_plain_window(series_rows, plain_limit):
         window = Window.partitionBy(*keys).orderBy(*order_by)
         if position:
             df = df.withColumn(position, F.row_number().over(window).cast("long") - 1)
         return df.withColumns(build(window))
+    cut = calendar_bucket(df, order_by, bucket)
+    if cut is not None:
+        return _over_buckets(df, keys, order_by, build, before, after, cut, position)
 
     chunk_rows = max(chunk_rows, before, after, 1)
     placed = with_position(df, keys, order_by, _POS)
@@ -169,6 +224,7 @@ def carry_last(
     single_series: bool = False,
     plain_limit: int | None = None,
     chunk_rows: int = CHUNK_ROWS,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Latest non-NULL value so far; ``columns`` maps new column name to source column."""
     require_order(keys, order_by, single_series)
@@ -178,12 +234,19 @@ def carry_last(
         frame = window.rowsBetween(Window.unboundedPreceding, end)
         return {out: F.last(src, ignorenulls=True).over(frame) for out, src in columns.items()}
 
-    if fits_plain_window(df, keys, series_rows, plain_limit):
+    if fits_plain_window(series_rows, plain_limit):
         return df.withColumns(latest(Window.partitionBy(*keys).orderBy(*order_by)))
 
-    placed = with_position(df, keys, order_by, _POS).withColumn(
-        _CHUNK, F.floor(F.col(_POS) / chunk_rows)
-    )
+    cut = calendar_bucket(df, order_by, bucket)
+    if cut is not None:
+        # a row's place among those of its bucket is its order itself
+        order = F.struct(F.lit(0).alias("seed"), *order_by)
+        placed = df.withColumns({_CHUNK: cut, _POS: order})
+        before_all = F.struct(F.lit(-1).alias("seed"), *[F.lit(None).cast(df.schema[c].dataType).alias(c) for c in order_by])
+    else:
+        placed = with_position(df, keys, order_by, _POS)
+        placed = placed.withColumn(_CHUNK, F.floor(F.col(_POS) / chunk_rows))
+        before_all = F.lit(-1).cast("long")
     scope = [*keys, _CHUNK]
     ends = placed.groupBy(*scope).agg(
         *[
@@ -196,11 +259,11 @@ def carry_last(
     seeds = ends.select(
         *scope,
         *[F.last(f"__end_{out}", ignorenulls=True).over(earlier).alias(src) for out, src in columns.items()],
-        F.lit(-1).cast("long").alias(_POS),
+        before_all.alias(_POS), F.lit(True).alias("__seed"),
     )
     inside = placed.unionByName(seeds, allowMissingColumns=True)
     return (
         inside.withColumns(latest(Window.partitionBy(*scope).orderBy(_POS)))
-        .filter(F.col(_POS) >= 0)
-        .drop(_POS, _CHUNK)
+        .filter(F.col("__seed").isNull())
+        .drop(_POS, _CHUNK, "__seed")
     )

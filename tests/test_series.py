@@ -156,3 +156,75 @@ def test_group_stats_keep_null_keys(rows):
     }
     total = with_group_stats(rows, [], n=F.count(F.lit(1)), top=F.max("seq")).first()
     assert (total["n"], total["top"]) == (rows.count(), 239)
+
+
+@pytest.fixture(scope="module")
+def days(spark):
+    """As `rows`, by date: crowded days, months without rows, a NULL date and a NULL key."""
+    rng = random.Random(11)
+    data = []
+    for key, size in (("hot", 300), ("a", 120), ("b", 9), ("c", 1), (None, 60)):
+        day = 0
+        for i in range(size):
+            day += rng.choice((0, 0, 0, 1, 2, 9, 40, 100))
+            price = None if rng.random() < 0.4 else round(rng.uniform(0, 50), 2)
+            data.append((key, None if i == 0 and key == "a" else day, i, price, float(rng.randint(0, 9))))
+    rng.shuffle(data)
+    made = spark.createDataFrame(data, "k string, n int, seq int, price double, volume double")
+    return made.select("k", F.date_add(F.lit("2020-01-15").cast("date"), F.col("n")).alias("day"), "seq", "price", "volume").cache()
+
+
+def jobs_of(spark, group, make):
+    """(result of make, number of jobs that ran meanwhile)."""
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        return make(), len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+@pytest.mark.parametrize("bucket", ["day", "month", "year"])
+@pytest.mark.parametrize("name", sorted(FEATURES))
+def test_calendar_buckets_equal_plain(spark, days, name, bucket):
+    options = {"keys": ["k"], "order_by": ["day", "seq"]}
+    plain = FEATURES[name](days, series_rows=1, **options)
+    split, jobs = jobs_of(spark, f"{name}-{bucket}", lambda: FEATURES[name](days, bucket=bucket, **options))
+    assert jobs == 0  # the plan is made without looking at the rows
+    assert sorted(plain.columns) == sorted(split.columns)
+    key = lambda r: (str(r["k"]), r["seq"])
+    left = sorted(plain.select(*sorted(plain.columns)).collect(), key=key)
+    right = sorted(split.select(*sorted(plain.columns)).collect(), key=key)
+    assert len(left) == len(right)
+    for a, b in zip(left, right):
+        for x, y in zip(a, b):
+            assert x == y or (isinstance(x, float) and y == pytest.approx(x, abs=1e-7)), (a, b)
+
+
+def test_calendar_frames_ahead(days):
+    options = {"keys": ["k"], "order_by": ["day", "seq"], "before": 4, "after": 7}
+    build = lambda w: {"b": F.lag("seq", 4).over(w), "a": F.lead("seq", 7).over(w), "s": F.sum("seq").over(w.rowsBetween(-4, 7))}
+    plain, split = over_series(days, build=build, series_rows=1, **options), over_series(days, build=build, bucket="day", **options)
+    assert sorted(map(str, plain.collect())) == sorted(map(str, split.collect()))
+    with pytest.raises(ValueError):
+        over_series(days, ["k"], ["seq"], build, before=1, bucket="day")
+
+
+def test_order_statistics_of_any_double(spark):
+    rng = random.Random(5)
+    import struct
+
+    values = [0.0, -0.0, 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, float("inf"), float("-inf"), 1.0, 0.9999999999999999, 1.0000000000000002, 2.0**53, 8.0, 7.999999999999999]
+    while len(values) < 400:
+        (v,) = struct.unpack("d", struct.pack("Q", rng.getrandbits(64)))
+        if v == v:
+            values.append(v)
+    df = spark.createDataFrame([("k", v) for v in values] + [("nan", float("nan")), ("nan", 1.0)], "k string, v double")
+    bits = df.filter("k = 'k'").select("v", cleaning.sortable_bits(F.col("v")).alias("b")).collect()
+    assert [r["v"] for r in sorted(bits, key=lambda r: r["b"])] == sorted(values)
+    assert len({r["b"] for r in bits}) == len(set(values))
+    ranks = {f"r{i}": F.lit(i) for i in (0, 1, 17, 200, 399)}
+    ordered = sorted(values)
+    out, jobs = jobs_of(spark, "ranks", lambda: cleaning.order_statistics(df, column="v", keys=["k"], ranks=ranks))
+    got = {r["k"]: r for r in out.collect()}
+    assert jobs == 0 and all(got["k"][f"r{i}"] == ordered[i] for i in (0, 1, 17, 200, 399))
+    assert got["nan"]["r0"] == 1.0 and got["nan"]["r1"] != got["nan"]["r1"] and got["nan"]["r17"] is None
