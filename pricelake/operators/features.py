@@ -86,8 +86,9 @@ def macd_feature(
 
     A weight keep^age is written as keep^(-place), with the common factor cancelled between weighted sum and
     weight sum.  Places restart every 1024 rows to stay in range: a row's means are running sums inside its
-    cycle plus the whole previous cycle, faded once.  What lies further back has a relative weight below 1e-34,
-    under the resolution of a double; only a gap of a whole cycle without prices makes the means start anew.
+    cycle plus what the last cycle with prices left, faded by the cycles since, and that one plus the cycle with
+    prices before it.  What lies further back has a relative weight below 1e-34, under the resolution of a double.
+    In a gap without prices both sums fade alike, so the means stay as they are, however long it is.
     """
     value = F.col(price).cast("double")
     keeps = {"fast": 1 - 2 / (fast + 1), "slow": 1 - 2 / (slow + 1)}
@@ -102,14 +103,30 @@ def macd_feature(
     scope = [*keys, "__cycle"]
     so_far = Window.partitionBy(*scope).orderBy("__place").rowsBetween(Window.unboundedPreceding, 0)
     running = weighed.withColumns({f"{p}_sum": F.sum(p).over(so_far) for p in parts})
-    whole = weighed.groupBy(*scope).agg(*[F.sum(p).alias(f"{p}_before") for p in parts])
-    joined = join_null_safe(running, whole.withColumn("__cycle", F.col("__cycle") + 1), scope)
+    whole = weighed.groupBy(*scope).agg(*[F.sum(p).alias(p) for p in parts])
+    earlier = Window.partitionBy(*keys).orderBy("__cycle").rowsBetween(Window.unboundedPreceding, -1)
+
+    def left(columns: dict[str, Column]) -> Column:
+        """The latest earlier cycle with prices and these columns of it."""
+        own = F.struct(F.col("__cycle").alias("cycle"), *[value.alias(name) for name, value in columns.items()])
+        return F.last(F.when(F.col("__fast_w").isNotNull(), own), ignorenulls=True).over(earlier)
+
+    def faded(part: str, since: Column) -> Column:
+        keep = keeps["fast" if part.startswith("__fast") else "slow"] ** EMA_CYCLE
+        return F.pow(F.lit(keep), F.col("__cycle") - since["cycle"]) * since[part]
+
+    former = F.col("__left")
+    summed = whole.withColumn("__left", left({p: F.col(p) for p in parts})).withColumns(
+        {p: F.col(p) + F.coalesce(faded(p, former), F.lit(0.0)) for p in parts}
+    )
+    carried = summed.withColumn("__left", left({p: F.col(p) for p in parts})).select(*scope, "__left")
+    joined = join_null_safe(running, carried, scope)
 
     def mean(name: str) -> Column:
         def total(part: str) -> Column:
             column = f"__{name}_{part}"
-            none = F.lit(0.0)
-            return F.coalesce(f"{column}_sum", none) + F.coalesce(f"{column}_before", none) * keeps[name] ** EMA_CYCLE
+            own, rest = F.col(f"{column}_sum"), faded(column, former)
+            return F.when(own.isNull(), former[column]).otherwise(own + F.coalesce(rest, F.lit(0.0)))
 
         return F.try_divide(total("v"), total("w"))
 

@@ -228,3 +228,20 @@ def test_order_statistics_of_any_double(spark):
     got = {r["k"]: r for r in out.collect()}
     assert jobs == 0 and all(got["k"][f"r{i}"] == ordered[i] for i in (0, 1, 17, 200, 399))
     assert got["nan"]["r0"] == 1.0 and got["nan"]["r1"] != got["nan"]["r1"] and got["nan"]["r17"] is None
+
+
+def test_macd_over_gaps_of_several_cycles(spark):
+    """Prices in rows 0-99, at the end of one cycle and the start of the next, then a gap of more than two cycles."""
+    priced = [*range(100), *range(2040, 2050), 5000, 5001]
+    prices = [10 + (i * 37 % 23) / 7 if i in set(priced) else None for i in range(5200)]
+    df = spark.createDataFrame([("x", i, p) for i, p in enumerate(prices)], "k string, seq int, price double")
+    out = features.macd_feature(df, keys=["k"], order_by=["seq"], price="price", series_rows=5200)
+    got = {r["seq"]: r["momentum_macd"] for r in out.collect()}
+
+    def ema(i, span):
+        keep = 1 - 2 / (span + 1)
+        seen = [a for a in priced if a <= i]
+        return sum(prices[a] * keep ** (seen[-1] - a) for a in seen) / sum(keep ** (seen[-1] - a) for a in seen)
+
+    for i in (0, 99, 100, 1500, 2039, 2040, 2047, 2048, 2049, 2050, 3000, 3500, 4800, 4999, 5000, 5001, 5100, 5199):
+        assert got[i] == pytest.approx(ema(i, 12) - ema(i, 26), abs=1e-9), i
