@@ -313,7 +313,10 @@ def online(blocks: Iterator[tuple[np.ndarray, list[np.ndarray]]], code: Code, wi
     slopes, seen, refined = np.full(weights.shape, 1e-3), np.zeros(1024), np.zeros((2, 256 * BUCKETS))
     for data, own in blocks:
         node, bit, slots, _ = decisions(data, own, code, bits)
-        x, gate = inputs([slot * 2 + bit for slot in slots], without, node)
+        for slot in slots:
+            slot *= 2
+            slot += bit
+        x, gate = inputs(slots, without, node)
         odds = mixed(x, gate, weights)
         error, at = bit.astype(np.float32) - squashed(odds), cell(node, odds)
         both = np.bincount(at * 2 + bit, minlength=2 * refined.shape[1]).reshape(-1, 2)
