@@ -9,7 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from pricelake.operators.series import join_null_safe, largest_series
+from pricelake.operators.series import join_null_safe
 
 # ---------------------------------------------------------------- operation log
 
@@ -124,7 +124,8 @@ def load_report(log: DataFrame, *, limit: int = 100) -> DataFrame:
 
 # ---------------------------------------------------------------- alert suppression
 
-DIRECT_POINTS = 2_000_000
+#: Lengths of the time blocks in windows, small blocks first.
+BLOCKS = (64, 4_096)
 
 
 def _jump(starts: np.ndarray, lasts: np.ndarray, window: int) -> np.ndarray:
@@ -176,12 +177,14 @@ def kept_times(
     """Times ``(title, start)`` in microseconds that survive suppression.
 
     An alert is kept when the last kept alert of its title is at least the window
-    away, so each decision depends on the one before.  A title with moderately many
-    distinct times is walked directly.  Otherwise time is cut into blocks: a chain can
+    away, so each decision depends on the one before.  Time is cut into blocks: a chain can
     enter a block only within its first window, so a block is summed up by those entry
-    points and where their chains end; blocks are summed up again into larger blocks,
-    and the one true entry of each block is handed down again.  No task sees more
-    than a few dozen windows of one title.
+    points and where their chains end (pointers to the next kept one, doubled until they
+    stay); blocks are summed up again into larger blocks, and the one true entry of each
+    block is handed down again.  A group holds the times of 64 windows of one title, or the
+    entry points of 64 blocks; the last one, a title's, those of one window per 4,096. The
+    levels are fixed, so building the plan starts no job. ``direct_points`` chose another
+    route once; it is accepted and changes nothing.
     """
     micros = window_seconds * 1_000_000
     stamp = F.unix_micros(F.col(timestamp).cast("timestamp"))
@@ -189,8 +192,7 @@ def kept_times(
         F.col("start").isNotNull()
     ).distinct()
     points = points.withColumn("last", F.col("start"))
-    limit = DIRECT_POINTS if direct_points is None else direct_points
-    sizes = [] if largest_series(points, ["title"]) <= limit else [4 * micros, 64 * micros, 2048 * micros]
+    sizes = [n * micros for n in BLOCKS]
     pieces = "title string, start long, last long"
     levels = [points]
     for size in sizes:

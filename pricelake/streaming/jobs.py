@@ -207,13 +207,13 @@ class _Suppressor(StatefulProcessor):
 
 
 def suppress_stream(
-    alerts: DataFrame, *, title: str, timestamp: str, window_seconds: int = 3600, delay: str = "1 hour",
+    alerts: DataFrame, *, title: str, timestamp: str, window_seconds: int = 3600, delay: str = "0 seconds",
 ) -> DataFrame:
     """Instants ``(title, timestamp)`` at which an alert is let through; needs the RocksDB state store.
 
     An alert is decided when the watermark (``delay`` behind the newest alert) has passed it, so alerts may come
     out of order by up to the delay, also over micro-batches, and the answer is that of the batch form. Alerts
-    later than that are dropped by the watermark. A title holds its last kept alert and those of the last delay.
+    later than that are dropped by the watermark; without a stated delay alerts have to come in order. A title holds its last kept alert and those of the last delay.
     """
     seen = alerts.withWatermark(timestamp, delay)
     points = seen.select(F.col(title).alias("title"), F.unix_micros(timestamp).alias("us"), timestamp)

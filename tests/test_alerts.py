@@ -41,6 +41,17 @@ def test_matches_walk(spark, seed, direct):
     assert sorted(r["id"] for r in sent.collect()) == walk(alerts, 97)
 
 
+def test_chains_over_many_large_blocks_start_no_job_while_planning(spark):
+    alerts = make(5, {"long": 6000, "sparse": 40, None: 900}, 20 * oplog.BLOCKS[1])
+    dense = [(START + timedelta(milliseconds=n * 7), 100_000 + n, "dense") for n in range(9000)]  # many times in one window
+    df = spark.createDataFrame(alerts + dense, "ts timestamp, id int, title string")
+    tracker = spark.sparkContext.statusTracker()
+    before = set(tracker.getJobIdsForGroup(None))
+    sent = oplog.suppress_alerts(df, tie_break=["id"], timestamp="ts", window_seconds=7)
+    assert set(tracker.getJobIdsForGroup(None)) == before
+    assert sorted(r["id"] for r in sent.collect()) == walk(alerts + dense, 7)
+
+
 def test_exact_window_edge_is_kept(spark):
     alerts = [(START + timedelta(seconds=s), i, "t") for i, s in enumerate((0, 3599, 3600, 3600, 7199, 7200))]
     df = spark.createDataFrame(alerts, "ts timestamp, id int, title string")
