@@ -84,17 +84,52 @@ def correlation(facts: DataFrame, *, price: str = "close_price") -> DataFrame:
 
 
 def correlation_by_rows(facts: DataFrame, *, price: str = "close_price") -> DataFrame:
-    """The same view written as the plain fact self-join; fine when cells hold one row each."""
-    a, b = facts.alias("a"), facts.alias("b")
+    """The same view as the fact self-join gives it: every row of one commodity meets every row of the other in its cell.
+
+    A cell (day, market, commodity) enters by its row count, mean and squared deviations, from which the sums over
+    all row pairs of two cells follow, so no row pair is built. A constant price has no correlation: NULL.
+    """
+    cells = facts.groupBy("date", "market", "commodity").agg(
+        F.count(F.lit(1)).alias("rows"),
+        F.count(price).alias("n"),
+        F.avg(price).alias("mean"),
+        F.var_pop(price).alias("var"),
+        F.min(price).alias("lo"),
+        F.max(price).alias("hi"),
+    )
+    cells = with_group_stats(cells, ["commodity"], centre=F.try_divide(F.sum(F.col("mean") * F.col("n")), F.sum("n")))
+    s = F.coalesce((F.col("mean") - F.col("centre")) * F.col("n"), F.lit(0.0))
+    q = F.coalesce(F.col("var") * F.col("n"), F.lit(0.0)) + F.coalesce(F.col("n") * F.pow(F.col("mean") - F.col("centre"), 2), F.lit(0.0))
+    cells = cells.select("date", "market", "commodity", "rows", "n", s.alias("s"), q.alias("q"), "lo", "hi")
+    a, b = cells.alias("a"), cells.alias("b")
     same_cell = (F.col("a.date") == F.col("b.date")) & (F.col("a.market") == F.col("b.market"))
-    return (
+    na, nb = F.col("a.n"), F.col("b.n")
+    both = (na > 0) & (nb > 0)
+    sums = (
         a.join(b, same_cell & (F.col("a.commodity") < F.col("b.commodity")))
         .groupBy(F.col("a.commodity").alias("commodity_1"), F.col("b.commodity").alias("commodity_2"))
         .agg(
-            F.corr(f"a.{price}", f"b.{price}").alias("price_correlation"),
-            F.count(F.lit(1)).alias("overlap_days"),
+            F.sum(F.col("a.rows") * F.col("b.rows")).alias("overlap_days"),
+            F.sum(na * nb).alias("n"),
+            F.sum(F.col("a.s") * nb).alias("sx"),
+            F.sum(F.col("b.s") * na).alias("sy"),
+            F.sum(F.col("a.q") * nb).alias("sxx"),
+            F.sum(F.col("b.q") * na).alias("syy"),
+            F.sum(F.col("a.s") * F.col("b.s")).alias("sxy"),
+            *[
+                fn(F.when(both, F.col(f"{side}.{end}"))).alias(f"{side}_{end}")
+                for side in "ab" for end, fn in (("lo", F.min), ("hi", F.max))
+            ],
         )
     )
+    n, sx, sy = F.nullif(F.col("n"), F.lit(0)), F.col("sx"), F.col("sy")
+    spread = F.sqrt(F.col("sxx") - sx * sx / n) * F.sqrt(F.col("syy") - sy * sy / n)
+    varies = (F.col("a_lo") < F.col("a_hi")) & (F.col("b_lo") < F.col("b_hi"))
+    return sums.select(
+        "commodity_1", "commodity_2",
+        F.when(varies, F.try_divide(F.col("sxy") - sx * sy / n, spread)).alias("price_correlation"),
+        "overlap_days",
+    )
 
 
 def year_over_year(facts: DataFrame, *, date: str = "date", price: str = "close_price") -> DataFrame:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from datetime import date
+from statistics import mean, pvariance
 
 import pytest
 from pyspark.sql import functions as F
@@ -207,6 +208,21 @@ def test_correlation_with_missing_and_repeated_prices(spark):
     assert fast["price_correlation"] == pytest.approx(slow["price_correlation"])
 
 
+def test_correlation_by_rows_of_large_and_constant_cells(spark):
+    """Cells of 100,000 rows would make 10^10 row pairs; a constant price has no correlation."""
+    rows = spark.range(200_000).selectExpr("cast(id % 2 as int) as date", "'m' as market", "id % 977 + id % 2 * 500 as p")
+    both = rows.selectExpr("date", "market", "'a' as commodity", "cast(p as double) as close_price").unionByName(
+        rows.selectExpr("date", "market", "'b' as commodity", "cast(3 * p + 1e6 as double) as close_price")
+    ).unionByName(rows.selectExpr("date", "market", "'c' as commodity", "0.1D as close_price"))
+    out = {(r["commodity_1"], r["commodity_2"]): r for r in views.correlation_by_rows(both).collect()}
+    assert {r["overlap_days"] for r in out.values()} == {2 * 100_000**2}
+    values = [i % 977 + i % 2 * 500 for i in range(200_000)]
+    # every row meets every row of the day: only the two days' means vary together
+    between = (mean(values[1::2]) - mean(values[::2])) ** 2 / 4
+    assert out["a", "b"]["price_correlation"] == pytest.approx(between / pvariance(values), abs=1e-12)
+    assert out["a", "c"]["price_correlation"] is None and out["b", "c"]["price_correlation"] is None
+
+
 def test_view_order(spark):
     df = spark.createDataFrame([("b", 2024, 1), ("a", 2023, 1), ("a", 2024, 1), ("a", 2024, 2)], "commodity string, year int, month int")
     rows = views.in_view_order("volatility", df).collect()
