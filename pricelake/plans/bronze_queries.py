@@ -387,7 +387,11 @@ def offer_pages(spark, sf_dir):
         F.when(F.col("o_orderkey") % 10 == 3, F.lit(None))
         .when(F.col("o_orderkey") % 10 == 6, "<html><p>nothing</p></html>").otherwise(page)
     )
-    return table(spark, sf_dir, "orders").select(
+    # the columns are spread, not the pages made of them
+    orders = spread(table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"
+    ))
+    return orders.select(
         F.col("o_orderkey").cast("int").alias("page"), html.alias("html"),
         F.date_format("o_orderdate", "yyyy-MM-dd").alias("extracted_at"),
     )
@@ -413,7 +417,7 @@ union all select source_url, page, null, null, null, null, null, null, null, nul
 
 @register("n8_offer_rows", OFFERS_SQL.replace("{details}", "''"))
 def n8_offer_rows(spark, sf_dir):
-    return web_tables.offer_rows(spread(offer_pages(spark, sf_dir)))
+    return web_tables.offer_rows(offer_pages(spark, sf_dir))
 
 
 @register(
@@ -427,7 +431,7 @@ def n10_offer_details(spark, sf_dir):
             "<p>no</p><div class='addInfoTextView'><p>First</p><p> </p><div><p>Second <i>line</i></p></div></div><p>no</p>"
         ).alias("html"),
     )
-    return web_tables.offer_rows(spread(offer_pages(spark, sf_dir)), web_tables.detail_texts(pages))
+    return web_tables.offer_rows(offer_pages(spark, sf_dir), web_tables.detail_texts(pages))
 
 
 @register(
@@ -476,7 +480,8 @@ def company_pages(spark, sf_dir):
         F.lit("<tr><td>bare</td><td></td><td>abc</td></tr><tr><td>one</td></tr>"),
     )
     page = F.concat(F.lit("<table>"), matrix, F.lit("</table><table><tr><th>Other</th><th>a</th></tr><tr><td>b</td><td>1</td></tr></table>"))
-    return table(spark, sf_dir, "customer").select(
+    customers = spread(table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal", "c_name"))
+    return customers.select(
         slug.alias("company_slug"), F.col("c_name").alias("company_name"), page.alias("html"),
         F.col("c_custkey").cast("string").alias("extracted_at"),
     )
@@ -498,7 +503,7 @@ union all select company_slug, c_name, 'Порт', '', '', 'Соя', 'Soybeans',
 
 @register("n11_price_matrix", MATRIX_SQL)
 def n11_price_matrix(spark, sf_dir):
-    return web_tables.elevator_rows(spread(company_pages(spark, sf_dir)))
+    return web_tables.elevator_rows(company_pages(spark, sf_dir))
 
 
 @register(
@@ -519,7 +524,7 @@ def n12_crop_names(spark, sf_dir):
 )
 def n13_expected_companies(spark, sf_dir):
     rows = web_tables.with_expected(
-        web_tables.elevator_rows(spread(company_pages(spark, sf_dir))), web_tables.expected_companies(spark),
+        web_tables.elevator_rows(company_pages(spark, sf_dir)), web_tables.expected_companies(spark),
         keys=["company_slug"], note=ref.NOTE_COMPANY_EMPTY,
     )
     return rows.groupBy("company_slug", "note").agg(F.count(F.lit(1)).alias("row_count"))

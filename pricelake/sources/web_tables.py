@@ -7,9 +7,10 @@ reading prices and adding placeholders are column expressions on the result.
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Sequence
 from html import unescape
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,137 +19,188 @@ from pricelake import reference_values as ref
 from pricelake.functions.scalars import price_text, safe_number, strip
 
 _TEXT = T.StringType()
-_CELL = T.StructType([T.StructField(n, _TEXT) for n in ("tag", "text", "raw", "href", "bold", "para")])
-_TABLE = T.StructType(
-    [
-        T.StructField("classes", T.ArrayType(_TEXT)),
-        T.StructField("cells", T.ArrayType(T.ArrayType(_CELL))),
-    ]
-)
+CELL_FIELDS = ("tag", "text", "raw", "href", "bold", "para")
 
 
-# comment | script or style with its content | tag (close, name, attributes) | text
+# comment | script or style with its content | tag (close, name, attributes) and the text behind it | text | a lone <
 _TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<skip>script|style)\b.*?</(?P=skip)\s*>"
-    r"|<(?P<close>/?)(?P<tag>[a-zA-Z][\w:-]*)(?P<attrs>(?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|(?P<text>[^<]+|<)",
+    r"<!--.*?(?:-->|\Z)|<(script|style)\b.*?</\1\s*>"
+    r"|<(/?)([a-zA-Z][\w:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>([^<]*+)|([^<]++)|(<)",
     re.DOTALL | re.IGNORECASE,
 )
+#: Longer pages are read token by token, shorter ones in one call.
+LONG_PAGE = 1_000_000
+
+
+def _tokens(html: str) -> Iterable[tuple[str, str, str, str]]:
+    """(close, tag, attributes, text behind the tag or without one); comments, scripts and styles are empty."""
+    found = _TOKEN.findall(html) if len(html) < LONG_PAGE else (m.groups("") for m in _TOKEN.finditer(html))
+    return ((close, tag.lower(), attrs, after or text or lone) for _, close, tag, attrs, after, text, lone in found)
+
+
 _ATTRIBUTE = re.compile(r"""([\w:-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 
 
 def _attribute(attrs: str, wanted: str) -> str:
+    if "=" not in attrs:
+        return ""
     for name, *values in _ATTRIBUTE.findall(attrs):
         if name.lower() == wanted:
             return unescape("".join(values))
     return ""
 
 
-def _cell(tag: str) -> dict:
-    return {"tag": tag, "parts": [], "anchor": False, "href": None, "inside": None, "bold": None, "para": None}
-
+class _Cell:
+    """One td or th: its text parts and its first link, bold and paragraph."""
 
-def _finished(cell: dict) -> dict:
-    def joined(parts):
-        return None if parts is None else "".join(parts).strip()
+    __slots__ = ("tag", "parts", "anchor", "href", "inside", "bold", "para")
 
-    return {
-        "tag": cell["tag"],
-        "text": " ".join(p.strip() for p in cell["parts"] if p.strip()),
-        "raw": joined(cell["parts"]),
-        "href": cell["href"],
-        "bold": joined(cell["bold"]),
-        "para": joined(cell["para"]),
-    }
+    def __init__(self, tag: str) -> None:
+        self.tag, self.parts, self.anchor = tag, [], False
+        self.href = self.inside = self.bold = self.para = None
 
 
-def _page_tables(html: str | None) -> list[dict]:
-    """Tables of a page as rows of cells; text belongs to every open cell around it."""
+def _page_tables(html: str | None) -> list[tuple[list[str], list[list[_Cell]]]]:
+    """(classes, rows of cells) of the tables of a page; text belongs to every open cell around it."""
     if not html or "<table" not in html.lower():
         return []
-    tables: list[dict] = []
-    open_tables: list[list] = []  # [table, current cell]
-    for token in _TOKEN.finditer(html):
-        text, tag = token["text"], token["tag"]
-        if text is not None:
-            if open_tables:
-                text = unescape(text) if "&" in text else text
-                for _, cell in open_tables:
-                    if cell is not None:
-                        cell["parts"].append(text)
-                        if cell["inside"]:
-                            cell[cell["inside"]].append(text)
-            continue
-        if tag is None:
+    tables: list[tuple[list[str], list[list[_Cell]]]] = []
+    open_tables: list[list] = []  # [rows, current cell]
+    state = None  # the innermost open table
+    for close, tag, attrs, text in _tokens(html):
+        if tag == "table" and not close:
+            rows: list[list[_Cell]] = []
+            tables.append((_attribute(attrs, "class").split(), rows))
+            state = [rows, None]
+            open_tables.append(state)
+        elif state is None:
             continue
-        tag = tag.lower()
-        if tag == "table" and not token["close"]:
-            table = {"classes": _attribute(token["attrs"], "class").split(), "cells": []}
-            tables.append(table)
-            open_tables.append([table, None])
-        elif open_tables:
-            state = open_tables[-1]
-            if tag == "table":
-                open_tables.pop()
-            elif tag == "tr":
+        elif tag == "td" or tag == "th":
+            if close:
                 state[1] = None
-                if not token["close"]:
-                    state[0]["cells"].append([])
-            elif tag in ("td", "th"):
-                state[1] = None
-                if not token["close"]:
-                    if not state[0]["cells"]:
-                        state[0]["cells"].append([])
-                    state[1] = _cell(tag)
-                    state[0]["cells"][-1].append(state[1])
-            elif state[1] is not None:
-                _inline_tag(state[1], tag, token)
-    return [
-        {"classes": t["classes"], "cells": [[_finished(c) for c in row] for row in t["cells"]]} for t in tables
-    ]
-
-
-def _inline_tag(cell: dict, tag: str, token: re.Match) -> None:
+            else:
+                if not state[0]:
+                    state[0].append([])
+                state[1] = cell = _Cell(tag)
+                state[0][-1].append(cell)
+        elif tag == "tr":
+            state[1] = None
+            if not close:
+                state[0].append([])
+        elif tag == "table":
+            open_tables.pop()
+            state = open_tables[-1] if open_tables else None
+        elif tag and state[1] is not None:
+            _inline_tag(state[1], tag, close, attrs)
+        if text and open_tables:
+            if "&" in text:
+                text = unescape(text)
+            for _, cell in open_tables:
+                if cell is not None:
+                    cell.parts.append(text)
+                    if cell.inside is not None:
+                        cell.inside.append(text)
+    return tables
+
+
+def _inline_tag(cell: _Cell, tag: str, close: str, attrs: str) -> None:
     """First link, first bold and first paragraph of a cell."""
-    if tag == "a" and not token["close"] and not cell["anchor"]:
-        cell["anchor"], cell["href"] = True, _attribute(token["attrs"], "href") or None
-    field = {"b": "bold", "p": "para"}.get(tag)
-    if field and token["close"]:
-        cell["inside"] = None
-    elif field and cell[field] is None:
-        cell[field], cell["inside"] = [], field
+    if tag == "a" and not close and not cell.anchor:
+        cell.anchor, cell.href = True, _attribute(attrs, "href") or None
+    if tag == "b" or tag == "p":
+        if close:
+            cell.inside = None
+        elif tag == "b" and cell.bold is None:
+            cell.inside = cell.bold = []
+        elif tag == "p" and cell.para is None:
+            cell.inside = cell.para = []
+
+
+def _joined(parts: list[str] | None) -> str | None:
+    return None if parts is None else "".join(parts).strip()
+
+
+def _text(parts: list[str]) -> str | None:
+    return _joined(parts) if len(parts) < 2 else " ".join([t for p in parts if (t := p.strip())])
+
+
+_READ = {
+    "tag": lambda cell: cell.tag, "text": lambda cell: _text(cell.parts), "raw": lambda cell: _joined(cell.parts),
+    "href": lambda cell: cell.href, "bold": lambda cell: _joined(cell.bold), "para": lambda cell: _joined(cell.para),
+}
+
+
+def _tables_array(pages: list[str | None], fields: Sequence[str] = CELL_FIELDS) -> pa.Array:
+    """Tables of some pages as an Arrow array with the named fields of each cell, built column by column."""
+    pages_at, tables_at, rows_at, classes_at = [0], [0], [0], [0]
+    classes: list[str] = []
+    cells: list[_Cell] = []
+    for html in pages:
+        for names, rows in _page_tables(html):
+            classes += names
+            classes_at.append(len(classes))
+            for row in rows:
+                cells += row
+                rows_at.append(len(cells))
+            tables_at.append(len(rows_at) - 1)
+        pages_at.append(len(tables_at) - 1)
+
+    def lists(starts: list[int], values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(starts, pa.int32()), values)
+
+    columns = [pa.array(map(_READ[f], cells), pa.string(), size=len(cells)) for f in fields]
+    rows = lists(tables_at, lists(rows_at, pa.StructArray.from_arrays(columns, names=list(fields))))
+    tables = pa.StructArray.from_arrays([lists(classes_at, pa.array(classes, pa.string())), rows], names=["classes", "cells"])
+    return lists(pages_at, tables)
+
+
+#: Pages whose tables are held as Python objects at one time.
+PAGES_AT_ONCE = 250
+
+
+def _tables_udf(*fields: str):
+    cell = T.StructType([T.StructField(n, _TEXT) for n in fields])
+    table = T.StructType(
+        [T.StructField("classes", T.ArrayType(_TEXT)), T.StructField("cells", T.ArrayType(T.ArrayType(cell)))]
+    )
+
+    @F.arrow_udf(T.ArrayType(table))
+    def tables_of(html: pa.Array) -> pa.Array:
+        """Every table of a page, in page order."""
+        starts = range(0, max(len(html), 1), PAGES_AT_ONCE)
+        return pa.concat_arrays([_tables_array(html.slice(at, PAGES_AT_ONCE).to_pylist(), fields) for at in starts])
+
+    return tables_of
 
 
-@F.pandas_udf(T.ArrayType(_TABLE))
-def tables_of(html: pd.Series) -> pd.Series:
-    """Every table of a page, in page order."""
-    return html.map(_page_tables)
+tables_of = _tables_udf(*CELL_FIELDS)
+offer_tables = _tables_udf("tag", "text", "href")
+matrix_tables = _tables_udf("tag", "raw", "bold", "para")
 
 
 def _paragraphs(html: str | None, wanted: str = "addInfoTextView") -> list[str]:
     """Paragraph texts inside the first ``div`` of one class."""
     depth, inside, found = 0, False, []
-    for token in _TOKEN.finditer(html or ""):
-        text, tag = token["text"], (token["tag"] or "").lower()
-        if text is not None:
-            if depth and inside and text.strip():
-                found[-1].append(unescape(text).strip())
-        elif tag == "div":
-            if token["close"] and depth:
+    for close, tag, attrs, text in _tokens(html or ""):
+        if tag == "div":
+            if close and depth:
                 depth -= 1
                 if depth == 0:
                     break
-            elif not token["close"] and (depth or wanted in _attribute(token["attrs"], "class").split()):
+            elif not close and (depth or wanted in _attribute(attrs, "class").split()):
                 depth += 1
         elif tag == "p" and depth:
-            inside = not token["close"]
+            inside = not close
             if inside:
                 found.append([])
+        if text and depth and inside and text.strip():
+            found[-1].append(unescape(text).strip())
     return [" ".join(parts) for parts in found]
 
 
-@F.pandas_udf(T.ArrayType(_TEXT))
-def detail_paragraphs(html: pd.Series) -> pd.Series:
-    return html.map(_paragraphs)
+@F.arrow_udf(T.ArrayType(_TEXT))
+def detail_paragraphs(html: pa.Array) -> pa.Array:
+    return pa.array((_paragraphs(page.as_py()) for page in html), pa.list_(pa.string()))
 
 
 def table_cells(pages: DataFrame, *, key: str, html: str = "html") -> DataFrame:
@@ -172,8 +224,8 @@ def offer_rows(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     The first ``items`` table holds one offer per row after the header, in eight or nine
     cells.  A page without content or without offers yields one placeholder row.
     """
-    first = F.get(F.filter(tables_of("html"), lambda t: F.array_contains(t["classes"], "items")), F.lit(0))
-    body = F.slice(first["cells"], 2, F.greatest(F.size(first["cells"]), F.lit(1)))
+    first = F.get(F.filter(offer_tables("html"), lambda t: F.array_contains(t["classes"], "items")), F.lit(0))
+    body = F.slice("__first", 2, F.greatest(F.size("__first"), F.lit(1)))
     tds = F.transform(body, lambda row: F.filter(row, lambda c: c["tag"] == "td"))
     offers = F.filter(tds, lambda row: F.size(row) >= 8)
     found = F.coalesce(F.size("__offers") > 0, F.lit(False))
@@ -182,7 +234,8 @@ def offer_rows(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
         F.when(empty, ref.NOTE_PAGE_UNAVAILABLE).when(found, ref.NOTE_OK).otherwise(ref.NOTE_PAGE_EMPTY)
     )
     rows = (
-        pages.withColumn("__offers", offers)
+        pages.withColumn("__first", first["cells"])
+        .withColumn("__offers", offers)
         .withColumn("note", note)
         .withColumn("__cells", F.explode_outer(F.when(found, F.col("__offers"))))
     )
@@ -204,8 +257,10 @@ def offer_rows(pages: DataFrame, details: DataFrame | None = None) -> DataFrame:
     if details is None:
         joined = shaped.withColumn("details", F.lit(None).cast("string"))
     else:
-        known = details.select(F.col("detail_url").alias("__url"), "details")
-        joined = shaped.join(known, F.col("detail_url") == F.col("__url"), "left").drop("__url")
+        known = details.select(F.concat(F.lit("u"), "detail_url").alias("__url"), "details")
+        # offers without a link have a key of their own page, so that they do not meet in one task
+        own = F.coalesce(F.concat(F.lit("u"), "detail_url"), F.concat(F.lit("n"), "source_url"), F.lit("n"))
+        joined = shaped.withColumn("__own", own).join(known, F.col("__own") == F.col("__url"), "left").drop("__own", "__url")
     text_or_empty = F.when(F.col("note") == ref.NOTE_OK, F.coalesce("details", F.lit("")))
     return joined.withColumn("details", text_or_empty)
 
@@ -223,7 +278,7 @@ def elevator_rows(pages: DataFrame, *, header_offset: int = 1) -> DataFrame:
     paired with header cell i + ``header_offset``; 1 is what the source pages need.
     """
     tables = pages.select(
-        "company_slug", "company_name", "extracted_at", F.explode(tables_of("html")).alias("t")
+        "company_slug", "company_name", "extracted_at", F.explode(matrix_tables("html")).alias("t")
     )
     header = F.col("t")["cells"][0]
     title = F.get(F.filter(header, lambda c: c["tag"] == "th"), F.lit(0))["raw"]

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 import json
+import tracemalloc
 from datetime import date, datetime, timezone
 
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -225,3 +227,33 @@ def test_backfill_ranges(spark, tmp_path):
     picked = landing.backfill_range(landing.scan_silver(spark, path), "2024-01-03", date(2024, 1, 6), sources=["a"])
     assert sorted(r["date_key"] for r in picked.collect()) == [20240103, 20240105]
     assert "PartitionFilters: [isnotnull(date_key" in picked._jdf.queryExecution().toString()
+
+
+def test_tables_of_a_batch_are_not_held_as_objects_at_one_time():
+    cells = "".join(f"<td>{i} <b>x</b></td>" for i in range(20))
+    pages = pa.array([f"<table class='items'>{''.join(f'<tr>{cells}</tr>' for _ in range(3))}</table>"] * 4_000)
+    tracemalloc.start()
+    out = web_tables.tables_of.func(pages)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(out) == 4_000 and len(out[3_999][0]["cells"]) == 3
+    assert peak < 40e6  # 240,000 cells as objects take more than 100 MB
+
+
+def test_offers_without_a_link_are_spread_over_the_tasks_of_the_join(spark):
+    row = "<tr>" + "".join(f"<td>{c}</td>" for c in "abcdefgh") + "</tr>"
+    html = f"<table class='items'><tr><th>h</th></tr>{row}{row}</table>"
+    pages = spark.range(400).select(F.col("id").cast("int").alias("page"), F.lit(html).alias("html"), F.lit("d").alias("extracted_at"))
+    known = spark.createDataFrame([("/o/1", "one"), (None, "none")], "detail_url string, details string")
+    options = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in options}
+    try:
+        for k, v in options.items():
+            spark.conf.set(k, v)
+        joined = web_tables.offer_rows(pages, known)
+        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 800 and len(sizes) > 1 and max(sizes) < 500
+    assert {r["details"] for r in joined.collect()} == {""}
