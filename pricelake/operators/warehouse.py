@@ -16,7 +16,7 @@ from pricelake.operators.enrich import add_date_dimensions, add_trading_flags
 from pricelake.operators.quality import check_missing_values, check_row_count, referential_orphans, union_checks
 from pricelake.operators.series import join_null_safe
 from pricelake.schemas import TABLES
-from pricelake.session import checkpointed
+from pricelake.session import checkpointed, lookup
 
 
 def seed_dimensions(spark: SparkSession, loaded_at: Column | None = None) -> dict[str, DataFrame]:
@@ -186,7 +186,7 @@ FACT_KEYS = ["date_key", "commodity_key", "market_key", "source_key", "currency_
 def resolve_fact_keys(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
     """Look up the five dimension keys of silver rows; a missing match leaves NULL.
 
-    The dimension sides are unique on their names; Spark broadcasts the small ones.
+    The dimension sides are unique on their names; small ones are broadcast, so that facts are not gathered by name.
     """
     commodities = dims["dim_commodity"]
     if "is_current" in commodities.columns:
@@ -199,7 +199,7 @@ def resolve_fact_keys(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFra
         (dims["dim_currency"], "currency_code", "currency", "currency_key"),
     ]
     for dim, name, column, key in lookups:
-        side = dim.select(F.col(name).alias("__name"), F.col(key).alias(key))
+        side = lookup(dim.select(F.col(name).alias("__name"), F.col(key).alias(key)))
         rows = rows.join(side, F.col(column) == F.col("__name"), "left").drop("__name")
     return rows
 
