@@ -307,14 +307,16 @@ def merge_partitions(incoming: DataFrame, path: str, *, keys: Sequence[str], par
     """
     spark = incoming.sparkSession
     first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by], F.xxhash64(*incoming.columns))
-    fresh = checkpointed(incoming.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place"))
-    touched = sorted(r[0] for r in fresh.select(part).distinct().collect() if r[0] is not None)
+    fresh = incoming.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place")
     merged = fresh
     if path_exists(spark, path):
+        fresh = checkpointed(fresh)
+        touched = sorted(r[0] for r in fresh.select(part).distinct().collect() if r[0] is not None)
         stored = spark.read.parquet(path).filter(F.col(part).isin(touched))
         match = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(F.col(f"__i_{k}")) for k in keys])
         kept = stored.join(fresh.select(*[F.col(k).alias(f"__i_{k}") for k in keys]), match, "left_anti")
-        merged = checkpointed(kept).unionByName(fresh, allowMissingColumns=True)
+        # a dynamic overwrite replaces folders when all tasks have ended, so the stored rows can be read meanwhile
+        merged = kept.unionByName(fresh, allowMissingColumns=True)
     _replace(merged, path, [part])
     return path
 
