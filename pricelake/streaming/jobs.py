@@ -9,6 +9,7 @@ from __future__ import annotations
 from collections.abc import Callable, Iterator, Sequence
 from typing import Any
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -164,8 +165,23 @@ def daily_ohlcv_stream(
     )
 
 
+_BLOCK_TIMES = 100_000
+
+
+def _merged(times: list[np.ndarray]) -> np.ndarray:
+    """Distinct instants in order, sorted in place: eight bytes each, and one copy."""
+    every = np.concatenate(times)
+    every.sort()
+    new = np.ones(len(every), bool)
+    np.not_equal(every[1:], every[:-1], out=new[1:])
+    return every if new.all() else every[new]
+
+
 class _Suppressor(StatefulProcessor):
-    """Per title the last alert let through, and the alerts that the watermark has not passed yet."""
+    """Per title the last alert let through, and the alerts that the watermark has not passed yet.
+
+    Instants are held as packed arrays, in the state in blocks of them.
+    """
 
     def __init__(self, window_seconds: int) -> None:
         self.window = window_seconds * 1_000_000
@@ -173,31 +189,39 @@ class _Suppressor(StatefulProcessor):
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
         self.last = handle.getValueState("last", "at long")
-        self.pending = handle.getListState("pending", "at long")
+        self.pending = handle.getListState("pending", "times binary")
 
     def handleInputRows(self, key: Any, rows: Iterator[pd.DataFrame], timerValues: Any) -> Iterator[pd.DataFrame]:
-        times = {int(t) for chunk in rows for t in chunk["us"].to_numpy()}
-        yield from self._settle(key, times, timerValues.getCurrentWatermarkInMs())
+        times, fresh, size = np.zeros(0, np.int64), [], 0
+        for chunk in rows:
+            fresh.append(chunk["us"].to_numpy(np.int64, copy=True))
+            size += len(fresh[-1])
+            if size > max(_BLOCK_TIMES, len(times)):
+                times, fresh, size = _merged([times, *fresh]), [], 0
+        yield from self._settle(key, _merged([times, *fresh]), timerValues.getCurrentWatermarkInMs())
 
     def handleExpiredTimer(self, key: Any, timerValues: Any, expiredTimerInfo: Any) -> Iterator[pd.DataFrame]:
-        yield from self._settle(key, set(), timerValues.getCurrentWatermarkInMs())
+        yield from self._settle(key, np.zeros(0, np.int64), timerValues.getCurrentWatermarkInMs())
 
-    def _settle(self, key: Any, times: set[int], watermark_ms: int) -> Iterator[pd.DataFrame]:
+    def _settle(self, key: Any, times: np.ndarray, watermark_ms: int) -> Iterator[pd.DataFrame]:
         """Decide what the watermark has passed: no earlier alert can come any more. The rest waits for a timer."""
         last = self.last.get()[0] if self.last.exists() else None
-        known = {row[0] for row in self.pending.get()} if self.pending.exists() else set()
-        kept, later = [], []
-        for moment in sorted(times | known):
-            if moment > watermark_ms * 1000:
-                later.append(moment)
-            elif last is None or moment - last >= self.window:
-                kept.append(moment)
-                last = moment
-        if later:
-            self.pending.put([(t,) for t in later])
-            self.handle.registerTimer(later[0] // 1000 + 1)
-        elif known:
+        waited = self.pending.exists()
+        if waited:
+            times = _merged([times, *(np.frombuffer(row[0], np.int64) for row in self.pending.get())])
+        due = int(np.searchsorted(times, watermark_ms * 1000, "right"))
+        kept, at = [], 0 if last is None else int(np.searchsorted(times[:due], last + self.window))
+        while at < due:
+            last = int(times[at])
+            kept.append(last)
+            at = int(np.searchsorted(times[:due], last + self.window))
+        if waited:
             self.pending.clear()
+        # block by block, so that no second copy of the whole is made on the way to the state
+        for i in range(due, len(times), _BLOCK_TIMES):
+            self.pending.appendValue((times[i:i + _BLOCK_TIMES].tobytes(),))
+        if due < len(times):
+            self.handle.registerTimer(int(times[due]) // 1000 + 1)
         if kept:
             self.last.update((last,))
             yield pd.DataFrame({"title": [key[0]] * len(kept), "us": kept})

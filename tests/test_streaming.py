@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import random
 import time
+import tracemalloc
 from datetime import datetime, timedelta, timezone
 
+import pandas as pd
 import pytest
 
 from pricelake.streaming import jobs
@@ -125,3 +127,63 @@ def test_late_alerts_get_the_batch_answer_and_state_stays_within_the_delay(spark
             last[title] = moment
     got = [(r["title"], r["timestamp"].replace(tzinfo=timezone.utc)) for r in spark.read.parquet(f"{tmp_path}/t").collect() if r["title"] != "end"]
     assert len(got) == len(set(got)) and set(got) == wanted
+
+
+class _State:
+    """What a suppressor uses of its states and timers, in this process."""
+
+    def __init__(self):
+        self.value, self.timers = None, []
+
+    def getValueState(self, *_):
+        return _State()
+
+    getListState = getValueState
+
+    def registerTimer(self, moment):
+        self.timers.append(moment)
+
+    def exists(self):
+        return self.value is not None
+
+    def get(self):
+        return self.value
+
+    def update(self, value):
+        self.value = value
+
+    def appendValue(self, value):
+        self.value = [*(self.value or []), value]
+
+    def clear(self):
+        self.value = None
+
+    def __getattr__(self, name):
+        if name != "getCurrentWatermarkInMs":
+            raise AttributeError(name)
+        return lambda: self.value
+
+
+def test_a_title_of_many_alerts_is_held_packed():
+    """Two batches of 400,000 alerts a title, none decided before the last call; the answer is that of a plain walk."""
+    draw = random.Random(5)
+    times = [draw.randrange(30 * 86_400_000_000) for _ in range(800_000)]
+    suppressor, handle, clock = jobs._Suppressor(3600), _State(), _State()
+    suppressor.init(handle)
+    chunks = [pd.DataFrame({"us": times[i:i + 10_000]}) for i in range(0, len(times), 10_000)]
+    clock.value = 0
+    tracemalloc.start()
+    out = [*suppressor.handleInputRows(("a",), iter(chunks[:40]), clock), *suppressor.handleInputRows(("a",), iter(chunks[40:]), clock)]
+    held = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert out == [] and len(suppressor.pending.get()) > 1 and handle.timers[-1] == min(times) // 1000 + 1
+    assert held < 50e6  # as Python integers in sets and tuples more than 100 MB
+    clock.value = 15 * 86_400_000
+    got = [t for frame in suppressor.handleExpiredTimer(("a",), clock, None) for t in frame["us"]]
+    clock.value = 40 * 86_400_000
+    got += [t for frame in suppressor.handleExpiredTimer(("a",), clock, None) for t in frame["us"]]
+    wanted = []
+    for moment in sorted(times):
+        if not wanted or moment - wanted[-1] >= 3_600_000_000:
+            wanted.append(moment)
+    assert got == wanted and not suppressor.pending.exists()
