@@ -22,8 +22,6 @@ give an empty result. Texts are read whole. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,6 +37,8 @@ LEAST_LITERAL = 4
 SHORT_LITERAL = 2
 #: Share of an item's windows, in percent, that a copy word for word has on one alignment (and EVIDENCE of them).
 VERBATIM = 80
+#: Places of a text whose windows are spread out together.
+BLOCK = 4096
 
 _NAME, _NUMBER, _UNIT = "\u0001", "\u0002", "\u0003"
 _MARKS = "\u0001-\u0003"
@@ -62,7 +62,7 @@ def marked(text: Column) -> Column:
 
 def _cased_words(text: Column) -> Column:
     bare = F.regexp_replace(marked(text), f"([{_MARKS}]){_VALUE}", "$1")
-    return F.filter(F.split(bare, rf"[^\p{{L}}\p{{M}}\p{{N}}{_MARKS}]+"), lambda w: w != "")
+    return F.array_remove(F.split(bare, rf"[^\p{{L}}\p{{M}}\p{{N}}{_MARKS}]+"), "")
 
 
 def template_words(text: Column) -> Column:
@@ -80,57 +80,51 @@ def slot_words(text: Column) -> Column:
     return F.regexp_extract_all(marked(text), F.lit(rf"[{_MARKS}]{_VALUE}|[\p{{L}}\p{{M}}\p{{N}}]+"), F.lit(0))
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """body(value) with the value computed once."""
-    return F.element_at(F.transform(F.array(value), body), 1)
-
-
 def plain_words(text: Column) -> Column:
     """Words in one case (`ß` as `ss`), nothing replaced."""
-    return F.filter(F.split(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+"), lambda w: w != "")
+    return F.array_remove(F.split(F.lower(F.upper(text)), r"[^\p{L}\p{M}\p{N}]+"), "")
 
 
-def _joined(left: Column, right: Column, by: int) -> Column:
-    """Hashes of runs made of a run and the one that begins `by` places after it."""
-    return F.zip_with(left, F.slice(right, by + 1, F.greatest(F.size(right) - by, F.lit(0))), lambda a, b: F.xxhash64(a, b))
+def _runs(hashed: Column, length: int) -> Column:
+    """array<struct<x0, x1, ..>>: each word's hash and those behind it, null past the end."""
+    return F.arrays_zip(*(F.slice(hashed, k + 1, F.greatest(F.size(hashed) - k, F.lit(0))).alias(f"x{k}") for k in range(length)))
 
 
 def run_hashes(hashed: Column, length: int) -> Column:
-    """Hash of the run of so many words at each place, put together from runs of 1, 2, 4, 8 words, so it takes few steps per word."""
-
-    def put(levels: list[Column]) -> Column:
-        size = 1 << (len(levels) - 1)
-        if 2 * size <= length:
-            return _let(_joined(levels[-1], levels[-1], size), lambda doubled: put([*levels, doubled]))
-        out, done = levels[-1], size
-        while done < length:
-            step = (length - done).bit_length() - 1
-            out, done = _joined(out, levels[step], done), done + (1 << step)
-        return out
-
+    """Hash of the run of so many words at each place; null if there are fewer words."""
     whole = F.size(hashed) - length + 1
-    return F.when(whole > 0, F.slice(_let(hashed, lambda one: put([one])), 1, F.greatest(whole, F.lit(1))))
-
-
-def _windows(hashed: Column, lengths: list[int], kind: int) -> Column:
-    """array<struct<kind, length, hashes>>: the run hashes of each of the lengths."""
-    return F.array(*(F.struct(F.lit(kind).alias("kind"), F.lit(n).alias("length"), run_hashes(hashed, n).alias("hashes")) for n in lengths))
+    runs = F.slice(_runs(hashed, length), 1, F.greatest(whole, F.lit(1)))
+    return F.when(whole > 0, F.transform(runs, lambda x: F.xxhash64(*(x[f"x{k}"] for k in range(length)))))
 
 
-def plain_windows(text: Column, lengths: list[int]) -> Column:
-    """Windows of the plain words."""
-    return _let(F.transform(plain_words(text), lambda w: F.xxhash64(w)), lambda hashed: _windows(hashed, lengths, PLAIN))
+def text_windows(texts: DataFrame, lengths: list[tuple[int, int]]) -> DataFrame:
+    """(doc_id, text_hash, kind, length, at, window): the `run_hashes` of the words of texts, for (kind, length) pairs.
 
+    Template words are hashed once more with wild words. Words are hashed in arrays, runs of them after these are exploded, where
+    Spark generates code; arrays are cut into blocks of BLOCK places before, so a long text is spread out in pieces.
+    """
+    told = texts.select("doc_id", "text_hash", _cased_words(F.col("text")).alias("cased"), plain_words(F.col("text")).alias("plain"))
+    told = told.select(
+        "doc_id", "text_hash", F.transform("cased", lambda w: F.xxhash64(F.lower(w))).alias("lowered"),
+        F.transform("cased", lambda w: F.when(F.lower(w) == w, F.xxhash64(w)).otherwise(F.xxhash64(F.lit(_NAME)))).alias("wild"),
+        F.transform("plain", lambda w: F.xxhash64(w)).alias("plain"),
+    )
+    most, least = max(n for _, n in lengths), min(n for _, n in lengths)
 
-def template_windows(text: Column, lengths: list[int]) -> Column:
-    """Windows of the template words, and again with wild words."""
+    def block(kind: int, length: int, first: Column, words: Column) -> Column:
+        return F.struct(F.lit(kind).alias("kind"), F.lit(length).alias("length"), first.alias("first"), words.alias("words"))
 
-    def both(words: Column, lowered: Column) -> Column:
-        wild = F.zip_with(words, lowered, lambda w, low: F.when(low == w, F.xxhash64(low)).otherwise(F.xxhash64(F.lit(_NAME))))
-        forms = F.array(F.transform(lowered, lambda w: F.xxhash64(w)), wild)
-        return F.flatten(F.transform(forms, lambda hashed: _windows(hashed, lengths, TEMPLATE)))
+    def blocks(kind: int, length: int, hashed: Column) -> Column:
+        firsts = F.sequence(F.lit(0), F.size(hashed), F.lit(BLOCK))
+        cut = F.transform(firsts, lambda at: block(kind, length, at, F.slice(hashed, at + 1, F.lit(BLOCK + most - 1))))
+        return F.when(F.size(hashed) <= BLOCK, F.array(block(kind, length, F.lit(0), hashed))).otherwise(cut)
 
-    return _let(_cased_words(text), lambda words: _let(F.transform(words, F.lower), lambda lowered: both(words, lowered)))
+    forms = [blocks(kind, n, F.col(form)) for kind, n in lengths for form in (("lowered", "wild") if kind == TEMPLATE else ("plain",))]
+    parts = told.select("doc_id", "text_hash", F.explode(F.concat(*forms)).alias("b")).select("doc_id", "text_hash", "b.*")
+    whole = F.least(F.greatest(F.size("words") - F.col("length") + 1, F.lit(0)), F.lit(BLOCK))
+    runs = parts.select("doc_id", "text_hash", "kind", "length", "first", F.posexplode(F.slice(_runs(F.col("words"), most), 1, whole)).alias("at", "x"))
+    own = [F.col("x")[f"x{k}"] if k < least else F.when(F.col("length") > k, F.col("x")[f"x{k}"]) for k in range(most)]  # a null leaves a hash as it is
+    return runs.select("doc_id", "text_hash", "kind", "length", (F.col("first") + F.col("at")).alias("at"), F.xxhash64(*own).alias("window"))
 
 
 def _literal(words: Column) -> Column:
@@ -168,6 +162,17 @@ def benchmark_index(items: DataFrame, size: int, least_literal: int, short_liter
     return saved(index.distinct(), "index"), told
 
 
+def window_hits(found: DataFrame, index: DataFrame) -> DataFrame:
+    """The windows of texts that are in the index, with the shift of their alignment.
+
+    The 64-bit hash alone is the join key, for which Spark keeps a table of plain numbers; kind and length are compared
+    where it matches, as differences, which Spark does not take for further keys.
+    """
+    own = sized(index).withColumnsRenamed({"kind": "own_kind", "length": "own_length", "window": "own_window"})
+    same = (F.col("window") == F.col("own_window")) & (F.col("kind") - F.col("own_kind") == 0) & (F.col("length") - F.col("own_length") == 0)
+    return found.join(own, same).drop("own_kind", "own_length", "own_window").withColumn("shift", F.col("at") - F.col("place"))
+
+
 def evidence_rows(
     docs: DataFrame, items: DataFrame, size: int, evidence: int, least_literal: int, short_literal: int | None = None,
 ) -> DataFrame:
@@ -177,12 +182,7 @@ def evidence_rows(
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text").filter("text is not null")
     if not lengths:
         return docs.sparkSession.createDataFrame([], "doc_id long, text_hash long, item_id long, kind int, n_windows long, n_slots long")
-    every = [
-        of(F.col("text"), own) for kind, of in ((TEMPLATE, template_windows), (PLAIN, plain_windows)) if (own := [n for k, n in lengths if k == kind])
-    ]
-    runs = texts.select("doc_id", "text_hash", F.explode(F.concat(*every)).alias("w"))
-    found = runs.select("doc_id", "text_hash", "w.kind", "w.length", F.posexplode("w.hashes").alias("at", "window"))
-    hits = found.join(sized(index), ["kind", "length", "window"]).withColumn("shift", F.col("at") - F.col("place"))
+    hits = window_hits(text_windows(texts, lengths), index)
     total = index.groupBy("template").agg(F.count_distinct("place").alias("windows"))
     runs = hits.groupBy("doc_id", "text_hash", "kind", "template", "length", "shift").agg(
         F.count_distinct("place").alias("n_windows"), F.min("place").alias("low"), F.max("place").alias("high")

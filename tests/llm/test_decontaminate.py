@@ -7,8 +7,9 @@ import re
 
 from pyspark.sql import functions as F
 
+from pricelake.llm import decontaminate
 from pricelake.llm.common import table
-from pricelake.llm.decontaminate import contaminated, keep_clean, run_hashes, slot_words, template_words
+from pricelake.llm.decontaminate import contaminated, keep_clean, run_hashes, slot_words, template_words, text_windows, window_hits
 from tests.llm.edge import documents, edge_docs, no_docs
 
 QUESTION = "A farmer called Anna sells 12 kg of apples for 3 dollars and then Anna buys 12 kg of pears from her neighbour"
@@ -138,3 +139,30 @@ def test_clashing_columns_survive(spark):
         docs = docs.withColumn(name, F.lit(7)) if name not in docs.columns else docs
     kept = keep_clean(docs, items(spark, QUESTION))
     assert kept.columns == docs.columns and [r.asDict() for r in kept.collect()] == [r.asDict() for r in docs.filter("doc_id = 2").collect()]
+
+
+def test_windows_are_looked_up_by_one_number_and_kind_and_length_are_compared(spark):
+    found = spark.createDataFrame([(1, k, n, at, w) for at, (k, n, w) in enumerate([(0, 8, 5), (1, 8, 5), (0, 7, 5), (0, 8, 6), (0, 8, 5)])],
+                                  "doc_id long, kind int, length int, at int, window long")
+    index = spark.createDataFrame([(0, 77, 8, 3, 5), (0, 78, 8, 0, 5), (1, 79, 8, 1, 5), (0, 80, 8, 2, 9)], "kind int, template long, length int, place int, window long")
+    hits = window_hits(found, index)
+    assert sorted((r["at"], r["template"], r["shift"]) for r in hits.collect()) == [(0, 77, -3), (0, 78, 0), (1, 79, 0), (4, 77, 1), (4, 78, 4)]
+    plan = hits._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"BroadcastHashJoin \[window#\d+L\], \[own_window#\d+L\]", plan)
+
+
+def test_windows_of_texts_are_those_of_the_index_across_blocks(spark, monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice(["one", "Two", "the", "12", "x. Anna"]) for _ in range(n)) for n in (0, 1, 2, 3, 7, 8, 9, 40)]
+    lengths = [(0, 3), (0, 8), (1, 1), (1, 2), (1, 8)]
+    rows = documents(spark, list(enumerate(texts))).withColumn("text_hash", F.xxhash64("text"))
+    one = {0: [decontaminate.template_words, decontaminate.wild_words], 1: [decontaminate.plain_words]}
+    want = set()
+    for kind, n in lengths:
+        for words in one[kind]:
+            hashed = run_hashes(F.transform(words(F.col("text")), lambda w: F.xxhash64(w)), n)
+            want |= {(r["doc_id"], kind, n, r["at"], r["window"]) for r in rows.select("doc_id", F.posexplode(hashed).alias("at", "window")).collect()}
+    for block in (1, 5, 4096):
+        monkeypatch.setattr(decontaminate, "BLOCK", block)
+        got = [(r["doc_id"], r["kind"], r["length"], r["at"], r["window"]) for r in text_windows(rows, lengths).collect()]
+        assert set(got) == want and len(got) == sum(max(0, r["n"] - n + 1) for kind, n in lengths for words in one[kind] for r in rows.select(F.size(words(F.col("text"))).alias("n")).collect())
