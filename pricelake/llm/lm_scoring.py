@@ -19,7 +19,7 @@ is no distribution over unknown words; the model spells them out, which costs mo
 
 Edge cases: null and empty texts, or texts without words, are the end alone (one token). A row whose doc_id is null is not
 learnt from and not held out. Repeated rows are scored one by one, and each training row counts. Ties cannot occur.
-Very long texts are read whole, decisions BLOCK_BYTES bytes at a time. An empty table gives an empty result; without
+Very long texts are read whole, decisions PART_BYTES bytes at a time. An empty table gives an empty result; without
 training texts all decisions are even. Words and contexts are 64 and 32 bit hashes. Extra columns are ignored.
 """
 
@@ -35,14 +35,19 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from pricelake.llm.common import saved, shipped, table
-from pricelake.llm.textops import chunks, word_hashes, word_spans
+from pricelake.llm.textops import blank, chunks, word_hashes, word_spans
 from pricelake.plans.registry import register
 
 BITS = 20
 PREDICTORS = 3
 #: Most words whose counts are broadcast.
 HEAD = 100_000
+#: Bytes of an online step.
 BLOCK_BYTES = 1 << 15
+#: Bytes whose decisions are worked on together; with their slots they stay near the processor.
+PART_BYTES = 1 << 14
+#: Bytes whose equal pairs of context and byte are counted together.
+PAIR_BYTES = 1 << 20
 #: Counts that are shuffled and summed together (two per slot).
 BLOCK_COUNTS = 1 << 10
 _KINDS = {1: np.uint8, 2: np.uint16, 4: np.int32}
@@ -56,7 +61,6 @@ _R = np.uint32(0x01000193)
 _R_INVERSE = np.uint32(pow(0x01000193, -1, 1 << 32))
 _NODE, _SPREAD = np.uint32(0x9E3779B1), np.uint32(0x85EBCA6B)
 _END, _GAP = 10, 32
-_BLANK = np.isin(np.arange(256), [9, 10, 11, 12, 13, 32])
 _POWERS: dict[int, np.ndarray] = {}
 _LEAST, _MOST = np.float32(2.0**-20), np.float32(1 - 2.0**-20)
 
@@ -100,13 +104,13 @@ def huffman(counts: np.ndarray) -> Code:
 def stream(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     """(bytes of the token streams of all texts, text of each byte)."""
     data, _, ends, rows = word_spans(raws, lower=True)
-    data, bounds = data.copy(), np.cumsum([len(r) + 1 for r in raws])
-    keep = ~_BLANK[data]
+    data, keep, bounds = data.copy(), ~blank(data), np.cumsum([len(r) + 1 for r in raws])
     gaps = ends[:-1][rows[1:] == rows[:-1]]
     data[gaps], keep[gaps] = _GAP, True
     data[bounds - 1], keep[bounds - 1] = _END, True
-    owner = np.repeat(np.arange(len(raws), dtype=np.int32), np.diff(bounds, prepend=0))
-    return data[keep], owner[keep]
+    kept = np.flatnonzero(keep)
+    owner = np.repeat(np.arange(len(raws), dtype=np.int32), np.diff(np.searchsorted(kept, bounds), prepend=0))
+    return taken(data, kept), owner
 
 
 def _powers(of: np.uint32, n: int) -> np.ndarray:
@@ -120,25 +124,23 @@ def _powers(of: np.uint32, n: int) -> np.ndarray:
 def contexts(data: np.ndarray, owner: np.ndarray) -> list[np.ndarray]:
     """Per predictor a hash of what stands before each byte in its text."""
     n = len(data)
-    begins = np.flatnonzero(np.diff(owner, prepend=-1))
-    low = data.astype(np.uint32) + np.uint32(1)
-
-    def before(k: int) -> np.ndarray:
-        out = np.zeros(n, np.uint32)
-        out[k:] = low[:-k]
-        for near in range(k):  # nothing stands before a text
-            at = begins + near
-            out[at[at < n]] = 0
-        return out
-
-    three = before(1) | before(2) << np.uint32(9) | before(3) << np.uint32(18)
+    begins = np.flatnonzero(np.concatenate((np.ones(min(n, 1), bool), owner[1:] != owner[:-1])))
+    low = data.astype(np.uint32)
+    low += np.uint32(1)
+    three = np.zeros(n, np.uint32)
+    for k in range(1, 4):
+        three[k:] |= low[:-k] << np.uint32(9 * k - 9)
+    for near in range(3):  # nothing stands before a text
+        at = begins + near
+        three[at[at < n]] &= np.uint32((1 << 9 * near) - 1)
     opens, starts = np.empty(n, bool), np.zeros(n, bool)
     starts[begins] = True
     opens[1:] = data[:-1] == _GAP
     opens[begins] = True
     at = np.flatnonzero(opens)
     powers, inverse = _powers(_R, n), _powers(_R_INVERSE, n)
-    sums = np.concatenate(([np.uint32(0)], np.cumsum(low * powers[:n], dtype=np.uint32)))
+    sums = np.zeros(n + 1, np.uint32)
+    np.cumsum(low * powers[:n], dtype=np.uint32, out=sums[1:])
     last = np.append(at[1:], n) - 1  # the space or end behind each word
     whole = (sums[last] - sums[at]) * inverse[at] * _SPREAD + np.uint32(7)
     former = np.concatenate(([np.uint32(0)], whole[:-1]))
@@ -159,26 +161,50 @@ def _spread(columns: list[np.ndarray], times: np.ndarray) -> list[np.ndarray]:
 
 
 def _mixed(value: np.ndarray, salt: int) -> np.ndarray:
-    value = (value + np.uint32(salt * 0x51ED27)) * _SPREAD
-    return (value ^ (value >> np.uint32(15))) * np.uint32(0xC2B2AE35)
+    value = value + np.uint32(salt * 0x51ED27)
+    value *= _SPREAD
+    value ^= value >> np.uint32(15)
+    value *= np.uint32(0xC2B2AE35)
+    return value
 
 
-def decisions(data: np.ndarray, own: list[np.ndarray], code: Code, bits: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
-    """(node, bit, slot of each predictor) of each binary decision, and the first decision of each byte."""
-    size, start = code.size[data], code.start[data]
-    firsts = np.cumsum(size) - size
-    flat = np.ones(int(size.sum()), np.int64)  # steps of one along a path, a jump at the next byte
-    flat[firsts] = np.concatenate((start[:1], start[1:] - start[:-1] - size[:-1] + 1))
-    np.cumsum(flat, out=flat)
+def pieces(data: np.ndarray, own: list[np.ndarray]) -> Iterator[tuple[np.ndarray, list[np.ndarray]]]:
+    """Bytes and contexts, PART_BYTES at a time."""
+    for first in range(0, len(data), PART_BYTES):
+        part = slice(first, first + PART_BYTES)
+        yield data[part], [c[part] for c in own]
+
+
+def reaches(data: np.ndarray, code: Code) -> tuple[np.ndarray, list[int]]:
+    """(bytes by falling length of their codes, how many of these have a first, second, ... decision)."""
+    size = taken(code.size, data)
+    order = np.argsort((255 - size).astype(np.uint8), kind="stable")
+    longer = np.cumsum(np.bincount(size, minlength=1)[::-1])[::-1]
+    return order, longer[1:].tolist()
+
+
+def along(column: np.ndarray, order: np.ndarray, reach: list[int]) -> np.ndarray:
+    """A column of the bytes, repeated for the decisions of each: all first ones, all second ones and so on."""
+    ordered = taken(column, order)
+    return np.concatenate([ordered[:n] for n in reach])
+
+
+def decisions(data: np.ndarray, own: list[np.ndarray], code: Code, bits: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], tuple[np.ndarray, list[int]]]:
+    """(node, bit, slot of each predictor) of each binary decision, and their order as told by `reaches`."""
+    order, reach = reaches(data, code)
+    start = taken(code.start, taken(data, order))
+    flat = np.concatenate([start[:n] + k for k, n in enumerate(reach)])
     node, bit = taken(code.node, flat), taken(code.bit, flat)
-    salt = node.astype(np.uint32) * _NODE
+    salt = node.astype(np.uint32)
+    salt *= _NODE
     slots = []
-    for context in _spread(own, size):
-        h = context ^ salt
+    for context in own:
+        h = along(context, order, reach)
+        h ^= salt
         h *= _SPREAD
         h >>= np.uint32(32 - bits)
         slots.append(h.astype(np.int64))
-    return node, bit, slots, firsts
+    return node, bit, slots, (order, reach)
 
 
 @dataclass
@@ -198,13 +224,17 @@ def log_odds(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
 
 
 def without_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
-    """Log odds with a zero (even places) or a one (odd places) taken off the counts of each slot."""
-    return np.stack([log_odds(np.maximum(zeros - 1, 0), ones), log_odds(zeros, np.maximum(ones - 1, 0))], -1).ravel()
+    """Log odds with a zero (lower byte) or a one (upper byte) taken off the counts of each slot."""
+    lower, upper = log_odds(np.maximum(zeros - 1, 0), ones), log_odds(zeros, np.maximum(ones - 1, 0))
+    return lower.view(np.uint8).astype(np.int16) | upper.astype(np.int16) << np.int16(8)
 
 
-def inputs(slots: list[np.ndarray], tables: list[np.ndarray], node: np.ndarray) -> tuple[list[np.ndarray], np.ndarray]:
-    """(log odds of each predictor, weight set)."""
+def inputs(slots: list[np.ndarray], tables: list[np.ndarray], node: np.ndarray, bit: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+    """(log odds of each predictor, weight set); given the bits, from the tables of `without_one`."""
     out = [taken(own, slot) for slot, own in zip(slots, tables)]
+    if bit is not None:
+        upper = bit.astype(np.int16) * np.int16(8)
+        out = [(x >> upper).astype(np.int8) for x in out]
     gate = node * 4
     gate += (out[-2] != 0).view(np.int8) + (out[-1] != 0).view(np.int8) * np.int8(2)
     return [x.astype(np.float32) * np.float32(STEP) for x in out], gate
@@ -240,14 +270,14 @@ def score_texts(raws: list[bytes], model: Model) -> tuple[np.ndarray, np.ndarray
     """(log10 probability, bytes of the stream) of each text."""
     data, owner = stream(raws)
     own, total = contexts(data, owner), np.zeros(len(raws))
-    for first in range(0, len(data), BLOCK_BYTES):
-        part = slice(first, first + BLOCK_BYTES)
-        node, bit, slots, firsts = decisions(data[part], [c[part] for c in own], model.code, model.bits)
+    for part, (text, *some) in pieces(data, [owner, *own]):
+        node, bit, slots, (order, reach) = decisions(part, some, model.code, model.bits)
         x, gate = inputs(slots, model.odds, node)
         p = refine(node, mixed(x, gate, model.weights), model.refined)
-        logs = np.log(np.abs(p - (1 - bit).astype(np.float32)))
-        texts = np.flatnonzero(np.diff(owner[part], prepend=-1))
-        total[owner[part][texts]] += np.add.reduceat(logs, firsts[texts], dtype=np.float64)
+        logs, sums = np.log(np.abs(p - (1 - bit).astype(np.float32))), np.zeros(len(order))
+        for n, end in zip(reach, np.cumsum(reach)):
+            sums[:n] += logs[end - n:end]
+        total += np.bincount(taken(text, order), weights=sums, minlength=len(raws))
     return total / np.log(10), np.bincount(owner, minlength=len(raws))
 
 
@@ -273,19 +303,48 @@ def _byte_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield pa.record_batch([pa.array(np.arange(256)), pa.array(total)], names=["byte", "n"])
 
 
+def _pairs(data: np.ndarray, context: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(byte, context, how often) of each different pair."""
+    key = data.astype(np.uint64)
+    key <<= np.uint64(32)
+    key |= context
+    key.sort()
+    first = np.flatnonzero(np.concatenate((np.ones(min(len(key), 1), bool), key[1:] != key[:-1])))
+    n = np.diff(first, append=len(key)).astype(np.int32)
+    key = taken(key, first)
+    return (key >> np.uint64(32)).astype(np.uint8), key.astype(np.uint32), n
+
+
 def _slot_counts(code: Code, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
-    """Rows (block over all tables, counts of its slots, zero and one in turn) of the texts of a task, in the fewest bytes a count."""
+    """Rows (block over all tables, counts of its slots, zero and one in turn) of the texts of a task, in the fewest bytes a count.
+
+    A byte behind the same context falls into the same slots, so equal pairs of up to PAIR_BYTES bytes are added up first.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _keep_memory()
-        counts, one = np.zeros((PREDICTORS, 2 << bits), np.int32), np.ones(1, np.int32)
-        for batch in batches:
-            for data, own in _blocks(batch.column(0)):
-                _, bit, slots, _ = decisions(data, own, code, bits)
-                for i, slot in enumerate(slots):
+        counts = np.zeros((PREDICTORS, 2 << bits), np.int32)
+
+        def add(blocks: list[tuple[np.ndarray, list[np.ndarray]]]) -> None:
+            data = np.concatenate([d for d, _ in blocks])
+            for i in range(PREDICTORS):
+                byte, context, n = _pairs(data, np.concatenate([own[i] for _, own in blocks]))
+                for part, (some, times) in pieces(byte, [context, n]):
+                    _, bit, (slot,), at = decisions(part, [some], code, bits)
                     slot *= 2
                     slot += bit
-                    np.add.at(counts[i], slot, np.broadcast_to(one, bit.shape))
+                    np.add.at(counts[i], slot, along(times, *at))
+
+        held, size = [], 0
+        for batch in batches:
+            for data, own in _blocks(batch.column(0)):
+                held.append((data, own))
+                size += len(data)
+                if size >= PAIR_BYTES:
+                    add(held)
+                    held, size = [], 0
+        if held:
+            add(held)
         whole = counts.reshape(-1, BLOCK_COUNTS)
         for block in np.flatnonzero(whole.any(1)):
             own = whole[block]
@@ -310,24 +369,24 @@ def online(blocks: Iterator[tuple[np.ndarray, list[np.ndarray]]], code: Code, wi
     """(weights, decisions of each set, hits and cases of the map) after online descent over the blocks; see `without_one`."""
     weights = np.full((PREDICTORS + 1, 1024), 1 / PREDICTORS, np.float32)
     weights[-1] = 0
-    slopes, seen, refined = np.full(weights.shape, 1e-3), np.zeros(1024), np.zeros((2, 256 * BUCKETS))
+    slopes, seen, fell = np.full(weights.shape, 1e-3), np.zeros(1024), np.zeros(2 * 256 * BUCKETS, np.int64)
     for data, own in blocks:
-        node, bit, slots, _ = decisions(data, own, code, bits)
-        for slot in slots:
-            slot *= 2
-            slot += bit
-        x, gate = inputs(slots, without, node)
-        odds = mixed(x, gate, weights)
-        error, at = bit.astype(np.float32) - squashed(odds), cell(node, odds)
-        both = np.bincount(at * 2 + bit, minlength=2 * refined.shape[1]).reshape(-1, 2)
-        refined[0] += both[:, 1]
-        refined[1] += both.sum(1)
-        seen += np.bincount(gate, minlength=1024)
-        for i in range(PREDICTORS + 1):
-            slope = np.bincount(gate, weights=error * x[i] if i < PREDICTORS else error, minlength=1024)
-            slopes[i] += slope * slope
-            weights[i] += RATE * slope / np.sqrt(slopes[i])
-    return weights, seen, refined
+        slope = np.zeros(weights.shape)
+        for part, some in pieces(data, own):
+            node, bit, slots, _ = decisions(part, some, code, bits)
+            x, gate = inputs(slots, without, node, bit)
+            odds = mixed(x, gate, weights)
+            error, at = bit.astype(np.float32) - squashed(odds), cell(node, odds)
+            at *= 2
+            at += bit
+            fell += np.bincount(at, minlength=len(fell))
+            seen += np.bincount(gate, minlength=1024)
+            for i in range(PREDICTORS + 1):
+                slope[i] += np.bincount(gate, weights=error * x[i] if i < PREDICTORS else error, minlength=1024)
+        slopes += slope * slope
+        weights += RATE * slope / np.sqrt(slopes)
+    fell = fell.reshape(-1, 2)
+    return weights, seen, np.stack([fell[:, 1], fell.sum(1)]).astype(np.float64)
 
 
 def _fit(code: Code, shared: object, bits: int) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:

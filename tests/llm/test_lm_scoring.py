@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from pricelake.llm import lm_scoring as L
@@ -151,3 +152,35 @@ def test_empty_table_and_nothing_to_learn_from(spark):
     held = next(i for i in range(100) if is_held_out(i))
     (row,) = L.scored(documents(spark, [(held, "some words")]), bits=10).collect()
     assert row["held_out"] and row["n_known"] == 0 and row["train_tokens"] == 0 and math.isfinite(row["score"])
+
+
+def test_equal_bytes_behind_equal_contexts_are_counted_together(monkeypatch):
+    texts = TEXTS * 20
+    code, given, whole = L.huffman(np.ones(256)), [], L.decisions
+    monkeypatch.setattr(L, "decisions", lambda data, own, *rest: given.append(len(data) * len(own)) or whole(data, own, *rest))
+
+    def counts():
+        given.clear()
+        rows = [r for b in L._slot_counts(code, 12)(iter([pa.record_batch([pa.array(texts)], names=["text"])])) for r in b.to_pylist()]
+        return {r["block"]: np.frombuffer(r["counts"], L._KINDS[len(r["counts"]) // L.BLOCK_COUNTS]).tolist() for r in rows}
+
+    together = counts()
+    assert sum(given) < L.PREDICTORS * sum(len(stream(t)) for t in TEXTS)  # of 20 times as many bytes
+    plain = np.zeros((L.PREDICTORS, 2 << 12), np.int64)
+    for text in texts:
+        for _, bit, slots in steps(text, code, 12):
+            for i, s in enumerate(slots):
+                plain[i, 2 * s + bit] += 1
+    assert together == {b: own.tolist() for b, own in enumerate(plain.reshape(-1, L.BLOCK_COUNTS)) if own.any()}
+    for size in (64, 5000):
+        monkeypatch.setattr(L, "PAIR_BYTES", size)
+        monkeypatch.setattr(L, "PART_BYTES", size // 3)
+        assert counts() == together
+
+
+def test_scores_do_not_depend_on_the_parts_worked_on(small, monkeypatch):
+    _, model = small
+    raws = [(t or "").encode() for t in TEXTS]
+    whole = L.score_texts(raws, model)[0]
+    monkeypatch.setattr(L, "PART_BYTES", 37)
+    assert L.score_texts(raws, model)[0] == pytest.approx(whole, rel=1e-9)
