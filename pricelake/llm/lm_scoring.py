@@ -26,7 +26,7 @@ training texts all decisions are even. Words and contexts are 64 and 32 bit hash
 from __future__ import annotations
 
 import heapq
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -45,7 +45,7 @@ HEAD = 100_000
 #: Bytes of an online step.
 BLOCK_BYTES = 1 << 15
 #: Bytes whose decisions are worked on together; with their slots they stay near the processor.
-PART_BYTES = 1 << 14
+PART_BYTES = 1 << 13
 #: Bytes whose equal pairs of context and byte are counted together.
 PAIR_BYTES = 1 << 20
 #: Counts that are shuffled and summed together (two per slot).
@@ -98,7 +98,7 @@ def huffman(counts: np.ndarray) -> Code:
         paths.append(path[::-1])
     size = np.array([len(p) for p in paths])
     flat = np.array([step for p in paths for step in p])
-    return Code(np.cumsum(size) - size, size, flat[:, 0], flat[:, 1])
+    return Code(np.cumsum(size) - size, size, flat[:, 0].copy(), flat[:, 1].astype(np.int8))
 
 
 def stream(raws: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
@@ -189,22 +189,24 @@ def along(column: np.ndarray, order: np.ndarray, reach: list[int]) -> np.ndarray
     return np.concatenate([ordered[:n] for n in reach])
 
 
-def decisions(data: np.ndarray, own: list[np.ndarray], code: Code, bits: int) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], tuple[np.ndarray, list[int]]]:
-    """(node, bit, slot of each predictor) of each binary decision, and their order as told by `reaches`."""
+def decisions(data: np.ndarray, own: list[np.ndarray], code: Code, bits: int) -> tuple[np.ndarray, np.ndarray, Iterator[np.ndarray], tuple[np.ndarray, list[int]]]:
+    """(node, bit, slot of each predictor) of each binary decision, and their order as told by `reaches`; slots are made when asked for."""
     order, reach = reaches(data, code)
     start = taken(code.start, taken(data, order))
     flat = np.concatenate([start[:n] + k for k, n in enumerate(reach)])
     node, bit = taken(code.node, flat), taken(code.bit, flat)
     salt = node.astype(np.uint32)
     salt *= _NODE
-    slots = []
-    for context in own:
-        h = along(context, order, reach)
-        h ^= salt
-        h *= _SPREAD
-        h >>= np.uint32(32 - bits)
-        slots.append(h.astype(np.int64))
-    return node, bit, slots, (order, reach)
+
+    def slots() -> Iterator[np.ndarray]:
+        for context in own:
+            h = along(context, order, reach)
+            h ^= salt
+            h *= _SPREAD
+            h >>= np.uint32(32 - bits)
+            yield h.astype(np.int64)
+
+    return node, bit, slots(), (order, reach)
 
 
 @dataclass
@@ -229,7 +231,7 @@ def without_one(zeros: np.ndarray, ones: np.ndarray) -> np.ndarray:
     return lower.view(np.uint8).astype(np.int16) | upper.astype(np.int16) << np.int16(8)
 
 
-def inputs(slots: list[np.ndarray], tables: list[np.ndarray], node: np.ndarray, bit: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
+def inputs(slots: Iterable[np.ndarray], tables: list[np.ndarray], node: np.ndarray, bit: np.ndarray | None = None) -> tuple[list[np.ndarray], np.ndarray]:
     """(log odds of each predictor, weight set); given the bits, from the tables of `without_one`."""
     out = [taken(own, slot) for slot, own in zip(slots, tables)]
     if bit is not None:
@@ -371,7 +373,7 @@ def online(blocks: Iterator[tuple[np.ndarray, list[np.ndarray]]], code: Code, wi
     weights[-1] = 0
     slopes, seen, fell = np.full(weights.shape, 1e-3), np.zeros(1024), np.zeros(2 * 256 * BUCKETS, np.int64)
     for data, own in blocks:
-        slope = np.zeros(weights.shape)
+        slope, cells = np.zeros(weights.shape), []
         for part, some in pieces(data, own):
             node, bit, slots, _ = decisions(part, some, code, bits)
             x, gate = inputs(slots, without, node, bit)
@@ -379,10 +381,11 @@ def online(blocks: Iterator[tuple[np.ndarray, list[np.ndarray]]], code: Code, wi
             error, at = bit.astype(np.float32) - squashed(odds), cell(node, odds)
             at *= 2
             at += bit
-            fell += np.bincount(at, minlength=len(fell))
+            cells.append(at)
             seen += np.bincount(gate, minlength=1024)
             for i in range(PREDICTORS + 1):
                 slope[i] += np.bincount(gate, weights=error * x[i] if i < PREDICTORS else error, minlength=1024)
+        fell += np.bincount(np.concatenate(cells), minlength=len(fell))
         slopes += slope * slope
         weights += RATE * slope / np.sqrt(slopes)
     fell = fell.reshape(-1, 2)
@@ -435,7 +438,7 @@ def adaptive(hits: np.ndarray, cases: np.ndarray) -> np.ndarray:
     return (np.stack([hits, np.full(len(cases), PRIOR)]) / (cases + PRIOR)).astype(np.float32)
 
 
-SCORED = "doc_id long, held_out boolean, n_tokens long, score double, bits_per_byte double, words array<long>, counts array<long>"
+SCORED = "doc_id long, held_out boolean, n_tokens long, score double, bits_per_byte double, tokens array<struct<word: long, n: long>>"
 
 
 def _scorer(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
@@ -453,11 +456,12 @@ def _scorer(shared: object) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.
                 cuts = np.searchsorted(rows, np.arange(len(raws) + 1))
                 each = [np.unique(np.append(hashes[a:b], _END), return_counts=True) for a, b in zip(cuts, cuts[1:])]
                 offsets = np.concatenate(([0], np.cumsum([len(w) for w, _ in each]))).astype(np.int32)
-                words, counts = (pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(x))) for x in zip(*each))
+                words, counts = (pa.array(np.concatenate(x)) for x in zip(*each))
+                tokens = pa.ListArray.from_arrays(offsets, pa.StructArray.from_arrays([words, counts], ["word", "n"]))
                 yield pa.record_batch([
                     batch.column("doc_id").slice(first, len(raws)), batch.column("held_out").slice(first, len(raws)), pa.array(np.diff(cuts) + 1),
-                    pa.array(scores), pa.array(-scores * np.log2(10) / sizes), words, counts,
-                ], names=["doc_id", "held_out", "n_tokens", "score", "bits_per_byte", "words", "counts"])
+                    pa.array(scores), pa.array(-scores * np.log2(10) / sizes), tokens,
+                ], names=["doc_id", "held_out", "n_tokens", "score", "bits_per_byte", "tokens"])
 
     return run
 
@@ -481,8 +485,7 @@ def scored(docs: DataFrame, bits: int = BITS) -> DataFrame:
 
 def _links(rows: DataFrame) -> DataFrame:
     """(row, word, n) of each distinct token of a text."""
-    both = rows.select("row", F.explode(F.arrays_zip("words", "counts")).alias("x"))
-    return both.select("row", F.col("x.words").alias("word"), F.col("x.counts").alias("n"))
+    return rows.select("row", F.inline("tokens"))
 
 
 def _with_base(rows: DataFrame) -> DataFrame:
@@ -499,7 +502,7 @@ def _with_base(rows: DataFrame) -> DataFrame:
     few = summed(split.filter("often is null").select("row", "word", "n").join(vocabulary.filter(~frequent), "word"), "c")
     sums = many.unionByName(few).groupBy("row").agg(F.sum("known").alias("known"), F.sum("logs").alias("logs"))
     whole = F.log10(F.lit(float(all_of["tokens"] + all_of["words"] + 1)))
-    return rows.drop("words", "counts").join(sums, "row", "left").select(
+    return rows.drop("tokens").join(sums, "row", "left").select(
         "doc_id", F.coalesce("held_out", F.lit(False)).alias("held_out"), "n_tokens", F.coalesce("known", F.lit(0)).alias("n_known"),
         F.lit(all_of["tokens"]).cast("long").alias("train_tokens"),
         (F.coalesce("logs", F.lit(0.0)) - F.col("n_tokens") * whole).alias("base_score"), "score", "bits_per_byte",
