@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from pricelake import reference_values as ref
@@ -16,7 +16,7 @@ from pricelake.operators.enrich import add_date_dimensions, add_trading_flags
 from pricelake.operators.quality import check_missing_values, check_row_count, referential_orphans, union_checks
 from pricelake.operators.series import join_null_safe
 from pricelake.schemas import TABLES
-from pricelake.session import checkpointed, lookup
+from pricelake.session import lookup, scratch_copy
 
 
 def seed_dimensions(spark: SparkSession, loaded_at: Column | None = None) -> dict[str, DataFrame]:
@@ -304,23 +304,67 @@ def merge_partitions(incoming: DataFrame, path: str, *, keys: Sequence[str], par
     batch's days (or months), few enough to name in the scan, which then reads only their folders.  Of incoming rows
     with one key the first by ``order_by`` descending stays; without it, or among ties, one that depends on the rows
     alone and not on their order.
+
+    Only partitions with a replaced row are written again; to the others the new rows are added as files.  Stored rows
+    are looked up by a hash of their keys (an equal hash of other keys only rewrites a partition for nothing).
     """
     spark = incoming.sparkSession
-    first = Window.partitionBy(*keys).orderBy(*[F.col(c).desc_nulls_last() for c in order_by], F.xxhash64(*incoming.columns))
-    fresh = incoming.withColumn("__place", F.row_number().over(first)).filter("__place = 1").drop("__place")
-    merged = fresh
-    if path_exists(spark, path):
-        fresh = checkpointed(fresh)
-        touched = sorted(r[0] for r in fresh.select(part).distinct().collect() if r[0] is not None)
-        stored = spark.read.parquet(path).filter(F.col(part).isin(touched))
-        match = reduce(lambda a, b: a & b, [stored[k].eqNullSafe(F.col(f"__i_{k}")) for k in keys])
-        kept = stored.join(fresh.select(*[F.col(k).alias(f"__i_{k}") for k in keys]), match, "left_anti")
-        # a dynamic overwrite replaces folders when all tasks have ended, so the stored rows can be read meanwhile
-        merged = kept.unionByName(fresh, allowMissingColumns=True)
-    _replace(merged, path, [part])
+    ranked = [*[F.col(c).desc_nulls_last() for c in order_by], F.xxhash64(*incoming.columns)]
+    place = F.row_number().over(_of_one_key(keys, part).orderBy(*ranked))
+    fresh = _dealt(incoming, keys, part).withColumn("__place", place).filter("__place = 1").drop("__place", "__hash")
+    if not path_exists(spark, path):
+        _write_parts(fresh, path, part, "overwrite")
+        return path
+    with scratch_copy(fresh, "fresh") as fresh:
+        touched = [r[0] for r in fresh.select(part).distinct().collect()]
+        stored = spark.read.parquet(path).filter(_among(part, touched))
+        again = touched
+        if _layout(stored, keys, part) == _layout(fresh, keys, part):
+            hashed = F.xxhash64(*keys).alias("__hash")
+            met = stored.select(part, hashed).join(fresh.select(hashed), "__hash", "left_semi").select(part).distinct()
+            again = [r[0] for r in met.collect()]
+        if again:
+            both = stored.filter(_among(part, again)).withColumn("__stored", F.lit(1)).unionByName(
+                fresh.filter(_among(part, again)).withColumn("__stored", F.lit(0)), allowMissingColumns=True
+            )
+            # the incoming row of a key takes the place of all that are stored; a key that does not come in keeps its rows
+            first = F.min("__stored").over(_of_one_key(keys, part))
+            merged = _dealt(both, keys, part).withColumn("__first", first).filter("__stored = __first")
+            # a dynamic overwrite replaces folders when all tasks have ended, so the stored rows can be read meanwhile
+            _write_parts(merged.drop("__stored", "__first", "__hash"), path, part, "overwrite")
+        if set(touched) - set(again):
+            _write_parts(fresh.filter(~_among(part, again)), path, part, "append")
     return path
 
 
+def _among(part: str, values: Sequence) -> Column:
+    """Whether the partition is one of the values; NULL is a value like others."""
+    named = F.col(part).isin([v for v in values if v is not None])
+    return F.coalesce(named, F.lit(None in values))
+
+
+def _layout(df: DataFrame, keys: Sequence[str], part: str) -> dict[str, str]:
+    """Columns and types; a partition column's type is read from folder names and counts only as a key."""
+    return {c: kind if c != part or c in keys else "" for c, kind in df.dtypes}
+
+
+def _dealt(df: DataFrame, keys: Sequence[str], part: str) -> DataFrame:
+    """Rows with ``__hash`` of their key, shuffled once into ranges of (partition, hash).
+
+    A key's rows are together as the windows of ``_of_one_key`` need them, a partition's rows as the writer needs them, and a
+    large partition spreads over several ranges.
+    """
+    return df.withColumn("__hash", F.xxhash64(*keys)).repartitionByRange(part, "__hash")
+
+
+def _of_one_key(keys: Sequence[str], part: str) -> WindowSpec:
+    return Window.partitionBy(part, "__hash", *[k for k in keys if k != part])
+
+
+def _write_parts(df: DataFrame, path: str, part: str, mode: str) -> None:
+    df.write.mode(mode).option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
 def path_exists(spark: SparkSession, path: str) -> bool:
     target = spark._jvm.org.apache.hadoop.fs.Path(path)
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pricelake import reference_values as ref
 from pricelake.functions.scalars import date_key
 from pricelake.operators import cleaning, enrich, normalize, warehouse
-from pricelake.session import checkpointed
+from pricelake.session import freed_shuffles, lookup, scratch_copy
 
 
 def to_silver(
@@ -83,20 +83,21 @@ def load_gold(
     """
     base = base.rstrip("/")
     paths = {"silver": f"{base}/silver", "fact": f"{base}/commodity_prices_fact"}
-    batch = checkpointed(silver)
-    warehouse.merge_partitions(batch, paths["silver"], keys=natural_key, part="date_key")
-    if grow_dimensions:
-        dims = warehouse.dimensions_with(dims, batch)
-        for name, dim in dims.items():
+    with freed_shuffles(spark), scratch_copy(silver, "batch") as batch:
+        warehouse.merge_partitions(batch, paths["silver"], keys=natural_key, part="date_key")
+        if grow_dimensions:
+            dims = warehouse.dimensions_with(dims, batch)
+            for name, dim in dims.items():
+                paths[name] = f"{base}/{name}"
+                warehouse.write_snapshot(dim, paths[name])
+            dims = {name: warehouse.read_snapshot(spark, paths[name]) for name in dims}
+        resolved = warehouse.resolve_fact_keys(batch.drop("date_key"), dims)
+        fact = warehouse.fact_rows(resolved, natural_key=natural_key)
+        warehouse.write_fact(fact, paths["fact"], grain=grain)
+        touched = lookup(fact.select("date_key").distinct())
+    with freed_shuffles(spark):
+        for name in warehouse.refresh_summaries(
+            spark, paths["fact"], base, order_by=["date_key", "price_id"], touched=touched, grain=grain
+        ):
             paths[name] = f"{base}/{name}"
-            warehouse.write_snapshot(dim, paths[name])
-        dims = {name: warehouse.read_snapshot(spark, paths[name]) for name in dims}
-    resolved = warehouse.resolve_fact_keys(batch.drop("date_key"), dims)
-    fact = checkpointed(warehouse.fact_rows(resolved, natural_key=natural_key))
-    warehouse.write_fact(fact, paths["fact"], grain=grain)
-    touched = fact.select("date_key").distinct()
-    for name in warehouse.refresh_summaries(
-        spark, paths["fact"], base, order_by=["date_key", "price_id"], touched=touched, grain=grain
-    ):
-        paths[name] = f"{base}/{name}"
     return paths

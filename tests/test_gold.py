@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 from datetime import date
+from pathlib import Path
 from statistics import mean, pvariance
+from urllib.parse import urlparse
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,6 +13,7 @@ from pyspark.sql import functions as F
 from pricelake.operators import views, warehouse
 from pricelake.plans import medallion
 from pricelake.schemas import TABLES, create_tables
+from pricelake.session import FREED_SHUFFLES, checkpoint_dir
 from pricelake.sources.canonical import PRICE_ORDER, prices
 
 
@@ -262,3 +265,26 @@ def test_a_key_that_comes_twice_in_one_batch_is_loaded_once(spark, tmp_path):
     kept = read()
     load(*reversed(rows))
     assert read() == kept and sum(r[0] == 4 for r in kept) == 1
+
+
+def test_a_load_rewrites_only_partitions_with_replaced_rows_and_leaves_no_copies(spark, dims, tmp_path):
+    path, schema = f"{tmp_path}/t", "id long, day int, price double"
+    scratch = lambda: {p.name for p in Path(urlparse(checkpoint_dir(spark)).path).glob("*-*") if p.name.startswith(("fresh", "batch"))}
+    load = lambda *rows, layout=schema: warehouse.merge_partitions(spark.createDataFrame(list(rows), layout), path, keys=["id"], part="day")
+    read = lambda: sorted((tuple(r) for r in spark.read.parquet(path).select("id", "day", "price").collect()), key=str)
+    files = lambda day: {p.name for p in (tmp_path / "t").glob(f"day={day}/*.parquet")}
+    before = scratch()
+    load((1, 1, 5.0), (2, 2, 6.0), (None, None, 7.0), (5, None, 7.5))
+    first = {day: files(day) for day in (1, 2)}
+    load((3, 1, 8.0), (2, 2, 9.0), (None, None, 10.0))
+    assert read() == sorted([(1, 1, 5.0), (3, 1, 8.0), (2, 2, 9.0), (None, None, 10.0), (5, None, 7.5)], key=str)
+    assert first[1] < files(1) and not first[2] & files(2)
+    # another type of the key is compared by value
+    load((1, 1, 11.0), layout="id int, day int, price double")
+    assert read() == sorted([(1, 1, 11.0), (3, 1, 8.0), (2, 2, 9.0), (None, None, 10.0), (5, None, 7.5)], key=str)
+    silver = medallion.to_silver(raw_rows(spark), keys=["id"], order_by=["date", "id"], outlier_threshold=50.0)
+    for _ in range(2):
+        medallion.load_gold(spark, silver, dims, f"{tmp_path}/gold", natural_key=["id"], grain="month")
+    assert scratch() == before and spark.conf.get(FREED_SHUFFLES, None) in (None, "false")
+    facts = spark.read.parquet(f"{tmp_path}/gold/commodity_prices_fact")
+    assert facts.count() == facts.select("price_id").distinct().count() > 0
